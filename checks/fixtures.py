@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lacuna.plans.layouts import WIDE
 from lacuna.scratch import new_folder
 from lacuna.session import prepare
+from lacuna.sources.ndjson import spread_lines
 
 # One sparse line per customer; nine residues of 97 are bad or odd lines.
 PEOPLE_LINES = """
@@ -55,25 +56,25 @@ SELECT c_custkey AS line_no, concat('part-0000', CAST(c_custkey % 4 AS STRING))
 FROM customer
 """
 
-_NESTED = {
-    "emails": """concat('[{"address":"u', {k}, CASE WHEN {n} % 3 = 0 THEN '@google.com'
-        ELSE '@example.com' END, '","type":null},{"address":null}]')""",
-    "phone_numbers": """concat('["', CASE WHEN {n} % 2 = 0 THEN '' ELSE '+1555' END, '"]')""",
-    "skills": """concat('["', CASE {n} % 3 WHEN 0 THEN 'rust' WHEN 1 THEN 'sql' ELSE '' END,
-        '","go"]')""",
-    "version_status": """concat('{"contains":[],"previous_version":"","status":"',
-        CASE WHEN {n} % 2 = 0 THEN 'updated' ELSE 'unchanged' END, '"}')""",
-}
-_JOB = """concat('[{"company":{"founded":null,"id":"c', {k}, '","name":"acme, inc: {f}","size":""},',
-        '"end_date":null,"location_names":[],"title":{"levels":[],"name":"lead","role":null}},',
-        '{"company":null,"end_date":"","location_names":["a","b"],"title":{}}]')"""
-_LIST = """concat('["{f} ', {k}, '",null,"",{"k":[]}]')"""
-_TEXT = {
-    "gender": "CASE WHEN {n} % 2 = 0 THEN '\"male\"' ELSE '\"female\"' END",
-    "location_country": "concat('\"country ', CAST({n} % 25 AS STRING), '\"')",
-    "location_continent": "concat('\"continent ', CAST({n} % 6 AS STRING), '\"')",
-    "job_last_updated": "concat('\"2020-0', CAST(1 + {n} % 9 AS STRING), '-15\"')",
-    "summary": "concat('\"says ', chr(92), '\"', lower(o_orderpriority), chr(92), '\" ', {k}, '\"')",
+# Members with a shape of their own; n is a number as text, b the number itself.
+_JOB = """concat('[{"company":{"founded":null,"id":"c', n, '","name":"acme, inc","size":""},',
+  '"end_date":null,"location_names":[],"title":{"levels":[],"name":"lead","role":null}},',
+  '{"company":null,"end_date":"","location_names":["a","b"],"title":{}}]')"""
+_SHAPED = {
+    "experience": _JOB,
+    "education": _JOB,
+    "emails": """concat('[{"address":"u', n, CASE WHEN b % 3 = 0 THEN '@google.com'
+      ELSE '@example.com' END, '","type":null},{"address":null}]')""",
+    "phone_numbers": """CASE WHEN b % 2 = 0 THEN '[""]' ELSE '["","+1555"]' END""",
+    "skills": """CASE b % 3 WHEN 0 THEN '["rust","go"]' ELSE '["","go"]' END""",
+    "version_status": """CASE WHEN b % 2 = 0
+      THEN '{"contains":[],"previous_version":"","status":"updated"}'
+      ELSE '{"contains":[],"previous_version":"x","status":"unchanged"}' END""",
+    "gender": """CASE WHEN b % 2 = 0 THEN '"male"' ELSE '"female"' END""",
+    "location_country": """concat('"country ', CAST(b % 25 AS STRING), '"')""",
+    "location_continent": """concat('"continent ', CAST(b % 6 AS STRING), '"')""",
+    "job_last_updated": """concat('"2020-0', CAST(1 + b % 9 AS STRING), '-15"')""",
+    "summary": """concat('"says ', chr(92), '"', lower(o_orderpriority), chr(92), '" ', n, '"')""",
 }
 
 
@@ -85,29 +86,23 @@ def _full_lines() -> str:
     members = []
     for i, column in enumerate(WIDE):
         name, _, kind = column.partition(":")
-        number = f"(o_orderkey * 7 + o_custkey * 13 + {29 * i})"
-        if kind == "i":
-            value = "CAST(1950 + {n} % 70 AS STRING)"
-        elif kind == "j":
-            value = _NESTED.get(name, _JOB if name in ("experience", "education") else _LIST)
-        else:
-            value = _TEXT.get(name, "concat('\"{f} of somebody ', {k}, '\"')")
-        value = (
-            value.replace("{k}", f"CAST({number} % 1009 AS STRING)")
-            .replace("{n}", number)
-            .replace("{f}", name)
-        )
-        empty = "'[]'" if kind == "j" else "'null'"
+        plain = {
+            "i": "n",
+            "j": f"""concat('["{name} ', n, '",null,"",{{"k":[]}}]')""",
+            "": f"""concat('"{name} of somebody ', n, '"')""",
+        }
+        value, void = _SHAPED.get(name, plain[kind]), "'[]'" if kind == "j" else "'null'"
         members.append(
-            f"""'{"," if i else "{"}"{name}":', CASE WHEN {number} % 100 < 60 THEN 'null'
-            WHEN {number} % 100 < 66 THEN {empty} ELSE {value} END"""
+            f"""'{"," if i else "{"}"{name}":', CASE WHEN (r + {29 * i % 100}) % 100 < 60 THEN 'null'
+            WHEN (r + {29 * i % 100}) % 100 < 66 THEN {void} ELSE {value} END"""
         )
     return f"""
-    SELECT o_orderkey AS line_no,
-      CASE WHEN o_orderkey % 3 = 0 THEN 'part-00000'
-        ELSE concat('part-0000', CAST(1 + o_orderkey % 7 AS STRING)) END AS file_name,
-      concat({", ".join(members)}, '}}') AS value
-    FROM orders"""
+    SELECT line_no, file_name, concat({", ".join(members)}, '}}') AS value FROM (
+      SELECT line_no, file_name, o_orderpriority, b, b % 100 AS r, CAST(b % 1009 AS STRING) AS n
+      FROM (SELECT o_orderkey AS line_no, o_orderpriority, o_orderkey * 7 + o_custkey * 13 AS b,
+        CASE WHEN o_orderkey % 3 = 0 THEN 'part-00000'
+          ELSE concat('part-0000', CAST(1 + o_orderkey % 7 AS STRING)) END AS file_name
+        FROM orders) AS numbered) AS drawn"""
 
 
 FULL_LINES = _full_lines()
@@ -122,12 +117,19 @@ def people_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(spark, sf_dir, "orders", FULL_LINES)
+    # Rows of a few bytes become lines of 2,000: a small table would give one task
+    # far too much text, so its rows are spread before they grow.
+    return _derive(spark, sf_dir, "orders", FULL_LINES, spread=True)
 
 
-def _derive(spark: SparkSession, sf_dir: str, name: str, text: str) -> DataFrame:
+def _derive(
+    spark: SparkSession, sf_dir: str, name: str, text: str, spread: bool = False
+) -> DataFrame:
     view = f"lacuna_{name}"
-    table(spark, sf_dir, name).createOrReplaceTempView(view)
+    rows = table(spark, sf_dir, name)
+    if spread and rows.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        rows = spread_lines(rows)
+    rows.createOrReplaceTempView(view)
     lines = spark.sql(text.replace(f"FROM {name}", f"FROM {view}"))
     # The explode makes the long text a column of its own, as it is after a scan;
     # otherwise every use of the column would derive it again.

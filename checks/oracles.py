@@ -53,6 +53,24 @@ def _columns(layout: list[str]) -> str:
     return ", ".join(f'{_KINDS[kind](name)} AS "{name}"' for name, _, kind in parts)
 
 
+def _at_once(layout: list[str]) -> str:
+    """The columns of a layout, with all members of a line extracted in one go."""
+    parts = [column.partition(":") for column in layout]
+    paths = ", ".join(_path(key) for key, *_ in parts)
+    number = "CAST(CAST(m[{i}] AS VARCHAR) AS HUGEINT)"
+    kinds = {
+        "": "CASE WHEN json_type(m[{i}]) = 'VARCHAR' THEN json_extract_string(m[{i}], '$') END",
+        "i": f"""CASE WHEN json_type(m[{{i}}]) IN ('BIGINT', 'UBIGINT')
+          THEN CAST((({number} + 2147483648) % 4294967296) - 2147483648 AS INTEGER) END""",
+        "j": "CAST(m[{i}] AS VARCHAR)",
+    }
+    columns = [
+        f"{kinds[kind].format(i=i)} AS {key}" for i, (key, _, kind) in enumerate(parts, start=1)
+    ]
+    return f"""SELECT line_no, {", ".join(columns)}
+      FROM (SELECT line_no, json_extract(value, [{paths}]) AS m FROM objects)"""
+
+
 def _prune_step(text: str) -> str:
     """One level: drop members and elements that are null, "", [] or {}.
 
@@ -187,7 +205,7 @@ ORACLES: dict[str, str] = {
     "parse_objects": _PEOPLE
     + "SELECT line_no, CAST(len(json_keys(value)) AS BIGINT) AS fields FROM objects",
     "project_wide": _PEOPLE + f"SELECT line_no, {_columns(WIDE)} FROM objects",
-    "project_wide_full": _FULL + f"SELECT line_no, {_columns(WIDE)} FROM objects",
+    "project_wide_full": _FULL + _at_once(WIDE),
     "project_narrow": _PEOPLE + f"SELECT line_no, {_columns(NARROW)} FROM objects",
     "project_narrow_str": _PEOPLE + f"SELECT line_no, {_columns(NARROW_STRINGS)} FROM objects",
     "project_documents": "SELECT doc_id, text, lang, source, CAST(n_chars AS INTEGER) AS n_chars FROM documents",

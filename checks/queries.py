@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import full_lines, gz_folder, people_lines, table
@@ -13,7 +13,7 @@ from lacuna.functions.values import (
     int32_or_null,
     json_text,
     lenient_date,
-    member,
+    path,
     text_or_null,
 )
 from lacuna.operators.clean import clean_records, clean_report, drop_empty
@@ -59,10 +59,10 @@ def _full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_lines(full_lines(spark, sf_dir))
 
 
-def _get(getter: Callable[[Column], Column], *fields: str) -> Query:
+def _get(getter: Callable[[str], str], *fields: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        values = [getter(member(F.col("record"), f)).alias(f) for f in fields]
-        return _people(spark, sf_dir).select("line_no", *values)
+        values = [f"{getter(path('record', f))} AS {f}" for f in fields]
+        return _people(spark, sf_dir).selectExpr("line_no", *values)
 
     return query
 
@@ -88,39 +88,33 @@ def q_parse_valid(spark, sf_dir):
 
 
 def q_parse_objects(spark, sf_dir):
-    fields = F.size(as_object(F.col("record"))).cast("bigint")
-    return _people(spark, sf_dir).select("line_no", fields.alias("fields"))
+    fields = f"cast(size({as_object('record')}) AS bigint) AS fields"
+    return _people(spark, sf_dir).selectExpr("line_no", fields)
 
 
 # --- projections and getters
 
 
 def q_project_wide(spark, sf_dir):
-    return project(_people(spark, sf_dir), "wide", keep=["line_no"])
+    return project(people_lines(spark, sf_dir), "wide", keep=["line_no"])
 
 
 def q_project_wide_full(spark, sf_dir):
-    return project(_full(spark, sf_dir), "wide", keep=["line_no"])
+    return project(full_lines(spark, sf_dir), "wide", keep=["line_no"])
 
 
 def q_project_narrow(spark, sf_dir):
-    return project(_people(spark, sf_dir), "narrow", keep=["line_no"])
+    return project(people_lines(spark, sf_dir), "narrow", keep=["line_no"])
 
 
 def q_project_narrow_str(spark, sf_dir):
-    return project(_people(spark, sf_dir), "narrow_strings", keep=["line_no"])
-
-
-def q_cast_date(spark, sf_dir):
-    record = F.col("record")
-    dates = {f: lenient_date(text_or_null(member(record, f))) for f in ("job_last_updated", "gender")}
-    return _people(spark, sf_dir).select("line_no", *[d.alias(f) for f, d in dates.items()])
+    return project(people_lines(spark, sf_dir), "narrow_strings", keep=["line_no"])
 
 
 def q_project_documents(spark, sf_dir):
     """Documents written as JSON lines and projected back: whole texts survive."""
     lines = table(spark, sf_dir, "documents").select("doc_id", F.to_json(F.struct("*")).alias("value"))
-    return project(parse_lines(lines), ["text", "lang", "source", "n_chars:i"], keep=["doc_id"])
+    return project(lines, ["text", "lang", "source", "n_chars:i"], keep=["doc_id"])
 
 
 # --- cleaning
@@ -166,7 +160,7 @@ def q_clean_pages(spark, sf_dir):
     """Pages as JSON lines, cleaned and read back: whole texts survive."""
     lines = table(spark, sf_dir, "pages").select("page_id", F.to_json(F.struct("*")).alias("value"))
     cleaned = drop_empty(clean_records(lines)).withColumnRenamed("cleaned", "value")
-    return project(parse_lines(cleaned), ["url", "html"], keep=["page_id"])
+    return project(cleaned, ["url", "html"], keep=["page_id"])
 
 
 # --- filters
@@ -191,7 +185,7 @@ def q_filter_skills(spark, sf_dir):
 
 
 def q_extract_emails(spark, sf_dir):
-    return extract_emails(_people(spark, sf_dir)).select("line_no", "address")
+    return extract_emails(people_lines(spark, sf_dir)).select("line_no", "address")
 
 
 def q_phone_match_rate(spark, sf_dir):
@@ -214,7 +208,7 @@ def q_profile_fields_events(spark, sf_dir):
 
 
 def q_value_counts_events(spark, sf_dir):
-    return value_counts(parse_lines(_event_lines(spark, sf_dir)), ["k"])
+    return value_counts(_event_lines(spark, sf_dir), ["k"])
 
 
 def _event_lines(spark, sf_dir):
@@ -235,20 +229,20 @@ def q_profile_overall(spark, sf_dir):
 
 
 def q_value_counts(spark, sf_dir):
-    return value_counts(_people(spark, sf_dir))
+    return value_counts(people_lines(spark, sf_dir))
 
 
 def q_value_counts_full(spark, sf_dir):
-    return value_counts(_full(spark, sf_dir))
+    return value_counts(full_lines(spark, sf_dir))
 
 
 def q_value_counts_nested(spark, sf_dir):
-    return value_counts(_people(spark, sf_dir), ["version_status.status"], paths=True)
+    return value_counts(people_lines(spark, sf_dir), ["version_status.status"], paths=True)
 
 
 def q_value_distribution_json(spark, sf_dir):
     folder = new_folder(spark, "counts")
-    value_counts(_people(spark, sf_dir)).write.parquet(folder)
+    value_counts(people_lines(spark, sf_dir)).write.parquet(folder)
     return distribution_document(spark.read.parquet(folder))
 
 
@@ -271,19 +265,19 @@ def q_convert_report(spark, sf_dir):
 
 def q_wide_parquet_roundtrip(spark, sf_dir):
     folder = new_folder(spark, "wide")
-    write_parquet(project(_people(spark, sf_dir), "wide", keep=["file_name"]), folder)
+    write_parquet(project(people_lines(spark, sf_dir), "wide", keep=["file_name"]), folder)
     return spark.read.parquet(folder)
 
 
 def q_narrow_parquet_roundtrip(spark, sf_dir):
     folder = new_folder(spark, "narrow")
-    write_parquet(project(_people(spark, sf_dir), "narrow"), folder)
+    write_parquet(project(people_lines(spark, sf_dir), "narrow"), folder)
     return spark.read.parquet(folder)
 
 
 def q_narrow_str_parquet_roundtrip(spark, sf_dir):
     folder = new_folder(spark, "narrow")
-    write_parquet(project(_people(spark, sf_dir), "narrow_strings"), folder, zstd_level=3)
+    write_parquet(project(people_lines(spark, sf_dir), "narrow_strings"), folder, zstd_level=3)
     return spark.read.parquet(folder)
 
 
@@ -307,9 +301,9 @@ def q_file_status(spark, sf_dir):
 def q_incremental_ingest(spark, sf_dir):
     source = gz_folder(people_lines(spark, sf_dir))
     target, checkpoint = new_folder(spark, "ingested"), new_folder(spark, "checkpoint")
-    lines = stream_lines(spark, source, files_per_batch=2)
+    lines = stream_lines(spark, source, files_per_batch=3)
     ingest(
-        lines, lambda batch: project(parse_lines(batch), "narrow_strings"), target, checkpoint
+        lines, lambda batch: project(batch, "narrow_strings"), target, checkpoint
     ).awaitTermination()
     return spark.read.parquet(target)
 
@@ -317,13 +311,16 @@ def q_incremental_ingest(spark, sf_dir):
 def q_incremental_profile(spark, sf_dir):
     source = gz_folder(people_lines(spark, sf_dir))
     target, checkpoint = new_folder(spark, "facts"), new_folder(spark, "checkpoint")
-    ingest_profile(stream_lines(spark, source, files_per_batch=2), target, checkpoint).awaitTermination()
+    ingest_profile(stream_lines(spark, source, files_per_batch=3), target, checkpoint).awaitTermination()
     return profile_reports(read_profile(spark, target))["by_field"]
 
 
 QUERIES: dict[str, Query] = {
     name.removeprefix("q_"): query for name, query in globals().items() if name.startswith("q_")
 } | {
+    "cast_date": _get(
+        lambda value: lenient_date(text_or_null(value)), "job_last_updated", "gender"
+    ),
     "get_string": _get(text_or_null, "gender", "birth_year", "mobile_phone", "phone_numbers", "status"),
     "get_int32": _get(int32_or_null, "birth_year", "mobile_phone", "status"),
     "get_json_text": _get(

@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 from lacuna.functions.values import (
     as_object,
     is_empty_container,
+    is_scalar,
     is_void,
     json_text,
-    member,
-    nested,
+    literal,
+    name,
+    path,
     text_or_null,
 )
-from lacuna.sources.ndjson import mentioning, parse_lines
+from lacuna.sources.ndjson import mentioning, parse_fields
 
 # The fields whose values are counted unless others are named.
 VALUE_FIELDS = (
@@ -42,16 +44,18 @@ def profile_facts(records: DataFrame, value_fields: Sequence[str] = ()) -> DataF
     Partial aggregation folds the rows before the shuffle, so a file holding
     most of the records adds no load to the task that merges it.
     """
-    field, x = F.col("field"), F.col("x")
-    value = F.when(field.isin(*value_fields), text_or_null(x)) if value_fields else F.lit(None)
+    value = "cast(NULL AS string)"
+    if value_fields:
+        named = ", ".join(literal(field) for field in value_fields)
+        value = f"CASE WHEN field IN ({named}) THEN {text_or_null('x')} END"
     return (
-        records.select("file_name", F.posexplode_outer(as_object(F.col("record"))).alias("i", "field", "x"))
-        .groupBy("file_name", "field", value.cast("string").alias("value"))
+        records.selectExpr("file_name", f"posexplode_outer({as_object('record')}) AS (i, field, x)")
+        .groupBy("file_name", "field", F.expr(value).alias("value"))
         .agg(
-            F.count_if(F.coalesce(F.col("i"), F.lit(0)) == 0).alias("objects"),
-            F.count("field").alias("present"),
-            F.count_if(F.is_variant_null(x)).alias("null"),
-            F.count_if(is_empty_container(x)).alias("empty"),
+            F.expr("count_if(coalesce(i, 0) = 0) AS objects"),
+            F.expr("count(field) AS present"),
+            F.expr("count_if(is_variant_null(x)) AS `null`"),
+            F.expr(f"count_if({is_empty_container('x')}) AS empty"),
         )
     )
 
@@ -110,38 +114,38 @@ def by_value(facts: DataFrame) -> DataFrame:
 
 def profile_fields(records: DataFrame) -> DataFrame:
     """``by_field`` straight from the records; also works on a stream."""
-    x = F.col("x")
     return (
-        records.select(F.explode(as_object(F.col("record"))).alias("field", "x"))
+        records.selectExpr(f"explode({as_object('record')}) AS (field, x)")
         .groupBy("field")
         .agg(
-            F.count("*").alias("present"),
-            F.count_if(F.is_variant_null(x)).alias("null"),
-            F.count_if(is_empty_container(x)).alias("empty"),
-            F.count_if(~is_void(x)).alias("non_empty"),
+            F.expr("count(*) AS present"),
+            F.expr("count_if(is_variant_null(x)) AS `null`"),
+            F.expr(f"count_if({is_empty_container('x')}) AS empty"),
+            F.expr(f"count_if(NOT {is_void('x')}) AS non_empty"),
         )
     )
 
 
 def value_counts(
-    records: DataFrame, fields: Sequence[str] = VALUE_FIELDS, paths: bool = False
+    lines: DataFrame, fields: Sequence[str] = VALUE_FIELDS, paths: bool = False
 ) -> DataFrame:
     """Counts of the string values of the named fields.
 
-    Looks the fields up instead of unpacking all members.  Names are literal
-    keys; ``paths=True`` reads a dot as a step into a nested object.
+    Only those fields are parsed.  Names are literal keys; ``paths=True`` reads a
+    dot as a step into a nested object.
     """
-    find = nested if paths else member
-    record = F.col("record")
-    pairs = F.array(
-        *[
-            F.struct(F.lit(f).alias("field"), text_or_null(find(record, f)).alias("value"))
-            for f in fields
-        ]
-    )
+    steps = {field: field.split(".") if paths else [field] for field in fields}
+    pairs = []
+    for field, (top, *rest) in steps.items():
+        value = f"record.{name(top)}"
+        if rest:
+            value = path(value, *rest)
+        pairs.append(f"struct({literal(field)} AS field, {text_or_null(value)} AS value)")
+    tops = [top for top, *_ in steps.values()]
     return (
-        records.select(F.inline(pairs))
-        .where(F.col("value").isNotNull())
+        parse_fields(mentioning(lines, *[f'"{top}"' for top in tops]), tops)
+        .selectExpr(f"inline(array({', '.join(pairs)}))")
+        .where("value IS NOT NULL")
         .groupBy("field", "value")
         .agg(F.count("*").alias("count"))
     )
@@ -149,17 +153,11 @@ def value_counts(
 
 def status_counts(lines: DataFrame, field: str = "status") -> DataFrame:
     """Counts of the scalar values of one field, as JSON text ("3" and 3 differ)."""
-    status = member(F.col("record"), field)
-    scalar = (
-        status.isNotNull()
-        & ~F.is_variant_null(status)
-        & status.try_cast("array<variant>").isNull()
-        & as_object(status).isNull()
-    )
+    value = f"record.{name(field)}"
     return (
-        parse_lines(mentioning(lines, f'"{field}"'))
-        .where(scalar)
-        .groupBy(json_text(status).alias("status"))
+        parse_fields(mentioning(lines, f'"{field}"'), [field])
+        .where(f"{value} IS NOT NULL AND {is_scalar(value)}")
+        .groupBy(F.expr(json_text(value)).alias("status"))
         .agg(F.count("*").alias("count"))
     )
 

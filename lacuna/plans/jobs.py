@@ -66,8 +66,8 @@ def convert_job(
 
     The report counts the written rows per folder, which Parquet footers answer.
     """
-    records = parse_lines(scan_lines(spark, paths))
-    table = project(records, layout, keep=["file_name"], strict_dates=strict_dates)
+    lines = scan_lines(spark, paths)
+    table = project(lines, layout, keep=["file_name"], strict_dates=strict_dates)
     write_parquet(table, folder, zstd_level=3 if layout == "narrow_strings" else None)
     return convert_report(spark, folder)
 

@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lacuna.functions.values import (
     int32_or_null,
     json_text,
     lenient_date,
-    member,
+    name,
     strict_date,
     text_or_null,
 )
+from lacuna.sources.ndjson import parse_fields
 
 # The 78 columns of the wide table, in order.  ":i" marks 32-bit
 # integers, ":j" nested data kept as JSON text; the rest are strings.
@@ -58,20 +58,20 @@ _GETTERS = {
 
 
 def project(
-    records: DataFrame,
+    lines: DataFrame,
     layout: str | Sequence[str] = "wide",
     keep: Sequence[str] = (),
     strict_dates: bool = True,
 ) -> DataFrame:
-    """Records to the columns of a layout, after the ``keep`` columns.
+    """JSON objects to the columns of a layout, after the ``keep`` columns.
 
     A date that is not one ends the job, or with ``strict_dates=False`` is NULL.
     A custom layout is a list of ``name`` or ``name:kind`` (kinds i, j, d).
     """
+    specs = [c.partition(":") for c in (LAYOUTS[layout] if isinstance(layout, str) else layout)]
     columns = []
-    for column in LAYOUTS[layout] if isinstance(layout, str) else layout:
-        name, _, kind = column.partition(":")
-        if kind == "d" and not strict_dates:
-            kind = "D"
-        columns.append(_GETTERS[kind](member(F.col("record"), name)).alias(name))
-    return records.select(*keep, *columns)
+    for field, _, kind in specs:
+        getter = _GETTERS["D" if kind == "d" and not strict_dates else kind]
+        columns.append(f"{getter('record.' + name(field))} AS {name(field)}")
+    records = parse_fields(lines.select(*keep, "value"), [field for field, *_ in specs])
+    return records.selectExpr(*map(name, keep), *columns)

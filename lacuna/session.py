@@ -16,6 +16,9 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Re-running a conversion replaces the files it covers, and only those.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM never compiles methods beyond 8000 bytes of bytecode: rather than one
+    # such loop for a wide projection, have it split into methods that are.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Lines may be long; batches handed to Python stay small in rows.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }

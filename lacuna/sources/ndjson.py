@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.functions.values import as_object
+from lacuna.functions.values import as_object, name
 
 # Text whose \\u escapes are all characters: a surrogate only as half of a pair.
 WELL_FORMED_ESCAPES = (
@@ -105,51 +105,79 @@ def mentioning(lines: DataFrame, *texts: str) -> DataFrame:
     return lines.where(test)
 
 
-def parse_lines(
-    lines: DataFrame,
-    keep: str = "objects",
-    reader: str = "strict",
-) -> DataFrame:
-    """Replace ``value`` by ``record VARIANT``; all other columns stay.
+def parse_lines(lines: DataFrame, keep: str = "objects", reader: str = "strict") -> DataFrame:
+    """Replace ``value`` by ``record VARIANT``, the whole value; other columns stay.
 
     keep    ``objects``: only lines holding a JSON object;
             ``valid``: any JSON value;
             ``all``: every line, with a NULL record where it is not JSON.
-    reader  ``strict``: invalid UTF-8 and lone surrogate escapes void the line;
+    reader  ``strict``: invalid UTF-8 and half surrogate pairs void the line;
             ``replacing``: they are read as replacement characters.
 
-    The line is parsed once.  It is wrapped as ``[line, hash of line]``: only if
-    the line is one complete JSON value does the second element come out as that
-    hash, so text after the value cannot pass unseen.  The explode of a
-    one-element array pins the parsed value to a column; without it Catalyst
-    would repeat the parse in every filter and projection above.
+    The line is parsed as ``[line, hash of line]``: only if the line is one
+    complete JSON value does the second element come out as that hash, so text
+    after the value cannot pass unseen.
     """
-    others = [c for c in lines.columns if c != "value"]
-    text = F.col("value")
-    if reader == "strict":
-        usable = readable(text)
-    elif reader == "replacing":
-        usable = F.lit(True)
-        text = F.make_valid_utf8(text)
-    else:
-        raise ValueError(f"unknown reader: {reader}")
+    lines, text = _readable_text(lines, keep, reader)
+    wrapped = F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
+    complete = "try_variant_get(_parsed, '$[1]', 'bigint') = _mark"
+    record = f"CASE WHEN {complete} THEN variant_get(_parsed, '$[0]', 'variant') END"
+    records = _pin(lines, text, F.try_parse_json(wrapped), record)
+    if keep == "objects":
+        return records.where(f"{as_object('record')} IS NOT NULL")
+    return records.where("record IS NOT NULL") if keep == "valid" else records
+
+
+def parse_fields(
+    lines: DataFrame, fields: Sequence[str], keep: str = "objects", reader: str = "strict"
+) -> DataFrame:
+    """Replace ``value`` by ``record STRUCT<field: VARIANT, ...>`` with these members.
+
+    As ``parse_lines`` for objects, but members that are not asked for are
+    skipped while parsing.  A missing member is NULL, an explicit null is a
+    VARIANT null.  ``keep`` is ``objects`` or ``all``.
+    """
+    if keep == "valid":
+        raise ValueError("only objects have fields")
+    lines, text = _readable_text(lines, keep, reader)
+    mark = F.xxhash64(text).cast("string")
+    wrapped = F.concat(F.lit("["), text, F.lit(f',{{"{_MARK}":'), mark, F.lit("}]"))
+    members = "".join(f"{name(field)}: variant, " for field in dict.fromkeys(fields))
+    schema = f"array<struct<{members}{_MARK}: bigint>>"
+    complete = f"size(_parsed) = 2 AND _parsed[1].{_MARK} = _mark"
+    record = f"CASE WHEN {complete} THEN _parsed[0] END"
+    records = _pin(lines, text, F.from_json(wrapped, schema, _PLAIN_JSON), record)
+    return records.where("record IS NOT NULL") if keep == "objects" else records
+
+
+# Name of the member that carries the line's hash.
+_MARK = "__line_hash__"
+
+# JSON as the standard has it.
+_PLAIN_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def _readable_text(lines: DataFrame, keep: str, reader: str) -> tuple[DataFrame, Column]:
+    """The lines worth parsing, and the text to parse."""
     if keep not in ("objects", "valid", "all"):
         raise ValueError(f"unknown keep: {keep}")
-    if keep != "all":
-        lines = lines.where(usable)
-        usable = F.lit(True)
-    mark = F.xxhash64(text)
-    wrapped = F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]"))
-    parsed = lines.select(
-        *others, mark.alias("_mark"), F.when(usable, F.try_parse_json(wrapped)).alias("_pair")
-    )
-    record: Column = F.when(
-        F.try_variant_get("_pair", "$[1]", "bigint") == F.col("_mark"),
-        F.variant_get("_pair", "$[0]", "variant"),
-    )
-    pinned = parsed.select(*others, F.explode(F.array(record)).alias("record"))
+    if reader == "replacing":
+        return lines, F.make_valid_utf8("value")
+    if reader != "strict":
+        raise ValueError(f"unknown reader: {reader}")
+    text = F.col("value")
     if keep == "all":
-        return pinned
-    if keep == "valid":
-        return pinned.where(F.col("record").isNotNull())
-    return pinned.where(as_object(F.col("record")).isNotNull())
+        return lines, F.when(readable(text), text)
+    return lines.where(readable(text)), text
+
+
+def _pin(lines: DataFrame, text: Column, parsed: Column, record: str) -> DataFrame:
+    """The other columns, and ``record`` worked out from ``_parsed`` and ``_mark``.
+
+    The explode of a one-element array makes the record a column that later
+    filters and projections refer to; left as an expression, Catalyst would
+    copy it, and the parse with it, into each of them.
+    """
+    others = [name(c) for c in lines.columns if c != "value"]
+    step = lines.select(*others, F.xxhash64(text).alias("_mark"), parsed.alias("_parsed"))
+    return step.selectExpr(*others, f"explode(array({record})) AS record")
