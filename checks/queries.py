@@ -8,14 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import full_lines, gz_folder, people_lines, table
-from lacuna.functions.values import (
-    as_object,
-    int32_or_null,
-    json_text,
-    lenient_date,
-    path,
-    text_or_null,
-)
+from lacuna.functions.values import int32_or_null, json_text, lenient_date, text_or_null
 from lacuna.operators.clean import clean_records, clean_report, drop_empty
 from lacuna.operators.filters import (
     extract_emails,
@@ -44,7 +37,14 @@ from lacuna.plans.jobs import (
 from lacuna.plans.layouts import project
 from lacuna.scratch import new_folder
 from lacuna.sinks.files import write_clean_lines, write_lines, write_parquet
-from lacuna.sources.ndjson import nonblank, parse_lines, scan_lines, stream_lines
+from lacuna.sources.ndjson import (
+    nonblank,
+    parse_fields,
+    parse_objects,
+    parse_values,
+    scan_lines,
+    stream_lines,
+)
 from lacuna.streaming.incremental import ingest, ingest_profile, read_profile
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,17 +52,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects among the customer lines: line_no, file_name, record."""
-    return parse_lines(people_lines(spark, sf_dir))
+    return parse_objects(people_lines(spark, sf_dir))
 
 
 def _full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_lines(full_lines(spark, sf_dir))
+    return parse_objects(full_lines(spark, sf_dir))
 
 
 def _get(getter: Callable[[str], str], *fields: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        values = [f"{getter(path('record', f))} AS {f}" for f in fields]
-        return _people(spark, sf_dir).selectExpr("line_no", *values)
+        values = [f"{getter('record.' + f)} AS {f}" for f in fields]
+        records = parse_fields(people_lines(spark, sf_dir), fields)
+        return records.selectExpr("line_no", *values)
 
     return query
 
@@ -84,11 +85,11 @@ def q_nonblank_lines(spark, sf_dir):
 
 
 def q_parse_valid(spark, sf_dir):
-    return parse_lines(people_lines(spark, sf_dir), keep="valid").select("line_no", "file_name")
+    return parse_values(people_lines(spark, sf_dir)).select("line_no", "file_name")
 
 
 def q_parse_objects(spark, sf_dir):
-    fields = f"cast(size({as_object('record')}) AS bigint) AS fields"
+    fields = "cast(size(record) AS bigint) AS fields"
     return _people(spark, sf_dir).selectExpr("line_no", fields)
 
 
@@ -204,7 +205,7 @@ def q_profile_fields_full(spark, sf_dir):
 
 
 def q_profile_fields_events(spark, sf_dir):
-    return profile_fields(parse_lines(_event_lines(spark, sf_dir)))
+    return profile_fields(parse_objects(_event_lines(spark, sf_dir)))
 
 
 def q_value_counts_events(spark, sf_dir):

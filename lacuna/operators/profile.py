@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.functions.values import (
-    as_object,
     is_empty_container,
     is_scalar,
     is_void,
@@ -49,7 +48,7 @@ def profile_facts(records: DataFrame, value_fields: Sequence[str] = ()) -> DataF
         named = ", ".join(literal(field) for field in value_fields)
         value = f"CASE WHEN field IN ({named}) THEN {text_or_null('x')} END"
     return (
-        records.selectExpr("file_name", f"posexplode_outer({as_object('record')}) AS (i, field, x)")
+        records.selectExpr("file_name", "posexplode_outer(record) AS (i, field, x)")
         .groupBy("file_name", "field", F.expr(value).alias("value"))
         .agg(
             F.expr("count_if(coalesce(i, 0) = 0) AS objects"),
@@ -115,7 +114,7 @@ def by_value(facts: DataFrame) -> DataFrame:
 def profile_fields(records: DataFrame) -> DataFrame:
     """``by_field`` straight from the records; also works on a stream."""
     return (
-        records.selectExpr(f"explode({as_object('record')}) AS (field, x)")
+        records.selectExpr("explode(record) AS (field, x)")
         .groupBy("field")
         .agg(
             F.expr("count(*) AS present"),

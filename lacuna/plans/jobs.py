@@ -25,7 +25,7 @@ from lacuna.sinks.files import (
     write_parquet,
     write_value_distributions,
 )
-from lacuna.sources.ndjson import parse_lines, scan_lines
+from lacuna.sources.ndjson import parse_objects, scan_lines
 
 Paths = str | Sequence[str]
 
@@ -85,7 +85,7 @@ def profile_job(
     Returns the reports by_file, overall, by_field and by_value, all small
     aggregates of the written facts.
     """
-    records = parse_lines(scan_lines(spark, paths))
+    records = parse_objects(scan_lines(spark, paths))
     profile_facts(records, value_fields).write.mode("overwrite").parquet(f"{folder}/facts")
     reports = profile_reports(spark.read.parquet(f"{folder}/facts"))
     write_value_distributions(reports["by_value"], f"{folder}/value_distributions")

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 RUNTIME_CONF = {
     # A repeated key keeps its last value instead of voiding the record.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # Partitioned writes keep one open writer per partition value (a task reads
     # few files, so it sees few values) and sort only past this number.
     "spark.sql.maxConcurrentOutputFileWriters": "32",

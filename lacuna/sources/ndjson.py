@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.functions.values import as_object, name
+from lacuna.functions.values import name
 
 # Text whose \\u escapes are all characters: a surrogate only as half of a pair.
 WELL_FORMED_ESCAPES = (
@@ -105,27 +105,41 @@ def mentioning(lines: DataFrame, *texts: str) -> DataFrame:
     return lines.where(test)
 
 
-def parse_lines(lines: DataFrame, keep: str = "objects", reader: str = "strict") -> DataFrame:
-    """Replace ``value`` by ``record VARIANT``, the whole value; other columns stay.
+def parse_values(lines: DataFrame, reader: str = "strict") -> DataFrame:
+    """Replace ``value`` by ``record VARIANT``, whatever JSON it is; other columns stay.
 
-    keep    ``objects``: only lines holding a JSON object;
-            ``valid``: any JSON value;
-            ``all``: every line, with a NULL record where it is not JSON.
-    reader  ``strict``: invalid UTF-8 and half surrogate pairs void the line;
-            ``replacing``: they are read as replacement characters.
+    Lines that are not one complete JSON value are dropped.  With the ``strict``
+    reader invalid UTF-8 and half surrogate pairs void a line, the ``replacing``
+    one reads them as replacement characters.
 
     The line is parsed as ``[line, hash of line]``: only if the line is one
     complete JSON value does the second element come out as that hash, so text
     after the value cannot pass unseen.
     """
-    lines, text = _readable_text(lines, keep, reader)
+    lines, text = _readable_text(lines, "objects", reader)
     wrapped = F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
     complete = "try_variant_get(_parsed, '$[1]', 'bigint') = _mark"
     record = f"CASE WHEN {complete} THEN variant_get(_parsed, '$[0]', 'variant') END"
-    records = _pin(lines, text, F.try_parse_json(wrapped), record)
-    if keep == "objects":
-        return records.where(f"{as_object('record')} IS NOT NULL")
-    return records.where("record IS NOT NULL") if keep == "valid" else records
+    return _pin(lines, text, F.try_parse_json(wrapped), record).where("record IS NOT NULL")
+
+
+def parse_objects(lines: DataFrame, keep: str = "objects", reader: str = "strict") -> DataFrame:
+    """Replace ``value`` by ``record MAP<STRING, VARIANT>``, all members of the object.
+
+    ``keep="objects"`` drops the lines that are not a JSON object, ``keep="all"``
+    leaves them with a NULL record.  A repeated key keeps its last value.
+    """
+    lines, text = _readable_text(lines, keep, reader)
+    members = "get(_parsed, 0)"
+    repeated = f"size(array_distinct(map_keys({members}))) < size({members})"
+    complete = f"try_cast(try_element_at(get(_parsed, 1), '{_MARK}') AS bigint) = _mark"
+    record = (
+        f"CASE WHEN size(_parsed) = 2 AND {complete} THEN "
+        f"CASE WHEN {repeated} THEN map_from_entries(map_entries({members})) ELSE {members} END END"
+    )
+    parsed = F.from_json(_marked(text), "array<map<string, variant>>", _PLAIN_JSON)
+    records = _pin(lines, text, parsed, record)
+    return records.where("record IS NOT NULL") if keep == "objects" else records
 
 
 def parse_fields(
@@ -133,20 +147,14 @@ def parse_fields(
 ) -> DataFrame:
     """Replace ``value`` by ``record STRUCT<field: VARIANT, ...>`` with these members.
 
-    As ``parse_lines`` for objects, but members that are not asked for are
-    skipped while parsing.  A missing member is NULL, an explicit null is a
-    VARIANT null.  ``keep`` is ``objects`` or ``all``.
+    As ``parse_objects``, but members that are not asked for are skipped while
+    parsing.  A missing member is NULL, an explicit null is a VARIANT null.
     """
-    if keep == "valid":
-        raise ValueError("only objects have fields")
     lines, text = _readable_text(lines, keep, reader)
-    mark = F.xxhash64(text).cast("string")
-    wrapped = F.concat(F.lit("["), text, F.lit(f',{{"{_MARK}":'), mark, F.lit("}]"))
     members = "".join(f"{name(field)}: variant, " for field in dict.fromkeys(fields))
     schema = f"array<struct<{members}{_MARK}: bigint>>"
-    complete = f"size(_parsed) = 2 AND _parsed[1].{_MARK} = _mark"
-    record = f"CASE WHEN {complete} THEN _parsed[0] END"
-    records = _pin(lines, text, F.from_json(wrapped, schema, _PLAIN_JSON), record)
+    record = f"CASE WHEN size(_parsed) = 2 AND get(_parsed, 1).{_MARK} = _mark THEN get(_parsed, 0) END"
+    records = _pin(lines, text, F.from_json(_marked(text), schema, _PLAIN_JSON), record)
     return records.where("record IS NOT NULL") if keep == "objects" else records
 
 
@@ -157,9 +165,15 @@ _MARK = "__line_hash__"
 _PLAIN_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
+def _marked(text: Column) -> Column:
+    """``[line, {hash}]``, for readers of objects."""
+    mark = F.xxhash64(text).cast("string")
+    return F.concat(F.lit("["), text, F.lit(f',{{"{_MARK}":'), mark, F.lit("}]"))
+
+
 def _readable_text(lines: DataFrame, keep: str, reader: str) -> tuple[DataFrame, Column]:
     """The lines worth parsing, and the text to parse."""
-    if keep not in ("objects", "valid", "all"):
+    if keep not in ("objects", "all"):
         raise ValueError(f"unknown keep: {keep}")
     if reader == "replacing":
         return lines, F.make_valid_utf8("value")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lacuna.operators.profile import VALUE_FIELDS, profile_facts
-from lacuna.sources.ndjson import parse_lines
+from lacuna.sources.ndjson import parse_objects
 
 
 def ingest(
@@ -49,7 +49,7 @@ def ingest_profile(
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        facts = profile_facts(parse_lines(batch), value_fields)
+        facts = profile_facts(parse_objects(batch), value_fields)
         facts.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
     return (

@@ -22,7 +22,7 @@ from lacuna.operators.profile import (
     value_counts,
 )
 from lacuna.sinks.files import write_value_distributions
-from lacuna.sources.ndjson import parse_lines
+from lacuna.sources.ndjson import parse_objects
 
 PHONE = ['{"mobile_phone":"+1"}', '{"phone_numbers":["","+1"]}', '{"mobile\\u005fphone":"+1"}']
 NO_PHONE = [
@@ -85,7 +85,7 @@ def as_rows(frame):
 
 
 def test_fields(spark):
-    records = parse_lines(record_lines(spark))
+    records = parse_objects(record_lines(spark))
     want = [
         ("a", 3, 1, 1, 1), ("a.b", 1, 0, 0, 1), ("b", 1, 0, 0, 1), ("g", 5, 0, 0, 5),
         ("g2", 1, 0, 0, 1), ("x", 1, 0, 1, 0),
@@ -96,7 +96,7 @@ def test_fields(spark):
 
 
 def test_files(spark):
-    facts = profile_facts(parse_lines(record_lines(spark)), ["g", "a.b"])
+    facts = profile_facts(parse_objects(record_lines(spark)), ["g", "a.b"])
     files = as_rows(by_file(facts).select("file_name", "objects", "total_fields", "null_or_empty"))
     assert files == [("f1", 3, 6, 3), ("f2", 3, 6, 0)]
     total = overall(facts).first()
@@ -106,12 +106,12 @@ def test_files(spark):
 
 def test_files_without_fields(spark):
     empty = spark.createDataFrame([("f", "{}")], "file_name string, value string")
-    row = by_file(profile_facts(parse_lines(empty))).first()
+    row = by_file(profile_facts(parse_objects(empty))).first()
     assert (row.objects, row.total_fields, row.null_or_empty_pct) == (1, 0, None)
 
 
 def test_profile_of_a_split_adds_up(spark):
-    records = parse_lines(record_lines(spark))
+    records = parse_objects(record_lines(spark))
     parts = [profile_facts(records.where(F.col("file_name") == f), ["g"]) for f in RECORDS]
     joined = parts[0].unionByName(parts[1])
     assert as_rows(by_field(joined)) == as_rows(by_field(profile_facts(records)))
@@ -122,7 +122,7 @@ def test_values(spark):
     frame = record_lines(spark)
     want = [("a.b", "lit", 1), ("g", "", 1), ("g", "f", 1), ("g", "m", 2)]
     assert as_rows(value_counts(frame, ["g", "a.b"])) == want
-    assert as_rows(by_value(profile_facts(parse_lines(frame), ["g", "a.b"]))) == want
+    assert as_rows(by_value(profile_facts(parse_objects(frame), ["g", "a.b"]))) == want
     assert as_rows(value_counts(frame, ["a.b"], paths=True)) == [("a.b", "in", 1)]
 
 

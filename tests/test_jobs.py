@@ -15,7 +15,7 @@ from lacuna.plans.jobs import (
 )
 from lacuna.plans.layouts import WIDE, project
 from lacuna.scratch import new_folder, shared_root
-from lacuna.sources.ndjson import parse_lines, scan_lines, stream_lines
+from lacuna.sources.ndjson import parse_objects, scan_lines, stream_lines
 from lacuna.streaming.incremental import ingest, ingest_profile, read_profile
 
 FILES = {
@@ -124,7 +124,7 @@ def test_incremental_profile(spark, source, tmp_path):
         return as_rows(by_field(read_profile(spark, out)))
 
     def batch():
-        return as_rows(by_field(profile_facts(parse_lines(scan_lines(spark, str(source))))))
+        return as_rows(by_field(profile_facts(parse_objects(scan_lines(spark, str(source))))))
 
     assert run() == batch()
     (source / "c.gz").write_bytes(gzip.compress(b'{"id":null,"new":1}\n'))
@@ -133,7 +133,7 @@ def test_incremental_profile(spark, source, tmp_path):
 
 def test_streaming_aggregate(spark, source, tmp_path):
     """The field profile as a running aggregate."""
-    stream = profile_fields(parse_lines(stream_lines(spark, str(source))))
+    stream = profile_fields(parse_objects(stream_lines(spark, str(source))))
     query = (
         stream.writeStream.format("memory")
         .queryName("running_profile")
@@ -143,7 +143,7 @@ def test_streaming_aggregate(spark, source, tmp_path):
         .start()
     )
     query.awaitTermination()
-    want = profile_fields(parse_lines(scan_lines(spark, str(source))))
+    want = profile_fields(parse_objects(scan_lines(spark, str(source))))
     assert as_rows(spark.table("running_profile")) == as_rows(want)
 
 

@@ -9,7 +9,8 @@ from lacuna.sources.ndjson import (
     mentioning,
     nonblank,
     parse_fields,
-    parse_lines,
+    parse_objects,
+    parse_values,
     scan_lines,
     spread_lines,
 )
@@ -33,18 +34,21 @@ def kept(frame):
 def test_which_lines_are_json(lines):
     frame = lines(*BAD, *OTHER, *OBJECTS)
     n_bad, n_other, n = len(BAD), len(BAD) + len(OTHER), len(BAD) + len(OTHER) + len(OBJECTS)
-    assert kept(parse_lines(frame, keep="valid")) == list(range(n_bad, n))
-    assert kept(parse_lines(frame)) == list(range(n_other, n))
+    assert kept(parse_values(frame)) == list(range(n_bad, n))
+    assert kept(parse_objects(frame)) == list(range(n_other, n))
     assert kept(parse_fields(frame, ["a"])) == list(range(n_other, n))
-    assert kept(parse_lines(frame, keep="all")) == list(range(n))
+    assert kept(parse_objects(frame, keep="all")) == list(range(n))
     every = parse_fields(frame, ["a"], keep="all")
     assert kept(every.where("record IS NOT NULL")) == list(range(n_other, n))
 
 
 def test_last_duplicate_wins(lines):
     line = '{"a":1,"a":2,"b":{"c":1,"c":null}}'
-    whole = parse_lines(lines(line)).select(F.to_json("record")).first()[0]
+    whole = parse_values(lines(line)).select(F.to_json("record")).first()[0]
     assert whole == '{"a":2,"b":{"c":null}}'
+    members = parse_objects(lines(line)).selectExpr("explode(record) AS (key, x)")
+    rows = members.selectExpr("key", "to_json(x)").collect()
+    assert sorted(tuple(r) for r in rows) == [("a", "2"), ("b", '{"c":null}')]
     fields = parse_fields(lines(line), ["a", "b"]).select(F.to_json("record.a"), F.to_json("record.b"))
     assert tuple(fields.first()) == ("2", '{"c":null}')
 
@@ -56,9 +60,9 @@ def test_missing_is_not_null(lines):
 
 def test_unknown_options(lines):
     with pytest.raises(ValueError):
-        parse_lines(lines("{}"), keep="some")
+        parse_objects(lines("{}"), keep="some")
     with pytest.raises(ValueError):
-        parse_lines(lines("{}"), reader="lax")
+        parse_values(lines("{}"), reader="lax")
 
 
 def write(folder, name, data):
@@ -85,7 +89,8 @@ def test_scan_bytes(spark, tmp_path):
 
 def test_invalid_utf8(spark, tmp_path):
     path = write(tmp_path, "bad.ndjson", b'{"a":"\xff"}\n{"a":"ok"}\n')
-    assert parse_lines(scan_lines(spark, path)).count() == 1
+    assert parse_objects(scan_lines(spark, path)).count() == 1
+    assert parse_values(scan_lines(spark, path)).count() == 1
     assert parse_fields(scan_lines(spark, path), ["a"]).count() == 1
     assert parse_fields(scan_lines(spark, path), ["a"], reader="replacing").count() == 2
 
@@ -112,7 +117,15 @@ def test_mentioning_never_drops_a_match(lines):
 
 
 def test_parse_is_done_once(lines):
-    frame = parse_lines(lines("{}")).where("variant_get(record, '$.a', 'int') > 1")
-    plan = frame.selectExpr("variant_get(record, '$.b', 'int') b")._jdf.queryExecution().toString()
-    physical = plan[plan.index("== Physical Plan ==") :]
-    assert physical.count("parseJson") == 1
+    for parse, function in ((parse_values, "parseJson"), (parse_objects, "from_json")):
+        records = parse(lines("{}"))
+        frame = records.where("to_json(record) > 'x'").selectExpr("to_json(record)")
+        plan = frame._jdf.queryExecution().toString()
+        assert plan[plan.index("== Physical Plan ==") :].count(function) == 1
+
+
+def test_forged_end_of_line(lines):
+    forged = '{"a":1},{"__line_hash__":"x"}] {}'
+    assert parse_objects(lines(forged)).count() == 0
+    assert parse_fields(lines(forged), ["a"]).count() == 0
+    assert parse_values(lines('1,"x"] {}')).count() == 0

@@ -6,7 +6,7 @@ import pytest
 
 from lacuna.functions import values as v
 from lacuna.plans.layouts import LAYOUTS, NARROW, WIDE, project
-from lacuna.sources.ndjson import parse_lines
+from lacuna.sources.ndjson import parse_values
 
 CASES = [
     # member as JSON, strict string, int32, JSON text
@@ -46,7 +46,7 @@ def test_floats_are_not_integers(lines):
 
 
 def test_getters_agree_on_whole_records(lines):
-    records = parse_lines(members(lines, [c[0] for c in CASES]))
+    records = parse_values(members(lines, [c[0] for c in CASES]))
     x = v.path("record", "x")
     rows = records.selectExpr(
         "n", v.text_or_null(x), v.int32_or_null(x), v.json_text(x)
@@ -80,14 +80,14 @@ def test_strict_dates_pass_null_and_dates(lines):
 
 def test_emptiness(lines):
     cases = {"null": True, "[]": True, "{}": True, '""': False, "0": False, "[null]": False}
-    records = parse_lines(members(lines, cases))
+    records = parse_values(members(lines, cases))
     rows = records.selectExpr("n", v.is_void(v.path("record", "x"))).orderBy("n").collect()
     assert [r[1] for r in rows] == list(cases.values())
 
 
 def test_literal_and_nested_paths(lines):
     line = '{"a.b":1,"a":{"b":2},"it\'s":3}'
-    record = parse_lines(lines(line)).selectExpr(
+    record = parse_values(lines(line)).selectExpr(
         v.json_text(v.path("record", "a.b")),
         v.json_text(v.path("record", "a", "b")),
         v.json_text(v.path("record", "it's")),
