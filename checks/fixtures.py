@@ -127,7 +127,7 @@ def _derive(
 ) -> DataFrame:
     view = f"lacuna_{name}"
     rows = table(spark, sf_dir, name)
-    if spread and rows.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+    if spread and len(rows.inputFiles()) < spark.sparkContext.defaultParallelism:
         rows = spread_lines(rows)
     rows.createOrReplaceTempView(view)
     lines = spark.sql(text.replace(f"FROM {name}", f"FROM {view}"))

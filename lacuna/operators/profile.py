@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from lacuna.functions.values import (
     is_empty_container,
     is_scalar,
-    is_void,
     json_text,
     literal,
     name,
@@ -113,16 +112,16 @@ def by_value(facts: DataFrame) -> DataFrame:
 
 def profile_fields(records: DataFrame) -> DataFrame:
     """``by_field`` straight from the records; also works on a stream."""
-    return (
+    counts = (
         records.selectExpr("explode(record) AS (field, x)")
         .groupBy("field")
         .agg(
             F.expr("count(*) AS present"),
             F.expr("count_if(is_variant_null(x)) AS `null`"),
             F.expr(f"count_if({is_empty_container('x')}) AS empty"),
-            F.expr(f"count_if(NOT {is_void('x')}) AS non_empty"),
         )
     )
+    return counts.selectExpr("*", "present - `null` - empty AS non_empty")
 
 
 def value_counts(

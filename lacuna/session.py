@@ -20,15 +20,24 @@ RUNTIME_CONF = {
     # The JVM never compiles methods beyond 8000 bytes of bytecode: rather than one
     # such loop for a wide projection, have it split into methods that are.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A compressed line file costs far more to parse than to open.  With the default
+    # open cost small files are packed by their number, and since Spark packs the
+    # largest first, one task would get all the large ones.
+    "spark.sql.files.openCostInBytes": str(64 << 10),
     # Lines may be long; batches handed to Python stay small in rows.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
+TASKS_PER_CORE = 3
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    # A few scan tasks per core, so that unequal ones even out.
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.files.minPartitionNum", str(tasks))
     return spark
 
 

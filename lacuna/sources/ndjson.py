@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lacuna.functions.values import name
+from lacuna.session import TASKS_PER_CORE
+
+# A gzip file up to this size is a second or two of work; not worth a shuffle.
+SMALL_FILE = 4 << 20
 
 # Text whose \\u escapes are all characters: a surrogate only as half of a pair.
 WELL_FORMED_ESCAPES = (
@@ -19,7 +24,7 @@ WELL_FORMED_ESCAPES = (
 def scan_lines(
     spark: SparkSession,
     paths: str | Sequence[str],
-    spread: bool | None = None,
+    spread: bool = True,
     tolerate_corrupt: bool = False,
 ) -> DataFrame:
     """One row per line: ``file_name STRING, value STRING``.
@@ -27,18 +32,25 @@ def scan_lines(
     Only a line feed ends a line (one carriage return before it is dropped).
     gzip is chosen by the file extension; all members of a file are read.
 
-    A gzip file is one task.  ``spread=True`` deals its lines out to all cores
-    before the expensive parsing; by default this is done only when the largest
-    compressed file would keep one task busy long after the others are done.
+    A gzip file is one task.  Files that would keep their task busy long after the
+    others are done have their lines dealt out to more tasks before the expensive
+    parsing (unless ``spread=False``); all other files are read without a shuffle.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("lineSep", "\n")
     if tolerate_corrupt:
         reader = reader.option("ignoreCorruptFiles", "true")
-    lines = _name_and_text(reader.text(paths))
-    if spread or (spread is None and _one_file_dominates(spark, paths)):
-        lines = spread_lines(lines)
-    return lines
+    raw = reader.text(paths)
+    share, largest = _fair_share(spark, paths) if spread else (0, 0)
+    if largest <= 2 * share or largest < SMALL_FILE:
+        return _name_and_text(raw)
+    # Filters on the file size choose files, not rows.
+    is_large = F.col("_metadata.file_name").endswith(".gz") & (
+        F.col("_metadata.file_size") > 2 * share
+    )
+    pieces = TASKS_PER_CORE * math.ceil(largest / share)
+    large = spread_lines(_name_and_text(raw.where(is_large)), pieces)
+    return _name_and_text(raw.where(~is_large)).unionAll(large)
 
 
 def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -47,17 +59,19 @@ def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000)
     return _name_and_text(reader.text(folder))
 
 
-def spread_lines(lines: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Deal lines out evenly, whatever file they come from and however often they repeat.
+def spread_lines(lines: DataFrame, pieces: int | None = None) -> DataFrame:
+    """Deal the lines of each file out evenly into pieces, however often lines repeat.
 
-    The row's position in its input partition is the key: it is the same when a
-    lost task is run again, and equal lines do not end up together.
+    A row's position in its input partition decides: it is the same when a lost
+    task is run again, and equal lines do not end up together.  A piece holds
+    lines of one file, so output written per file has few parts.
     """
-    n = partitions or 2 * lines.sparkSession.sparkContext.defaultParallelism
+    pieces = pieces or TASKS_PER_CORE * lines.sparkSession.sparkContext.defaultParallelism
+    files = [c for c in lines.columns if c == "file_name"]
     return (
-        lines.withColumn("_position", F.monotonically_increasing_id())
-        .repartition(n, "_position")
-        .drop("_position")
+        lines.withColumn("_piece", F.monotonically_increasing_id() % pieces)
+        .repartition(2 * pieces, *files, "_piece")
+        .drop("_piece")
     )
 
 
@@ -71,16 +85,14 @@ def _name_and_text(raw: DataFrame) -> DataFrame:
     return raw.select(name.alias("file_name"), without_cr.alias("value"))
 
 
-def _one_file_dominates(spark: SparkSession, paths: list[str]) -> bool:
-    """Would the largest unsplittable file take more than its share of the scan?
+def _fair_share(spark: SparkSession, paths: list[str]) -> tuple[int, int]:
+    """Compressed bytes each core would get, and the size of the largest gzip file.
 
     Reads the file listing only: the content column is pruned.
     """
     listing = spark.read.format("binaryFile").load(paths).where(F.col("path").endswith(".gz"))
-    largest, total = listing.agg(F.max("length"), F.sum("length")).first()
-    if not total or largest < 8 << 20:  # nothing compressed, or too small to matter
-        return False
-    return largest > 2 * total / spark.sparkContext.defaultParallelism
+    total, largest = listing.agg(F.sum("length"), F.max("length")).first()
+    return max(1, (total or 0) // spark.sparkContext.defaultParallelism), largest or 0
 
 
 def readable(text: Column) -> Column:
