@@ -35,6 +35,7 @@ def clean_job(spark: SparkSession, paths: Paths, folder: str) -> DataFrame:
 
     The cleaned rows are written once to the shared folder; output and report
     both read that table, so each line is parsed once even if executors are lost.
+    The table stays there for as long as the report is wanted.
     """
     staged = new_folder(spark, "clean")
     clean_records(scan_lines(spark, paths)).write.option("compression", "zstd").parquet(staged)
@@ -64,7 +65,8 @@ def convert_job(
 ) -> DataFrame:
     """Convert files to ZSTD Parquet; report (file_name, rows).
 
-    The report counts the written rows per folder, which Parquet footers answer.
+    The report counts the rows of every file in the folder, also of earlier runs;
+    Parquet footers answer it.
     """
     lines = scan_lines(spark, paths)
     table = project(lines, layout, keep=["file_name"], strict_dates=strict_dates)
@@ -108,7 +110,10 @@ def phone_job(spark: SparkSession, paths: Paths, folder: str) -> None:
 
 
 def run_by_file(
-    spark: SparkSession, paths: Sequence[str], job: Callable[[list[str]], object]
+    spark: SparkSession,
+    paths: Sequence[str],
+    job: Callable[[list[str]], object],
+    max_failed: int = 100,
 ) -> DataFrame:
     """Run a job over many files, keeping the good ones when some cannot be read.
 
@@ -116,9 +121,11 @@ def run_by_file(
     list is split in halves until the unreadable files stand alone: one job if
     all is well, and about log2(files) small ones for each bad file.  The job must
     replace what an earlier attempt wrote, which the sinks of this package do.
+    More than ``max_failed`` bad files point to a fault elsewhere: the error is raised.
     """
     outcome: list[tuple[str, bool, str | None]] = []
     groups = [list(paths)]
+    failed = 0
     while groups:
         group = groups.pop()
         if not group:
@@ -131,6 +138,9 @@ def run_by_file(
                 middle = len(group) // 2
                 groups += [group[middle:], group[:middle]]
             else:
+                failed += 1
+                if failed > max_failed:
+                    raise
                 reason = str(error).strip().split("\n", 1)[0]
                 outcome.append((group[0].rstrip("/").rsplit("/", 1)[-1], False, reason))
     return spark.createDataFrame(outcome, "file_name string, success boolean, error string")

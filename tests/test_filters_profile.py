@@ -26,7 +26,7 @@ from lacuna.sources.ndjson import parse_objects
 
 PHONE = ['{"mobile_phone":"+1"}', '{"phone_numbers":["","+1"]}', '{"mobile\\u005fphone":"+1"}']
 NO_PHONE = [
-    '{"mobile_phone":"  "}', '{"mobile_phone":7}', '{"mobile_phone":" ﻿"}',
+    '{"mobile_phone":"  "}', '{"mobile_phone":7}', '{"mobile_phone":"\u00a0\ufeff"}',
     '{"phone_numbers":[null,"  ",7]}', '{"phone_numbers":"+1"}', "{}", "null", '["+1"]', "", "bad",
 ]
 GOOGLE = ['{"emails":[{"address":"a@google.com"}]}', '{"emails":[1,{"address":"a\\u0040google.com"}]}']

@@ -99,6 +99,14 @@ def test_unreadable_files_stand_alone(spark, source, tmp_path):
     assert spark.read.parquet(out).count() == 4
 
 
+def test_a_fault_of_the_job_is_raised(spark):
+    def broken(group):
+        raise RuntimeError("no such column")
+
+    with pytest.raises(RuntimeError):
+        run_by_file(spark, [f"{i}.gz" for i in range(50)], broken, max_failed=3)
+
+
 def test_incremental_ingest(spark, source, tmp_path):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
 
