@@ -10,9 +10,9 @@ RUNTIME_CONF = {
     # A repeated key keeps its last value instead of voiding the record.
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
-    # Partitioned writes keep one open writer per partition value (a task reads
-    # few files, so it sees few values) and sort only past this number.
-    "spark.sql.maxConcurrentOutputFileWriters": "32",
+    # A task that reads one large file writes one: no sort of its rows by file name.
+    # Past a few names the sort is cheaper than that many open column writers.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     # file_name stays text even when every name looks like a number.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Re-running a conversion replaces the files it covers, and only those.
