@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import chat, langid, quality, token_store, url_filter
+from lacuna.llm import chat, decontam, langid, packing, quality, simhash, token_store, url_filter
 from lacuna.llm.common import table
 from lacuna.scratch import new_folder
 
@@ -51,14 +51,31 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_format(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return langid.identify(documents, langid.train(documents))
 
 
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
     token_store.write_tokens(table(spark, sf_dir, "documents"), folder)
     return token_store.stored(spark, folder)
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "n_items", "item_ids")
