@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import chat, decontam, langid, packing, quality, simhash, token_store, url_filter
+from lacuna.llm import chat, decontam, langid, packing, quality, simhash, suffix_dedup, token_store, url_filter
 from lacuna.llm.common import table
 from lacuna.scratch import new_folder
 
@@ -31,6 +31,14 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES, keep=("page_id",))
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "document.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality(table(spark, sf_dir, "documents"))
