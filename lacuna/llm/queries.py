@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import chat, decontam, langid, packing, quality, simhash, suffix_dedup, token_store, url_filter
+from lacuna.llm import chat, decontam, html_template, langid, packing, quality, simhash, suffix_dedup, token_store, url_filter
 from lacuna.llm.common import table
 from lacuna.scratch import new_folder
 
@@ -39,6 +39,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality(table(spark, sf_dir, "documents"))
