@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from lacuna.scratch import new_folder
@@ -35,8 +36,7 @@ def partitions(spark: SparkSession) -> int:
 
 def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch cut so that the texts of each piece have about ``most`` bytes (one row at least)."""
-    sizes = [len(x) if x is not None else 0 for x in batch.column(column).cast(pa.large_binary()).to_pylist()]
-    ends = np.cumsum(sizes)
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0

@@ -88,8 +88,7 @@ def figures(documents: DataFrame, text: str = "text") -> DataFrame:
             F.transform(_of_equal_neighbours("sure", lambda x: x["s"]), lambda x: x["i"])
         ).alias("at"),
     )
-    return exact.select(
-        "document",
+    counts = F.struct(
         F.col("n").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.col("n_symbols").cast("long").alias("n_symbols"),
@@ -100,6 +99,9 @@ def figures(documents: DataFrame, text: str = "text") -> DataFrame:
         F.size(F.filter("l", lambda x: x.rlike(rf"^[{SPACE}]*[-*•|]"))).cast("long").alias("n_bullet_lines"),
         F.size(F.filter("l", lambda x: x.rlike(rf"(\.\.\.|…)[{SPACE}]*$"))).cast("long").alias("n_ellipsis_lines"),
     )
+    # A generator: a filter on the counts is not rewritten into one on the text, which would
+    # spell out every step once for each use of it.
+    return exact.select("document", F.inline(F.array(counts)))
 
 
 def _key(words: Column, i: Column) -> Column:
