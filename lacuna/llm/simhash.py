@@ -243,6 +243,9 @@ def keep_one(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS)
     """The rows of ``documents`` that stand for their group, one of each, all columns kept."""
     found = near_duplicates(documents, shingle, radius)
     chosen = found.select(F.col("keep_id").alias("_id"), F.col("keep_h").alias("_h")).distinct()
-    hashed = documents.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    met = hashed.join(chosen, hashed["doc_id"].eqNullSafe(chosen["_id"]) & (hashed["_text_hash"] == chosen["_h"]), "left_semi")
-    return met.dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = documents.select(
+        F.col("doc_id").alias("i"), F.xxhash64(text).alias("t"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("d")
+    )
+    met = rows.join(chosen, rows["i"].eqNullSafe(chosen["_id"]) & (rows["t"] == chosen["_h"]), "left_semi")
+    return met.dropDuplicates(["i", "t"]).select("d.*")
