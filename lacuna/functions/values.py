@@ -56,9 +56,19 @@ def json_text(value: str) -> str:
     return f"to_json({value})"
 
 
+# Year, month and day with one separator throughout; a time of day and a zone may follow.
+_DATE = (
+    r"^\s*([0-9]{1,6}([-/\\ ])[0-9]{1,2}\2[0-9]{1,2})"
+    r"(?:[ T](?:[01]?[0-9]|2[0-3]):[0-5]?[0-9](?::[0-5]?[0-9](?:\.[0-9]+)?)?"
+    r"(?: ?(?:Z|UTC|[+-][0-9]{2}(?::?[0-9]{2})?))?)?\s*$"
+)
+
+
 def lenient_date(text: str) -> str:
-    """Text to DATE; anything but a calendar date gives NULL."""
-    return f"coalesce(try_to_date({text}, 'y-M-d'), try_to_date({text}, 'y/M/d'))"
+    """Text to DATE, spaces around and a time of day after it ignored; anything but a
+    calendar date gives NULL."""
+    day = f"regexp_extract({text}, r'{_DATE}', 1)"
+    return rf"try_to_date(regexp_replace({day}, r'[/\\ ]', '-'), 'y-M-d')"
 
 
 def strict_date(text: str) -> str:
@@ -71,7 +81,9 @@ def strict_date(text: str) -> str:
 
 def is_empty_container(value: str) -> str:
     """[] or {}, without serialising or descending into the value."""
-    return f"coalesce(size({as_array(value)}) = 0, size({as_object(value)}) = 0, false)"
+    # size(NULL) is NULL or -1, depending on the session.
+    sizes = [f"coalesce(size({kind}), -1) = 0" for kind in (as_array(value), as_object(value))]
+    return f"({sizes[0]} OR {sizes[1]})"
 
 
 def is_void(value: str) -> str:

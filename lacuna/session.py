@@ -15,8 +15,6 @@ RUNTIME_CONF = {
     "spark.sql.maxConcurrentOutputFileWriters": "4",
     # file_name stays text even when every name looks like a number.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    # Re-running a conversion replaces the files it covers, and only those.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # The JVM never compiles methods beyond 8000 bytes of bytecode: rather than one
     # such loop for a wide projection, have it split into methods that are.
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -30,6 +28,19 @@ RUNTIME_CONF = {
 
 TASKS_PER_CORE = 3
 
+# Without these two a record with a repeated key would be read as no record at all.
+REQUIRED = {
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+}
+
+
+def require(spark: SparkSession) -> None:
+    """Raise if the session would drop records that repeat a key."""
+    wrong = [k for k, v in REQUIRED.items() if spark.conf.get(k, "").lower() != v.lower()]
+    if wrong:
+        raise RuntimeError(f"call lacuna.session.prepare(spark): {', '.join(wrong)} not set")
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""

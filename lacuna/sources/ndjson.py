@@ -9,11 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lacuna.functions.values import name
-from lacuna.session import TASKS_PER_CORE
+from lacuna.session import TASKS_PER_CORE, require
 
 # A gzip file up to this size is a second or two of work; not worth a shuffle.
 SMALL_FILE = 4 << 20
 
+# Containers may be nested so deep; lines with deeper ones are not read, by any operator.
+# (The JSON reader and the cleaner both recurse, so some bound must stand.)
+MAX_DEPTH = 2000
+
 # Text whose \\u escapes are all characters: a surrogate only as half of a pair.
 WELL_FORMED_ESCAPES = (
     r"(?s)^(?:[^\\]++|\\[^u]|\\u(?![dD][89a-fA-F])[0-9a-fA-F]{4}"
@@ -26,6 +30,8 @@ def scan_lines(
     paths: str | Sequence[str],
     spread: bool = True,
     tolerate_corrupt: bool = False,
+    cores: int | None = None,
+    small_file: int | None = None,
 ) -> DataFrame:
     """One row per line: ``file_name STRING, value STRING``.
 
@@ -35,14 +41,17 @@ def scan_lines(
     A gzip file is one task.  Files that would keep their task busy long after the
     others are done have their lines dealt out to more tasks before the expensive
     parsing (unless ``spread=False``); all other files are read without a shuffle.
+    That is, files over ``small_file`` bytes (4 MB) and twice the share of one of ``cores``.
+    Give ``cores`` where executors come and go: the default is what there is now.
+    Rows are the same either way.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("lineSep", "\n")
     if tolerate_corrupt:
         reader = reader.option("ignoreCorruptFiles", "true")
     raw = reader.text(paths)
-    share, largest = _fair_share(spark, paths) if spread else (0, 0)
-    if largest <= 2 * share or largest < SMALL_FILE:
+    share, largest = _fair_share(spark, paths, cores) if spread else (0, 0)
+    if largest <= 2 * share or largest < (SMALL_FILE if small_file is None else small_file):
         return _name_and_text(raw)
     # Filters on the file size choose files, not rows.
     is_large = F.col("_metadata.file_name").endswith(".gz") & (
@@ -53,10 +62,47 @@ def scan_lines(
     return _name_and_text(raw.where(~is_large)).unionAll(large)
 
 
-def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """The same rows from a folder that keeps receiving files, each read once."""
+def stream_lines(
+    spark: SparkSession, folder: str, files_per_batch: int = 1000, pieces: int = 0
+) -> DataFrame:
+    """The same rows from a folder that keeps receiving files, each read once.
+
+    Where single files may hold most of a batch, ``pieces`` deals the lines of every
+    batch out to so many tasks before they are parsed.
+    """
     reader = spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", files_per_batch)
-    return _name_and_text(reader.text(folder))
+    lines = _name_and_text(reader.text(folder))
+    return lines.repartition(pieces) if pieces else lines
+
+
+def list_inputs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """The files to read, as ``file_name, path, length``: empty ones too.
+
+    Only the listing is read.  Its tasks are bounded, whatever the number and size of
+    the files.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    listing = spark.read.format("binaryFile").load(paths)
+    if "file_name" in listing.columns:
+        name = F.col("file_name").cast("string")
+    else:
+        name = F.element_at(F.split("path", "/"), -1)
+    files = listing.select(name.alias("file_name"), "path", "length")
+    return files.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+
+
+def input_names(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """The names under which results are kept, one for each input.
+
+    Two inputs in different folders with one base name would take each other's place,
+    so they are refused.  Parts of an input written per name (``file_name=x/``) are one.
+    """
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    names = list_inputs(spark, paths).groupBy("file_name").agg(F.count_distinct(folder).alias("folders"))
+    rows = names.orderBy("file_name").collect()
+    if twice := [r.file_name for r in rows if r.folders > 1]:
+        raise ValueError(f"inputs of the same name: {', '.join(twice[:5])}")
+    return [r.file_name for r in rows]
 
 
 def spread_lines(lines: DataFrame, pieces: int | None = None) -> DataFrame:
@@ -85,19 +131,28 @@ def _name_and_text(raw: DataFrame) -> DataFrame:
     return raw.select(name.alias("file_name"), without_cr.alias("value"))
 
 
-def _fair_share(spark: SparkSession, paths: list[str]) -> tuple[int, int]:
-    """Compressed bytes each core would get, and the size of the largest gzip file.
-
-    Reads the file listing only: the content column is pruned.
-    """
-    listing = spark.read.format("binaryFile").load(paths).where(F.col("path").endswith(".gz"))
-    total, largest = listing.agg(F.sum("length"), F.max("length")).first()
-    return max(1, (total or 0) // spark.sparkContext.defaultParallelism), largest or 0
+def _fair_share(spark: SparkSession, paths: list[str], cores: int | None) -> tuple[int, int]:
+    """Compressed bytes each core would get, and the size of the largest gzip file."""
+    files = list_inputs(spark, paths).where(F.col("path").endswith(".gz"))
+    total, largest = files.agg(F.sum("length"), F.max("length")).first()
+    return max(1, (total or 0) // (cores or spark.sparkContext.defaultParallelism)), largest or 0
 
 
 def readable(text: Column) -> Column:
-    """Valid UTF-8, and no escape that stands for half a character."""
-    return F.is_valid_utf8(text) & (~text.contains("\\u") | text.rlike(WELL_FORMED_ESCAPES))
+    """Valid UTF-8, no escape that stands for half a character, no number beyond a double."""
+    escapes = ~text.contains("\\u") | text.rlike(WELL_FORMED_ESCAPES)
+    return F.is_valid_utf8(text) & escapes & (~text.rlike(_LARGE) | _within_double(text))
+
+
+# What a number beyond the range of a double has at least.
+_LARGE = r"[0-9][eE]\+?0*[1-9][0-9]{2}|[0-9]{300}"
+
+
+def _within_double(text: Column) -> Column:
+    """Whether every number outside the strings is finite as a double."""
+    bare = F.regexp_replace(text, r'"(?:[^"\\]++|\\.)*+"', '""')
+    numbers = F.regexp_extract_all(bare, F.lit(r"([0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)"), F.lit(1))
+    return ~F.exists(numbers, lambda x: x.try_cast("double") == F.lit(float("inf")))
 
 
 def nonblank(lines: DataFrame) -> DataFrame:
@@ -121,8 +176,8 @@ def parse_values(lines: DataFrame, reader: str = "strict") -> DataFrame:
     """Replace ``value`` by ``record VARIANT``, whatever JSON it is; other columns stay.
 
     Lines that are not one complete JSON value are dropped.  With the ``strict``
-    reader invalid UTF-8 and half surrogate pairs void a line, the ``replacing``
-    one reads them as replacement characters.
+    reader invalid UTF-8, half surrogate pairs and numbers beyond the range of a double
+    void a line, the ``replacing`` one reads them as replacement characters or infinity.
 
     The line is parsed as ``[line, hash of line]``: only if the line is one
     complete JSON value does the second element come out as that hash, so text
@@ -130,9 +185,10 @@ def parse_values(lines: DataFrame, reader: str = "strict") -> DataFrame:
     """
     lines, text = _readable_text(lines, "objects", reader)
     wrapped = F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
-    complete = "try_variant_get(_parsed, '$[1]', 'bigint') = _mark"
-    record = f"CASE WHEN {complete} THEN variant_get(_parsed, '$[0]', 'variant') END"
-    return _pin(lines, text, F.try_parse_json(wrapped), record).where("record IS NOT NULL")
+    complete = "size(_parsed) = 2 AND try_cast(get(_parsed, 1) AS bigint) = _mark"
+    record = f"CASE WHEN {complete} THEN get(_parsed, 0) END"
+    parsed = F.from_json(wrapped, "array<variant>", _PLAIN_JSON)
+    return _pin(lines, text, parsed, record).where("record IS NOT NULL")
 
 
 def parse_objects(lines: DataFrame, keep: str = "objects", reader: str = "strict") -> DataFrame:
@@ -173,8 +229,14 @@ def parse_fields(
 # Name of the member that carries the line's hash.
 _MARK = "__line_hash__"
 
-# JSON as the standard has it.
-_PLAIN_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+# JSON as the standard has it, however long a string or number is.
+_PLAIN_JSON = {
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+    "maxStringLen": str(2**31 - 1),
+    "maxNumLen": str(2**31 - 1),
+    "maxNestingDepth": str(MAX_DEPTH + 1),  # one for the array around the line
+}
 
 
 def _marked(text: Column) -> Column:
@@ -185,6 +247,7 @@ def _marked(text: Column) -> Column:
 
 def _readable_text(lines: DataFrame, keep: str, reader: str) -> tuple[DataFrame, Column]:
     """The lines worth parsing, and the text to parse."""
+    require(lines.sparkSession)
     if keep not in ("objects", "all"):
         raise ValueError(f"unknown keep: {keep}")
     if reader == "replacing":
