@@ -25,7 +25,7 @@ from lacuna.operators.profile import (
     status_counts,
     value_counts,
 )
-from lacuna.plans.jobs import clean_with_totals, convert_job, profile_job
+from lacuna.plans.jobs import clean_job, clean_with_totals, convert_job, profile_job
 from lacuna.scratch import new_folder
 from lacuna.session import local_session
 from lacuna.sources.ndjson import parse_objects, scan_lines
@@ -53,6 +53,7 @@ def main() -> None:
         "value_counts": lambda: all_rows(value_counts(lines)),
         "status_counts": lambda: all_rows(status_counts(lines, "gender")),
         "clean_to_gzip": lambda: clean_with_totals(spark, source, new_folder(spark, "clean")),
+        "clean_job": lambda: clean_job(spark, source, new_folder(spark, "clean")).collect(),
         "convert_wide": lambda: convert_job(spark, source, new_folder(spark, "wide")).collect(),
         "convert_narrow": lambda: convert_job(
             spark, source, new_folder(spark, "narrow"), "narrow"

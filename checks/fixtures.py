@@ -13,9 +13,11 @@ from lacuna.scratch import new_folder
 from lacuna.session import prepare
 from lacuna.sources.ndjson import spread_lines
 
-# One sparse line per customer; nine residues of 97 are bad or odd lines.
+# One sparse line per customer; nine residues of 97 are bad or odd lines.  One file has
+# nothing but bad lines, one nothing but blank ones.
 PEOPLE_LINES = """
-SELECT c_custkey AS line_no, concat('part-0000', CAST(c_custkey % 4 AS STRING)) AS file_name,
+SELECT c_custkey AS line_no, concat('part-0000', CASE c_custkey % 97 WHEN 2 THEN 'bad' WHEN 6 THEN 'bad'
+ WHEN 1 THEN 'blank' WHEN 8 THEN 'blank' ELSE CAST(c_custkey % 4 AS STRING) END) AS file_name,
  CASE c_custkey % 97
   WHEN 1 THEN '' WHEN 2 THEN '{"id":' WHEN 3 THEN '[1,null,"",[],{}]' WHEN 4 THEN 'null'
   WHEN 5 THEN '{}' WHEN 6 THEN '{"a":1} x'

@@ -141,8 +141,9 @@ def _by_field(source: str) -> str:
     FROM fields GROUP BY field"""
 
 
-_AVERAGES = """*, total_fields / objects AS avg_fields, null_or_empty / objects AS avg_null_or_empty,
-      null_or_empty / total_fields * 100 AS null_or_empty_pct"""
+_AVERAGES = """*, total_fields / nullif(objects, 0) AS avg_fields,
+      null_or_empty / nullif(objects, 0) AS avg_null_or_empty,
+      null_or_empty / nullif(total_fields, 0) * 100 AS null_or_empty_pct"""
 
 
 def _by_file(source: str) -> str:
@@ -153,9 +154,10 @@ def _by_file(source: str) -> str:
         CAST(sum(is_null + is_empty) AS BIGINT) AS null_or_empty
       FROM fields GROUP BY file_name)
     SELECT {_AVERAGES} FROM (
-      SELECT file_name, objects, coalesce(total_fields, 0) AS total_fields,
+      SELECT file_name, coalesce(objects, 0) AS objects, coalesce(total_fields, 0) AS total_fields,
         coalesce(null_or_empty, 0) AS null_or_empty
-      FROM per_file LEFT JOIN sums USING (file_name))"""
+      FROM (SELECT DISTINCT file_name FROM lines)
+      LEFT JOIN per_file USING (file_name) LEFT JOIN sums USING (file_name))"""
 
 
 def _counts(source: str, fields=VALUE_FIELDS) -> str:
@@ -194,8 +196,9 @@ def _document() -> str:
 _STATUS = """SELECT CAST(json_extract(value, '$.status') AS VARCHAR) AS status, count(*) AS count
   FROM objects WHERE json_type(value, '$.status') NOT IN ('NULL', 'ARRAY', 'OBJECT') GROUP BY 1"""
 
-_CLEAN_REPORT = """SELECT file_name, count(*) AS rows_processed,
-  CAST(sum(removed) AS BIGINT) AS fields_removed FROM counted GROUP BY file_name"""
+_CLEAN_REPORT = """SELECT file_name, count(c.line_no) AS rows_processed,
+  CAST(coalesce(sum(removed), 0) AS BIGINT) AS fields_removed
+  FROM lines LEFT JOIN counted c USING (line_no, file_name) GROUP BY file_name"""
 
 ORACLES: dict[str, str] = {
     "scan_lines": _PEOPLE + "SELECT file_name, value FROM lines",
@@ -232,6 +235,7 @@ ORACLES: dict[str, str] = {
     "count_removed_full": _removed(_FULL) + "SELECT line_no, removed FROM counted",
     "clean_report": _removed(_PEOPLE) + _CLEAN_REPORT,
     "clean_job": _removed(_FULL) + _CLEAN_REPORT,
+    "clean_job_people": _removed(_PEOPLE) + _CLEAN_REPORT,
     "filter_has_phone": _PEOPLE + f"SELECT line_no, value FROM objects WHERE {_PHONE}",
     "filter_has_phone_roundtrip": _PEOPLE + f"SELECT value FROM objects WHERE {_PHONE}",
     "phone_match_rate": _PEOPLE
@@ -250,7 +254,7 @@ ORACLES: dict[str, str] = {
     "profile_fields": _by_field(_PEOPLE),
     "profile_fields_full": _by_field(_FULL),
     "profile_fields_events": _by_field(_EVENTS),
-    "value_counts_events": _counts(_EVENTS, ["k"]) + " SELECT * FROM counts",
+    "value_counts_events": _EVENTS + _STATUS.replace("$.status", "$.k"),
     "profile_by_file": _by_file(_PEOPLE),
     "profile_by_file_full": _by_file(_FULL),
     "profile_overall": f"""SELECT {_AVERAGES} FROM (
@@ -266,7 +270,9 @@ ORACLES: dict[str, str] = {
       FROM objects WHERE json_type(value, '$.version_status.status') = 'VARCHAR' GROUP BY ALL""",
     "value_distribution_json": _document(),
     "status_counts": _PEOPLE + _STATUS,
-    "convert_report": _PEOPLE + "SELECT file_name, count(*) AS rows FROM objects GROUP BY file_name",
+    "convert_report": _PEOPLE
+    + """SELECT file_name, count(objects.line_no) AS rows
+      FROM lines LEFT JOIN objects USING (line_no, file_name) GROUP BY file_name""",
     "wide_parquet_roundtrip": _PEOPLE + f"SELECT file_name, {_columns(WIDE)} FROM objects",
     "narrow_parquet_roundtrip": _PEOPLE + f"SELECT {_columns(NARROW)} FROM objects",
     "narrow_str_parquet_roundtrip": _PEOPLE + f"SELECT {_columns(NARROW_STRINGS)} FROM objects",

@@ -21,6 +21,7 @@ from lacuna.operators.profile import (
     VALUE_FIELDS,
     by_file,
     distribution_document,
+    facts_of,
     overall,
     profile_facts,
     profile_fields,
@@ -142,7 +143,8 @@ def q_drop_empty_records(spark, sf_dir):
 
 
 def q_clean_report(spark, sf_dir):
-    return clean_report(clean_records(people_lines(spark, sf_dir)))
+    lines = people_lines(spark, sf_dir)
+    return clean_report(clean_records(lines), lines.select("file_name"))
 
 
 def q_clean_job(spark, sf_dir):
@@ -151,6 +153,12 @@ def q_clean_job(spark, sf_dir):
     return clean_job(spark, source, new_folder(spark, "cleaned"))
 
 
+def q_clean_job_people(spark, sf_dir):
+    """The same where some files hold no record."""
+    source = gz_folder(people_lines(spark, sf_dir))
+    return clean_job(spark, source, new_folder(spark, "cleaned"))
+
+
 def q_clean_gz_roundtrip(spark, sf_dir):
     folder = new_folder(spark, "cleaned")
     write_clean_lines(clean_records(people_lines(spark, sf_dir)), folder)
@@ -209,7 +217,8 @@ def q_profile_fields_events(spark, sf_dir):
 
 
 def q_value_counts_events(spark, sf_dir):
-    return value_counts(_event_lines(spark, sf_dir), ["k"])
+    """The values of the one member of an event's properties, a number."""
+    return status_counts(_event_lines(spark, sf_dir), "k")
 
 
 def _event_lines(spark, sf_dir):
@@ -217,8 +226,14 @@ def _event_lines(spark, sf_dir):
     return events.select(F.col("event_type").alias("file_name"), F.col("props").alias("value"))
 
 
+def _people_facts(spark, sf_dir):
+    """Facts of all files, also those without an object."""
+    names = facts_of(people_lines(spark, sf_dir))
+    return profile_facts(_people(spark, sf_dir)).unionByName(names)
+
+
 def q_profile_by_file(spark, sf_dir):
-    return by_file(profile_facts(_people(spark, sf_dir)))
+    return by_file(_people_facts(spark, sf_dir))
 
 
 def q_profile_by_file_full(spark, sf_dir):
@@ -226,7 +241,7 @@ def q_profile_by_file_full(spark, sf_dir):
 
 
 def q_profile_overall(spark, sf_dir):
-    return overall(profile_facts(_people(spark, sf_dir)))
+    return overall(_people_facts(spark, sf_dir))
 
 
 def q_value_counts(spark, sf_dir):

@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.sources.ndjson import readable
+from lacuna.sources.ndjson import MAX_DEPTH, readable
 
-MAX_DEPTH = 1000  # deeper lines are not read by the VARIANT parser either
 
+def _cleaner(counters: bool = False):
+    """Batch function; nested so that it ships to executors by value.
 
-def _cleaner():
-    """Batch function; nested so that it ships to executors by value."""
+    With ``counters`` rows are (file_name, kind, value): the cleaned lines, and for each
+    file of a batch one line with its counts.
+    """
 
     def clean_batches(batches):
         import json
@@ -50,7 +52,7 @@ def _cleaner():
                 return (None, 1) if value is None or value == "" else (value, 0)
             if not value:
                 return None, int(in_object or kind is list)
-            if depth == MAX_DEPTH:
+            if depth >= MAX_DEPTH:
                 reject("too deep")
             removed = 0
             if kind is dict:
@@ -85,6 +87,18 @@ def _cleaner():
                 counts.append(removed)
             others = [n for n in batch.schema.names if n != "value"]
             at = pa.array(rows, pa.int64())
+            if counters:
+                names = batch.column("file_name").take(at).to_pylist()
+                found = {}
+                for name, n in zip(names, counts):
+                    entry = found.setdefault(name, [0, 0])
+                    entry[0] += 1
+                    entry[1] += n
+                left = [(name, "lines", x) for name, x in zip(names, cleaned) if x is not None]
+                left += [(name, "counts", f"{n} {removed}") for name, (n, removed) in found.items()]
+                columns = [pa.array(c, pa.string()) for c in (zip(*left) if left else ([], [], []))]
+                yield pa.RecordBatch.from_arrays(columns, ["file_name", "kind", "value"])
+                continue
             columns = [batch.column(n).take(at) for n in others]
             columns += [pa.array(cleaned, pa.string()), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, others + ["cleaned", "removed"])
@@ -109,14 +123,31 @@ def clean_records(lines: DataFrame) -> DataFrame:
     return lines.where(readable(F.col("value"))).mapInArrow(_cleaner(), schema)
 
 
+def clean_with_counts(lines: DataFrame) -> DataFrame:
+    """``file_name, kind, value``: what is left of each record as a row of kind ``lines``,
+    and rows of kind ``counts`` with records read and members removed, to be added up."""
+    named = lines.where(readable(F.col("value"))).select("file_name", "value")
+    return named.mapInArrow(_cleaner(True), "file_name string, kind string, value string")
+
+
 def drop_empty(cleaned: DataFrame) -> DataFrame:
     """Only records with something left in them."""
     return cleaned.where(F.col("cleaned").isNotNull())
 
 
-def clean_report(cleaned: DataFrame) -> DataFrame:
-    """Per file: records read (emptied ones included) and members removed."""
-    return cleaned.groupBy("file_name").agg(
+def clean_report(cleaned: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """Per file: records read (emptied ones included) and members removed.
+
+    ``names``: the ``file_name`` of all inputs, for a row of zeros for those without records.
+    """
+    found = cleaned.groupBy("file_name").agg(
         F.count("*").alias("rows_processed"),
         F.sum("removed").alias("fields_removed"),
     )
+    return found if names is None else for_all(names, found)
+
+
+def for_all(names: DataFrame, report: DataFrame) -> DataFrame:
+    """A row of the report for every name, zeros where it has none."""
+    counts = [c for c in report.columns if c != "file_name"]
+    return names.select("file_name").distinct().join(report, "file_name", "left").fillna(0, counts)

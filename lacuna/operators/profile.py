@@ -58,6 +58,14 @@ def profile_facts(records: DataFrame, value_fields: Sequence[str] = ()) -> DataF
     )
 
 
+def facts_of(names: DataFrame) -> DataFrame:
+    """Facts for files that may have no record: add them to the others (``unionByName``),
+    and reports have a row for each of these names."""
+    counters = [F.lit(0).cast("long").alias(c) for c in ("objects", "present", "null", "empty")]
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("field", "value")]
+    return names.select("file_name", *nothing, *counters).distinct()
+
+
 def _totals() -> list[Column]:
     return [
         F.sum("objects").alias("objects"),
@@ -165,9 +173,9 @@ def distribution_document(counts: DataFrame) -> DataFrame:
 
     Each count is one row of the document.  A row also carries the brace that
     opens or closes its field, which it learns from the first and last value of
-    the field (one row per configured field, so broadcast), not from a window
-    over all values of it.  Written in (field, value) order the rows form the
-    document.  ``counts`` is read several times: pass a written table.
+    the field, joined, not from a window over all values of it.  Written in
+    (field, value) order the rows form the document; without counts it is ``{}``.
+    ``counts`` is read several times: pass a written table.
     """
     field, value = F.col("field"), F.col("value")
     ends = counts.groupBy("field").agg(F.min("value").alias("first"), F.max("value").alias("last"))
@@ -180,7 +188,9 @@ def distribution_document(counts: DataFrame) -> DataFrame:
         F.concat(F.lit("    "), _quoted(value), F.lit(": "), F.col("count").cast("string")),
         F.when(~last, ",").when(closes, "\n  }\n}").otherwise("\n  },"),
     )
-    return counts.join(F.broadcast(ends), "field").select("field", "value", text.alias("text"))
+    rows = counts.join(ends, "field").select("field", "value", text.alias("text"))
+    none = counts.agg(F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("value"), F.count("*").alias("n"))
+    return rows.union(none.where("n = 0").select("field", "value", F.lit("{}").alias("text")))
 
 
 def _quoted(text: Column) -> Column:

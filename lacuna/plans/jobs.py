@@ -3,45 +3,55 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.operators.clean import clean_records, clean_report
+from lacuna.operators.clean import clean_records, clean_with_counts, for_all
 from lacuna.operators.filters import lines_with_phone
 from lacuna.operators.profile import (
     VALUE_FIELDS,
     by_field,
     by_file,
     by_value,
+    facts_of,
     overall,
     profile_facts,
 )
 from lacuna.plans.layouts import project
-from lacuna.scratch import new_folder
 from lacuna.sinks.files import (
+    exists,
+    has_outputs,
+    parquet_name,
+    write_clean_and_counts,
     write_clean_lines,
     write_lines,
     write_parquet,
     write_value_distributions,
 )
-from lacuna.sources.ndjson import parse_objects, scan_lines
+from lacuna.sources.ndjson import input_names, list_inputs, parse_objects, scan_lines
 
 Paths = str | Sequence[str]
+CLEAN_COUNTS = ("rows_processed", "fields_removed")
 
 
 def clean_job(spark: SparkSession, paths: Paths, folder: str) -> DataFrame:
     """Clean files to gzip NDJSON; report (file_name, rows_processed, fields_removed).
 
-    The cleaned rows are written once to the shared folder; output and report
-    both read that table, so each line is parsed once even if executors are lost.
-    The table stays there for as long as the report is wanted.
+    One pass and no copy: the cleaned lines go to ``folder/kind=lines/``, and the counters
+    of each batch, a line per file, to ``folder/kind=counts/``, whose sums are the report.
+    It has a row for every input, and only the outputs of these inputs are replaced.
     """
-    staged = new_folder(spark, "clean")
-    clean_records(scan_lines(spark, paths)).write.option("compression", "zstd").parquet(staged)
-    cleaned = spark.read.parquet(staged)
-    write_clean_lines(cleaned, folder)
-    return clean_report(cleaned)
+    names = input_names(spark, paths)
+    write_clean_and_counts(clean_with_counts(scan_lines(spark, paths)), folder, names)
+    inputs = spark.createDataFrame([(name,) for name in names], "file_name string")
+    counted = f"{folder}/kind=counts"
+    if not exists(spark, counted):
+        return inputs.select("file_name", *[F.lit(0).cast("long").alias(c) for c in CLEAN_COUNTS])
+    counts = F.split("value", " ")
+    sums = [F.sum(F.get(counts, i).cast("long")).alias(c) for i, c in enumerate(CLEAN_COUNTS)]
+    return for_all(inputs, spark.read.text(counted).groupBy("file_name").agg(*sums))
 
 
 def clean_with_totals(spark: SparkSession, paths: Paths, folder: str) -> dict[str, int]:
@@ -52,7 +62,7 @@ def clean_with_totals(spark: SparkSession, paths: Paths, folder: str) -> dict[st
         F.count(F.lit(1)).alias("rows_processed"),
         F.sum("removed").alias("fields_removed"),
     )
-    write_clean_lines(cleaned, folder)
+    write_clean_lines(cleaned, folder, input_names(spark, paths))
     return {key: value or 0 for key, value in totals.get.items()}
 
 
@@ -63,20 +73,31 @@ def convert_job(
     layout: str = "wide",
     strict_dates: bool = True,
 ) -> DataFrame:
-    """Convert files to ZSTD Parquet; report (file_name, rows).
+    """Convert files to ZSTD Parquet; report (file_name, rows) with a row for every input.
 
-    The report counts the rows of every file in the folder, also of earlier runs;
-    Parquet footers answer it.
+    Only the outputs of these inputs are replaced, and only they are reported.
     """
+    names = input_names(spark, paths)
     lines = scan_lines(spark, paths)
     table = project(lines, layout, keep=["file_name"], strict_dates=strict_dates)
-    write_parquet(table, folder, zstd_level=3 if layout == "narrow_strings" else None)
-    return convert_report(spark, folder)
+    level = 3 if layout == "narrow_strings" else None
+    write_parquet(table, folder, zstd_level=level, names=names)
+    return convert_report(spark, folder, names)
 
 
-def convert_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per converted file."""
-    return spark.read.parquet(folder).groupBy("file_name").agg(F.count("*").alias("rows"))
+def convert_report(
+    spark: SparkSession, folder: str, names: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows per converted file, which Parquet footers answer: of all files in the folder,
+    or a row for each of the inputs named."""
+    inputs = None
+    if names is not None:
+        inputs = spark.createDataFrame([(name,) for name in names], "file_name string")
+        inputs = inputs.select(parquet_name(F.col("file_name")).alias("file_name"))
+        if not has_outputs(spark, folder):
+            return inputs.withColumn("rows", F.lit(0).cast("long"))
+    found = spark.read.parquet(folder).groupBy("file_name").agg(F.count("*").alias("rows"))
+    return found if inputs is None else for_all(inputs, found)
 
 
 def profile_job(
@@ -85,10 +106,11 @@ def profile_job(
     """Profile files in one pass over the lines; write the facts and the distributions.
 
     Returns the reports by_file, overall, by_field and by_value, all small
-    aggregates of the written facts.
+    aggregates of the written facts.  Inputs without a record count as files, too.
     """
     records = parse_objects(scan_lines(spark, paths))
-    profile_facts(records, value_fields).write.mode("overwrite").parquet(f"{folder}/facts")
+    facts = profile_facts(records, value_fields).unionByName(facts_of(list_inputs(spark, paths)))
+    facts.write.mode("overwrite").parquet(f"{folder}/facts")
     reports = profile_reports(spark.read.parquet(f"{folder}/facts"))
     write_value_distributions(reports["by_value"], f"{folder}/value_distributions")
     return reports
@@ -113,34 +135,53 @@ def run_by_file(
     spark: SparkSession,
     paths: Sequence[str],
     job: Callable[[list[str]], object],
-    max_failed: int = 100,
+    group_size: int = 100,
 ) -> DataFrame:
     """Run a job over many files, keeping the good ones when some cannot be read.
 
-    Returns (file_name, success, error).  A Spark job fails as a whole, so the
-    list is split in halves until the unreadable files stand alone: one job if
-    all is well, and about log2(files) small ones for each bad file.  The job must
-    replace what an earlier attempt wrote, which the sinks of this package do.
-    More than ``max_failed`` bad files point to a fault elsewhere: the error is raised.
+    Returns (file_name, success, error) for every file.  Files are taken ``group_size`` at a
+    time.  A Spark job fails as a whole, but its error names the file it could not read:
+    the group goes on without it.  Only where no file of the group is named is it split in
+    halves.  So a bad file costs one more attempt at its own group, whatever their number.
+    The job must replace what an earlier attempt wrote, which the jobs of this package do.
+    If every file fails and none of the errors names one, the fault is the job's: it is raised.
     """
     outcome: list[tuple[str, bool, str | None]] = []
-    groups = [list(paths)]
-    failed = 0
+    paths = list(paths)
+    groups = [paths[i : i + group_size] for i in range(0, len(paths), group_size)][::-1]
+    unnamed: Exception | None = None
     while groups:
         group = groups.pop()
-        if not group:
-            continue
         try:
             job(group)
-            outcome += [(path.rstrip("/").rsplit("/", 1)[-1], True, None) for path in group]
+            outcome += [(_base(path), True, None) for path in group]
         except Exception as error:  # whatever the read or write of this group raised
-            if len(group) > 1:
+            named = [path for path in group if path.rstrip("/") in _unescaped(str(error))]
+            # A path may begin another one; the longest is meant.
+            bad = max(named, key=len, default=None if len(group) > 1 else group[0])
+            unnamed = unnamed if named else error
+            if bad is None:
                 middle = len(group) // 2
                 groups += [group[middle:], group[:middle]]
-            else:
-                failed += 1
-                if failed > max_failed:
-                    raise
-                reason = str(error).strip().split("\n", 1)[0]
-                outcome.append((group[0].rstrip("/").rsplit("/", 1)[-1], False, reason))
+                continue
+            outcome.append((_base(bad), False, str(error).strip().split("\n", 1)[0]))
+            if rest := [path for path in group if path != bad]:
+                groups.append(rest)
+            if not named and len(outcome) >= FAULTY and not any(ok for _, ok, _ in outcome):
+                raise
+    if unnamed and not any(ok for _, ok, _ in outcome):
+        raise unnamed
     return spark.createDataFrame(outcome, "file_name string, success boolean, error string")
+
+
+# So many files one by one without a success or a file named: the job itself is at fault.
+FAULTY = 20
+
+
+def _base(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def _unescaped(message: str) -> str:
+    """The message, and again with %20 and the like as characters."""
+    return f"{message}\n{unquote(message)}"

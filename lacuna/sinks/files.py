@@ -2,26 +2,71 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from lacuna.operators.profile import distribution_document
 
 
-def write_clean_lines(cleaned: DataFrame, folder: str) -> None:
+def _path(spark: SparkSession, path: str):
+    """A path and its file system."""
+    jvm = spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    found, system = _path(spark, path)
+    return system.exists(found)
+
+
+def has_outputs(spark: SparkSession, folder: str) -> bool:
+    """Whether the folder holds an output of some input."""
+    path, system = _path(spark, f"{folder}/file_name=*")
+    return bool(system.globStatus(path))
+
+
+def remove_outputs(spark: SparkSession, folder: str, names: Iterable[str]) -> None:
+    """Remove what earlier runs wrote for these names (``folder/file_name=<name>``)."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    if exists(spark, folder):
+        for name in names:
+            path, system = _path(spark, f"{folder}/file_name={escape.escapePathName(name)}")
+            system.delete(path, True)
+
+
+def _writer(table: DataFrame, folder: str, names: Iterable[str] | None) -> DataFrameWriter:
+    """A writer of one sub-folder per ``file_name`` that replaces what the rows cover, or,
+    given the ``names`` of a run's inputs, exactly those, with nothing if need be.
+
+    It says itself how to overwrite: whatever the session has set, the outputs of other
+    inputs stay.
+    """
+    if names is None:
+        return table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    remove_outputs(table.sparkSession, folder, names)
+    return table.write.mode("append")
+
+
+def write_clean_lines(cleaned: DataFrame, folder: str, names: Iterable[str] | None = None) -> None:
     """Cleaned records as gzip NDJSON under ``file_name=<input name>/``.
 
     No shuffle: a task writes the lines it cleaned, so a large input gives
     several parts under its name rather than one slow one.
     """
-    (
-        cleaned.select("file_name", F.col("cleaned").alias("value"))
-        .where(F.col("value").isNotNull())
-        .write.mode("overwrite")
-        .partitionBy("file_name")
-        .option("compression", "gzip")
-        .text(folder)
-    )
+    lines = cleaned.select("file_name", F.col("cleaned").alias("value")).where("value IS NOT NULL")
+    _writer(lines, folder, names).partitionBy("file_name").option("compression", "gzip").text(folder)
+
+
+def write_clean_and_counts(kinds: DataFrame, folder: str, names: Iterable[str]) -> None:
+    """The rows of ``clean_with_counts`` in one pass, the lines under ``kind=lines/`` and the
+    counters under ``kind=counts/``; replaces the outputs of ``names`` in both."""
+    for kind in ("lines", "counts"):
+        remove_outputs(kinds.sparkSession, f"{folder}/kind={kind}", names)
+    writer = kinds.write.mode("append").partitionBy("kind", "file_name")
+    writer.option("compression", "gzip").text(folder)
 
 
 def parquet_name(file_name: Column) -> Column:
@@ -29,17 +74,22 @@ def parquet_name(file_name: Column) -> Column:
     return F.replace(file_name, F.lit(".gz"), F.lit(".parquet"))
 
 
-def write_parquet(table: DataFrame, folder: str, zstd_level: int | None = None) -> None:
-    """ZSTD Parquet; one sub-folder per input file if the rows carry ``file_name``."""
-    by_file = "file_name" in table.columns
-    if by_file:
+def write_parquet(
+    table: DataFrame, folder: str, zstd_level: int | None = None, names: Iterable[str] | None = None
+) -> None:
+    """ZSTD Parquet; one sub-folder per input file if the rows carry ``file_name``.
+
+    ``names``: the inputs whose outputs are replaced, by nothing if they have no row.
+    """
+    if "file_name" in table.columns:
         table = table.withColumn("file_name", parquet_name(F.col("file_name")))
-    writer = table.write.mode("overwrite").option("compression", "zstd")
+        outputs = None if names is None else [name.replace(".gz", ".parquet") for name in names]
+        writer = _writer(table, folder, outputs).partitionBy("file_name")
+    else:
+        writer = table.write.mode("overwrite")
     if zstd_level is not None:
         writer = writer.option("parquet.compression.codec.zstd.level", str(zstd_level))
-    if by_file:
-        writer = writer.partitionBy("file_name")
-    writer.parquet(folder)
+    writer.option("compression", "zstd").parquet(folder)
 
 
 def write_lines(lines: DataFrame, folder: str, compression: str = "none") -> None:

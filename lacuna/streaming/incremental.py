@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lacuna.operators.profile import VALUE_FIELDS, profile_facts
+from lacuna.sinks.files import exists, parquet_name
 from lacuna.sources.ndjson import parse_objects
 
 
@@ -23,6 +25,8 @@ def ingest(
     goes on where it ended.
     """
     table = transform(lines)
+    if "file_name" in table.columns:
+        table = table.withColumn("file_name", parquet_name(F.col("file_name")))
     writer = (
         table.writeStream.format("parquet")
         .option("path", folder)
@@ -45,8 +49,12 @@ def ingest_profile(
 
     Facts add up, so nothing has to be kept between batches: there is no state
     store to grow with the number of values.  A batch that is run again after a
-    failure replaces its own folder.
+    failure replaces its own folder.  A new checkpoint would number its batches from 0
+    again and replace the facts of others, so it is refused in a folder that has some.
     """
+    spark = lines.sparkSession
+    if exists(spark, f"{folder}/batch=0") and not exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{folder} has batches of another checkpoint than {checkpoint}")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         facts = profile_facts(parse_objects(batch), value_fields)

@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="6g",
         spark__checkpoint__dir=shared,
+        spark__sql__ansi__enabled=os.environ.get("TEST_ANSI", "true"),
     )
     yield session
     session.stop()

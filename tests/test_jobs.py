@@ -40,9 +40,10 @@ def as_rows(frame):
 def test_clean(spark, source, tmp_path):
     out = tmp_path / "out"
     assert as_rows(clean_job(spark, str(source), str(out))) == [("a.gz", 2, 2), ("b.gz", 3, 2)]
-    assert sorted(p.name for p in out.iterdir() if p.is_dir()) == ["file_name=a.gz", "file_name=b.gz"]
-    assert all(p.name.endswith(".gz") for p in out.glob("*/part-*"))
-    assert as_rows(scan_lines(spark, str(out))) == [
+    lines = out / "kind=lines"
+    assert sorted(p.name for p in lines.iterdir() if p.is_dir()) == ["file_name=a.gz", "file_name=b.gz"]
+    assert all(p.name.endswith(".gz") for p in lines.glob("*/part-*"))
+    assert as_rows(scan_lines(spark, str(lines))) == [
         ("a.gz", '{"gender":"m","id":"1","mobile_phone":"+1"}'),
         ("b.gz", "[1]"),
         ("b.gz", '{"birth_year":1980,"id":"3"}'),
@@ -104,7 +105,76 @@ def test_a_fault_of_the_job_is_raised(spark):
         raise RuntimeError("no such column")
 
     with pytest.raises(RuntimeError):
-        run_by_file(spark, [f"{i}.gz" for i in range(50)], broken, max_failed=3)
+        run_by_file(spark, [f"{i}.gz" for i in range(50)], broken)
+
+
+def test_every_file_has_a_status(spark, source):
+    """More than a hundred unreadable files, and the good ones run about once."""
+    paths = [str(source / f"gone{i}.gz") for i in range(120)]
+    paths[60:60] = [str(source / "a.gz")]
+    seen = []
+
+    def job(group):
+        seen.append(len(group))
+        bad = [path for path in group if "gone" in path]
+        if bad:
+            raise RuntimeError(f"cannot read file:{bad[0]}, no such file")
+
+    rows = run_by_file(spark, paths, job, group_size=10).collect()
+    assert len(rows) == 121 and [r.file_name for r in rows if r.success] == ["a.gz"]
+    assert len(seen) <= 121 + 13
+
+
+def test_outputs_are_replaced_and_only_those(spark, source, tmp_path):
+    (source / "empty.gz").write_bytes(gzip.compress(b""))
+    (source / "bad.gz").write_bytes(gzip.compress(b"nope\n{\n"))
+    for mode in ("static", "dynamic"):
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        out = str(tmp_path / mode)
+        report = as_rows(clean_job(spark, str(source), f"{out}/clean"))
+        assert report == [("a.gz", 2, 2), ("b.gz", 3, 2), ("bad.gz", 0, 0), ("empty.gz", 0, 0)]
+        (source / "a.gz").write_bytes(gzip.compress(b'{"id":null}\n'))
+        assert as_rows(clean_job(spark, str(source / "a.gz"), f"{out}/clean")) == [("a.gz", 1, 1)]
+        assert {r[0] for r in as_rows(scan_lines(spark, f"{out}/clean/kind=lines"))} == {"b.gz"}
+        want = [("a.parquet", 1), ("b.parquet", 2), ("bad.parquet", 0), ("empty.parquet", 0)]
+        assert as_rows(convert_job(spark, str(source), f"{out}/wide")) == want
+        (source / "a.gz").write_bytes(gzip.compress(b"[]\n"))
+        assert as_rows(convert_job(spark, str(source / "a.gz"), f"{out}/wide")) == [("a.parquet", 0)]
+        assert spark.read.parquet(f"{out}/wide").count() == 2
+        nothing = convert_job(spark, str(source / "empty.gz"), f"{out}/none")
+        assert as_rows(nothing) == [("empty.parquet", 0)]
+        (source / "a.gz").write_bytes(gzip.compress("\n".join(FILES["a.gz"]).encode()))
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_inputs_of_one_name_are_refused(spark, source, tmp_path):
+    for day in ("d1", "d2"):
+        (tmp_path / day).mkdir()
+        (tmp_path / day / "part-0.gz").write_bytes(gzip.compress(b'{"id":"1"}\n'))
+    with pytest.raises(ValueError, match="part-0.gz"):
+        convert_job(spark, [str(tmp_path / "d1"), str(tmp_path / "d2")], str(tmp_path / "out"))
+
+
+def test_files_without_records_are_profiled(spark, source, tmp_path):
+    (source / "empty.gz").write_bytes(gzip.compress(b""))
+    (source / "bad.gz").write_bytes(gzip.compress(b"nope\n"))
+    reports = profile_job(spark, str(source), str(tmp_path / "out"))
+    files = {r.file_name: r.objects for r in reports["by_file"].collect()}
+    assert files == {"a.gz": 2, "b.gz": 2, "bad.gz": 0, "empty.gz": 0}
+    assert reports["overall"].first().files == 4
+
+
+def test_no_values_are_an_empty_document(spark, source, tmp_path):
+    profile_job(spark, str(source), str(tmp_path / "out"), ["nothing"])
+    parts = (tmp_path / "out" / "value_distributions" / "document").glob("part-*")
+    assert "".join(p.read_text() for p in parts) == "{}\n"
+
+
+def test_a_new_checkpoint_does_not_replace_facts(spark, source, tmp_path):
+    out = str(tmp_path / "facts")
+    ingest_profile(stream_lines(spark, str(source), pieces=4), out, str(tmp_path / "one")).awaitTermination()
+    with pytest.raises(ValueError, match="another checkpoint"):
+        ingest_profile(stream_lines(spark, str(source)), out, str(tmp_path / "two"))
 
 
 def test_incremental_ingest(spark, source, tmp_path):
@@ -117,11 +187,11 @@ def test_incremental_ingest(spark, source, tmp_path):
         ).awaitTermination()
         return as_rows(spark.read.parquet(out).selectExpr("file_name", "coalesce(id, '-')"))
 
-    first = [("a.gz", "-"), ("a.gz", "1"), ("b.gz", "2"), ("b.gz", "3")]
+    first = [("a.parquet", "-"), ("a.parquet", "1"), ("b.parquet", "2"), ("b.parquet", "3")]
     assert run() == first
     assert run() == first  # no file twice
     (source / "c.gz").write_bytes(gzip.compress(b'{"id":"9"}\n'))
-    assert run() == [*first, ("c.gz", "9")]
+    assert run() == [*first, ("c.parquet", "9")]
 
 
 def test_incremental_profile(spark, source, tmp_path):

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lacuna.operators.clean import clean_records
 from lacuna.sources import ndjson
 from lacuna.sources.ndjson import (
     mentioning,
@@ -137,7 +138,7 @@ def test_mentioning_never_drops_a_match(lines):
 
 
 def test_parse_is_done_once(lines):
-    for parse, function in ((parse_values, "parseJson"), (parse_objects, "from_json")):
+    for parse, function in ((parse_values, "from_json"), (parse_objects, "from_json")):
         records = parse(lines("{}"))
         frame = records.where("to_json(record) > 'x'").selectExpr("to_json(record)")
         plan = frame._jdf.queryExecution().toString()
@@ -149,3 +150,43 @@ def test_forged_end_of_line(lines):
     assert parse_objects(lines(forged)).count() == 0
     assert parse_fields(lines(forged), ["a"]).count() == 0
     assert parse_values(lines('1,"x"] {}')).count() == 0
+
+
+def nested(depth):
+    return '{"a":' + "[" * depth + "1" + "]" * depth + "}"
+
+
+@pytest.mark.parametrize(
+    "value, count",
+    [
+        ('{"a":"' + "x" * 21_000_000 + '"}', 1),
+        ('{"a":0.' + "1" * 1500 + "}", 1),
+        (nested(1500), 1),
+        (nested(ndjson.MAX_DEPTH + 1), 0),
+        ('{"a":1e400}', 0),
+        ('{"a":[-1e+0400]}', 0),
+        ('{"a":' + "9" * 400 + "}", 0),
+        ('{"a":1e300,"b":"1e400 \\" 1e999"}', 1),
+        ('{"a":' + "9" * 308 + "}", 1),
+        ('{"a":1e-400}', 1),
+    ],
+)
+def test_all_readers_keep_the_same_lines(lines, value, count):
+    frame = lines(value)
+    assert parse_values(frame).count() == count
+    assert parse_objects(frame).count() == count
+    for fields in (["a"], ["b"]):
+        assert parse_fields(frame, fields).selectExpr("n", "record").count() == count
+    assert clean_records(frame).count() == count
+
+
+def test_a_session_that_drops_repeated_keys_is_refused(spark, lines):
+    for key in ("spark.sql.variant.allowDuplicateKeys", "spark.sql.mapKeyDedupPolicy"):
+        before = spark.conf.get(key)
+        spark.conf.set(key, "false" if "allow" in key else "EXCEPTION")
+        try:
+            for parse in (parse_values, parse_objects):
+                with pytest.raises(RuntimeError, match="prepare"):
+                    parse(lines("{}"))
+        finally:
+            spark.conf.set(key, before)

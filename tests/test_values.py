@@ -61,12 +61,26 @@ def test_lenient_dates(lines):
     table = project(
         members(lines, [f'"{d}"' for d in DATES]), ["x:d"], keep=["n"], strict_dates=False
     )
+    assert [r.n for r in table.where("x IS NOT NULL").orderBy("n").collect()] == [0, 1, 2]
     jan_2 = datetime.date(2020, 1, 2)
     assert [r.x for r in table.orderBy("n").collect()] == [
         datetime.date(2020, 1, 15), jan_2, jan_2, None, None, None, None, None,
     ]
 
 
+@pytest.mark.parametrize("strict", [True, False])
+def test_dates_in_other_forms(lines, strict):
+    good = [
+        " 2020-01-02", "2020-01-02 ", "2020-01-02 10:00:00", "2020-01-02T10:00:00", "2020-01-02T00:00:00Z",
+        "2020 01 02", "2020/1/2 3:4", "2020-01-02 10:00:00+05", "2020-01-02 10:00:00.123 UTC",
+    ]
+    table = project(members(lines, [f'"{d}"' for d in good]), ["x:d"], strict_dates=strict)
+    assert {r.x for r in table.collect()} == {datetime.date(2020, 1, 2)}
+    bad = ["2020-01/02", "2020-01-02abc", "2020-01-02 10", "20200102", "2020-01-02 25:00:00", "02-01-2020"]
+    table = project(members(lines, [f'"{d}"' for d in bad]), ["x:d"], strict_dates=False)
+    assert {r.x for r in table.collect()} == {None}
+
+
 @pytest.mark.parametrize("text", ["2020", "2020-02-30", "bad", ""])
 def test_strict_dates_end_the_job(lines, text):
     with pytest.raises(Exception, match="not a date"):
@@ -78,7 +92,17 @@ def test_strict_dates_pass_null_and_dates(lines):
     assert [r.x for r in table.orderBy("n").collect()] == [None] * 3 + [datetime.date(2020, 1, 15)]
 
 
-def test_emptiness(lines):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_emptiness(spark, lines, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        _emptiness(lines)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def _emptiness(lines):
     cases = {"null": True, "[]": True, "{}": True, '""': False, "0": False, "[null]": False}
     records = parse_values(members(lines, cases))
     rows = records.selectExpr("n", v.is_void(v.path("record", "x"))).orderBy("n").collect()
