@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import secrets
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -179,16 +180,16 @@ def parse_values(lines: DataFrame, reader: str = "strict") -> DataFrame:
     reader invalid UTF-8, half surrogate pairs and numbers beyond the range of a double
     void a line, the ``replacing`` one reads them as replacement characters or infinity.
 
-    The line is parsed as ``[line, hash of line]``: only if the line is one
-    complete JSON value does the second element come out as that hash, so text
-    after the value cannot pass unseen.
+    The line is parsed as ``[line, number]`` with a random number: only if the line
+    is one complete JSON value does the second element come out as that number, so
+    text after the value cannot pass unseen.
     """
     lines, text = _readable_text(lines, "objects", reader)
-    wrapped = F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
-    complete = "size(_parsed) = 2 AND try_cast(get(_parsed, 1) AS bigint) = _mark"
+    wrapped = F.concat(F.lit("["), text, F.lit(f",{_NUMBER}]"))
+    complete = f"size(_parsed) = 2 AND try_cast(get(_parsed, 1) AS bigint) = {_NUMBER}"
     record = f"CASE WHEN {complete} THEN get(_parsed, 0) END"
     parsed = F.from_json(wrapped, "array<variant>", _PLAIN_JSON)
-    return _pin(lines, text, parsed, record).where("record IS NOT NULL")
+    return _pin(lines, parsed, record).where("record IS NOT NULL")
 
 
 def parse_objects(lines: DataFrame, keep: str = "objects", reader: str = "strict") -> DataFrame:
@@ -200,13 +201,13 @@ def parse_objects(lines: DataFrame, keep: str = "objects", reader: str = "strict
     lines, text = _readable_text(lines, keep, reader)
     members = "get(_parsed, 0)"
     repeated = f"size(array_distinct(map_keys({members}))) < size({members})"
-    complete = f"try_cast(try_element_at(get(_parsed, 1), '{_MARK}') AS bigint) = _mark"
+    complete = f"try_cast(try_element_at(get(_parsed, 1), '{_MARK}') AS bigint) = {_NUMBER}"
     record = (
         f"CASE WHEN size(_parsed) = 2 AND {complete} THEN "
         f"CASE WHEN {repeated} THEN map_from_entries(map_entries({members})) ELSE {members} END END"
     )
     parsed = F.from_json(_marked(text), "array<map<string, variant>>", _PLAIN_JSON)
-    records = _pin(lines, text, parsed, record)
+    records = _pin(lines, parsed, record)
     return records.where("record IS NOT NULL") if keep == "objects" else records
 
 
@@ -221,13 +222,15 @@ def parse_fields(
     lines, text = _readable_text(lines, keep, reader)
     members = "".join(f"{name(field)}: variant, " for field in dict.fromkeys(fields))
     schema = f"array<struct<{members}{_MARK}: bigint>>"
-    record = f"CASE WHEN size(_parsed) = 2 AND get(_parsed, 1).{_MARK} = _mark THEN get(_parsed, 0) END"
-    records = _pin(lines, text, F.from_json(_marked(text), schema, _PLAIN_JSON), record)
+    record = f"CASE WHEN size(_parsed) = 2 AND get(_parsed, 1).{_MARK} = {_NUMBER} THEN get(_parsed, 0) END"
+    records = _pin(lines, F.from_json(_marked(text), schema, _PLAIN_JSON), record)
     return records.where("record IS NOT NULL") if keep == "objects" else records
 
 
-# Name of the member that carries the line's hash.
-_MARK = "__line_hash__"
+# The member that closes a line and its value, drawn anew by every process: no line
+# can foresee it.
+_MARK = "__line_end__"
+_NUMBER = secrets.randbits(62)
 
 # JSON as the standard has it, however long a string or number is.
 _PLAIN_JSON = {
@@ -240,9 +243,8 @@ _PLAIN_JSON = {
 
 
 def _marked(text: Column) -> Column:
-    """``[line, {hash}]``, for readers of objects."""
-    mark = F.xxhash64(text).cast("string")
-    return F.concat(F.lit("["), text, F.lit(f',{{"{_MARK}":'), mark, F.lit("}]"))
+    """``[line, {number}]``, for readers of objects."""
+    return F.concat(F.lit("["), text, F.lit(f',{{"{_MARK}":{_NUMBER}}}]'))
 
 
 def _readable_text(lines: DataFrame, keep: str, reader: str) -> tuple[DataFrame, Column]:
@@ -260,13 +262,13 @@ def _readable_text(lines: DataFrame, keep: str, reader: str) -> tuple[DataFrame,
     return lines.where(readable(text)), text
 
 
-def _pin(lines: DataFrame, text: Column, parsed: Column, record: str) -> DataFrame:
-    """The other columns, and ``record`` worked out from ``_parsed`` and ``_mark``.
+def _pin(lines: DataFrame, parsed: Column, record: str) -> DataFrame:
+    """The other columns, and ``record`` worked out from ``_parsed``.
 
     The explode of a one-element array makes the record a column that later
     filters and projections refer to; left as an expression, Catalyst would
     copy it, and the parse with it, into each of them.
     """
     others = [name(c) for c in lines.columns if c != "value"]
-    step = lines.select(*others, F.xxhash64(text).alias("_mark"), parsed.alias("_parsed"))
+    step = lines.select(*others, parsed.alias("_parsed"))
     return step.selectExpr(*others, f"explode(array({record})) AS record")

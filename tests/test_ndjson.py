@@ -26,7 +26,7 @@ BAD = [
 OTHER = ["[]", "null", '""', "[1,null]", "5", "true", '"x"']
 OBJECTS = [
     '{"a":1}', "{}", ' {"a": [1, {"b": null}]} ', '{"a":"\\ud83d\\ude00"}', '{"a":"\\\\ud800"}',
-    '{"a":1,"a":2}', '{"a":"} x"}', '{"__line_hash__":1}',
+    '{"a":1,"a":2}', '{"a":"} x"}', '{"__line_end__":1}',
 ]
 
 
