@@ -146,7 +146,7 @@ def readable(text: Column) -> Column:
 
 
 # What a number beyond the range of a double has at least.
-_LARGE = r"[0-9][eE]\+?0*[1-9][0-9]{2}|[0-9]{300}"
+_LARGE = r"[0-9](?:[eE]\+?0*[1-9][0-9]{2}|[0-9]{299})"
 
 
 def _within_double(text: Column) -> Column:
