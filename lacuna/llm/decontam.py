@@ -114,13 +114,24 @@ class Items:
     def _slot(self, grams: np.ndarray) -> np.ndarray:
         return (grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)
 
-    def find(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
-        """For each normalised text the regions that align: (item_id, start, end, edits)."""
-        out: list[list] = [[] for _ in texts]
+    def find(self, texts: list[str], part: int = 1 << 20) -> list[list[tuple[int, int, int, int]]]:
+        """For each normalised text the regions that align: (item_id, start, end, edits).
+
+        Long texts are looked at in parts that overlap by more than any region's length.
+        """
+        over = 2 * max((len(t) for t in self.texts), default=0) + Q
+        cuts = [(d, a) for d, t in enumerate(texts) for a in range(0, max(len(t) - over, 1), part)]
+        out: list[set] = [set() for _ in texts]
+        for (d, a), found in zip(cuts, self._find([texts[d][a : a + part + over] for d, a in cuts]), strict=True):
+            out[d] |= {(i, a + start, a + end, edits) for i, start, end, edits in found}
         for k in self.short:
             for d, text in enumerate(texts):
                 if (where := text.find(self.texts[k])) >= 0:
-                    out[d].append((self.ids[k], where, where + len(self.texts[k]), 0))
+                    out[d].add((self.ids[k], where, where + len(self.texts[k]), 0))
+        return [sorted(x, key=str) for x in out]
+
+    def _find(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
+        out: list[list] = [[] for _ in texts]
         for d, k, band in self._bands(texts):
             w, e = int(self.budget[k]) + 1, int(self.budget[k])
             low, high = band * w, band * w + 2 * w - 1
@@ -129,7 +140,7 @@ class Items:
             found = (0, where, where + len(item)) if where >= 0 else align(item, text, low - e, high + e, e)
             if found:
                 out[d].append((self.ids[k], found[1], found[2], found[0]))
-        return [sorted(set(x)) for x in out]
+        return out
 
     def _bands(self, texts: list[str]) -> Iterator[tuple[int, int, int]]:
         """(text, item, band) whose shared q-grams meet the bound."""

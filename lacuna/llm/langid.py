@@ -24,6 +24,7 @@ SAMPLE_PER_LANGUAGE = 250
 #: A decision whose score is below this is flagged as ambiguous.
 AMBIGUOUS = 0.6
 UNKNOWN = "und"
+_PART = 1 << 20
 _FOLDS, _STEPS, _RATE, _DECAY = 5, 80, 0.5, 1e-5
 
 
@@ -49,27 +50,45 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
     return best
 
 
+def _parts(texts: list[str]) -> Iterator[list[tuple[int, bytes, int, int]]]:
+    """(row, bytes, positions to count, bytes to the end of the text), some MB at a time; long
+    texts are cut, with what the last n-grams of a part need."""
+    some, held = [], 0
+    for row, text in enumerate(texts):
+        raw = f" {text.lower()} ".encode("utf-8", "replace")
+        for at in range(0, len(raw), _PART):
+            part = raw[at : at + _PART + 3]
+            some.append((row, part, min(_PART, len(raw) - at), len(raw) - at))
+            held += len(part)
+            if held >= _PART:
+                yield some
+                some, held = [], 0
+    if some:
+        yield some
+
+
 def grams(texts: list[str], bits: int = FEATURE_BITS) -> np.ndarray:
-    """One row per text: square roots of the counts of its hashed 1- to 4-grams of
+    """One row per text: square roots of the counts of its hashed 1-, 3- and 4-grams of
     UTF-8 bytes in lower case, at unit length.  Every byte of the text counts."""
-    raw = [(" " + t.lower() + " ").encode("utf-8", "replace") for t in texts]
-    data = np.frombuffer(b"".join(raw) + b"   ", np.uint8).astype(np.uint32)
-    sizes = np.array([len(x) for x in raw])
-    owner = np.repeat(np.arange(len(raw), dtype=np.int64) << bits, sizes)
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(owner))
-    n = len(owner)
-    out = np.zeros(len(raw) << bits)
-    key = np.zeros(n, np.uint32)
-    for k in range(1, 5):
-        key = (key << np.uint32(8)) | data[k - 1 : k - 1 + n]
-        if k == 2:
-            continue
-        mixed = (key * np.uint32(2654435761) + np.uint32(k * 40503)) * np.uint32(2246822519)
-        slot = owner + (mixed >> np.uint32(32 - bits)).astype(np.int64)
-        if k > 1:
-            slot = slot[left >= k]
-        out += np.bincount(slot, minlength=len(out))
-    out = np.sqrt(out).reshape(len(raw), 1 << bits).astype(np.float32)
+    out = np.zeros(len(texts) << bits)
+    for some in _parts(texts):
+        rows, raw, counted, left = zip(*some, strict=True)
+        sizes = np.array([len(x) for x in raw])
+        data = np.frombuffer(b"".join(raw) + bytes(3), np.uint8).astype(np.uint32)
+        n = len(data) - 3
+        inside = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        owner = np.repeat(np.array(rows, np.int64) << bits, sizes)
+        rest = np.repeat(np.array(left), sizes) - inside
+        here = inside < np.repeat(np.array(counted), sizes)
+        key = np.zeros(n, np.uint32)
+        for k in range(1, 5):
+            key = (key << np.uint32(8)) | data[k - 1 : k - 1 + n]
+            if k == 2:
+                continue
+            mixed = (key * np.uint32(2654435761) + np.uint32(k * 40503)) * np.uint32(2246822519)
+            slot = owner + (mixed >> np.uint32(32 - bits)).astype(np.int64)
+            out += np.bincount(slot[here & (rest >= k)], minlength=len(out))
+    out = np.sqrt(out).reshape(len(texts), 1 << bits).astype(np.float32)
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 

@@ -25,6 +25,9 @@ _MARKS = ".,;:!?*#$%&|<>()[]{}+-=/"
 # Byte-level models write bytes as characters: printable ones as they are, the others from 256 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARS = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
+# Where a long text may be cut: a space between two words begins a chunk.
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+_PART = 1 << 20
 _LEADING_SPACE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 
 
@@ -111,7 +114,11 @@ class CachedEncoder:
         """The ids as little-endian integers of ``dtype``."""
         if self._cut is None or _ODD.search(text):
             return self._whole(text)
-        return b"".join(map(self._chunks.__getitem__, self._cut(text)))
+        out, at = [], 0
+        while len(text) - at > _PART and (space := _BETWEEN.search(text, at + _PART)):
+            out += [self._chunks[x] for x in self._cut(text[at : space.start()])]
+            at = space.start()
+        return b"".join([*out, *map(self._chunks.__getitem__, self._cut(text[at:] if at else text))])
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.bytes(text), self.dtype)

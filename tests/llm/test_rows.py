@@ -226,6 +226,23 @@ def test_cached_ids_are_the_tokenizers(text):
 ENCODERS: dict = {}
 
 
+def test_long_texts_in_parts(monkeypatch):
+    text = "Some words,  more\n words\n\n here  and there. " * 9
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        known = CachedEncoder(public_tokenizers.path(name))
+        whole = known.ids(text).tolist()
+        monkeypatch.setattr("lacuna.llm.tokens._PART", 20)
+        assert known.ids(text).tolist() == whole == known.tokenizer.encode(text, add_special_tokens=False).ids
+        monkeypatch.undo()
+    rows = langid.grams([text, "x", text[:30]])
+    monkeypatch.setattr(langid, "_PART", 7)
+    assert np.array_equal(langid.grams([text, "x", text[:30]]), rows)
+    index = decontam.Items([1, 2], ["a passage that is to be found in it", "found"])
+    page = "b" * 95 + "a passage that is tobe found in it" + "c" * 300 + "a passage that is to be found in it"
+    assert index.find([page, "", "found"], part=30) == index.find([page, "", "found"])
+    assert {x[0] for x in index.find([page])[0]} == {1, 2}
+
+
 def test_special_tokens_in_texts():
     known = CachedEncoder(public_tokenizers.path("byte_bpe_50k.json"))
     text = "a<|endoftext|>b <|endoftext|> it's  they'll\n\n x"
