@@ -156,9 +156,8 @@ def run_by_file(
             job(group)
             outcome += [(_base(path), True, None) for path in group]
         except Exception as error:  # whatever the read or write of this group raised
-            named = [path for path in group if path.rstrip("/") in _unescaped(str(error))]
-            # A path may begin another one; the longest is meant.
-            bad = max(named, key=len, default=None if len(group) > 1 else group[0])
+            named = _named(str(error), group)
+            bad = named[0] if len(named) == 1 else group[0] if len(group) == 1 else None
             unnamed = unnamed if named else error
             if bad is None:
                 middle = len(group) // 2
@@ -182,6 +181,8 @@ def _base(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
-def _unescaped(message: str) -> str:
-    """The message, and again with %20 and the like as characters."""
-    return f"{message}\n{unquote(message)}"
+def _named(message: str, paths: Sequence[str]) -> list[str]:
+    """The paths a message names, as they are or escaped; one that only begins another is not meant."""
+    text = f"{message}\n{unquote(message)}"
+    found = [path for path in paths if path.rstrip("/") in text]
+    return [x for x in found if not any(x != y and y.startswith(x.rstrip("/")) for y in found)]
