@@ -21,11 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(frame: DataFrame, purpose: str) -> DataFrame:
+def staged(frame: DataFrame, purpose: str, compression: str = "zstd") -> DataFrame:
     """The rows, written once to the shared folder and read back: a cut in the lineage
     that lost executors do not undo."""
     path = new_folder(frame.sparkSession, purpose)
-    frame.write.option("compression", "zstd").parquet(path)
+    frame.write.option("compression", compression).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -192,18 +192,22 @@ def components(pairs: DataFrame) -> DataFrame:
         part = F.xxhash64("a", "b").cast("decimal(38,0)")
         return tuple(frame.agg(F.count(F.lit(1)), F.sum(part)).first())
 
-    now = staged(ordered(pairs), "links")
-    seen = mark(now)
-    while seen[0]:
+    def stars(links: DataFrame) -> DataFrame:
         # Larger neighbours v of u go to m, the least of u and its neighbours.
-        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("l"))
+        both = both.select("l.*")
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = ordered(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        large = ordered(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         # Smaller neighbours v of u, and u itself, go to the least of them.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(least, "a")
-        small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(joined.select("a", F.col("m").alias("b")))
-        now = staged(ordered(small), "links")
+        to_least = F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b"))))
+        return ordered(large.join(least, "a").select(to_least.alias("l")).select("l.*"))
+
+    # Hashes do not compress, and links are few: the files stay plain.
+    now = staged(ordered(pairs), "links", "none")
+    seen = mark(now)
+    while seen[0]:
+        now = staged(stars(now), "links", "none")
         before, seen = seen, mark(now)
         if seen == before:
             break
@@ -221,7 +225,7 @@ def near_duplicates(
     smallest id, null last, then smallest hash of the text.  Repeated rows are alike in
     all of it.  An empty table gives no rows.
     """
-    prints = staged(fingerprints(documents, shingle, doc_id, text), "fingerprints")
+    prints = staged(fingerprints(documents, shingle, doc_id, text), "fingerprints", "none")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
     classes = prints.groupBy("fp").agg(F.min(first).alias("first"))
     linked = components(links(prints, radius)).withColumnRenamed("node", "fp")
