@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -191,8 +192,9 @@ def _joined(held: list[list[np.ndarray]]) -> list[np.ndarray]:
 # What rows carry, by kind.  A document is its id and, where ids repeat, a hash of its text.
 _RUN = (np.uint64, np.uint64, np.int64, np.uint64, np.int64, np.int64)  # lead, hash, doc, row, first, count
 _RANGE = (np.int64, np.uint64, np.int64, np.int64)  # doc, row, first, end
-_OPEN = (*_RANGE, np.uint64)  # and lead
-_RUNS, _REMOVED, _COLD, _HOT, _SPANS, _STRINGS, _TEXT = range(7)
+_OPEN = (*_RANGE, np.uint64, np.uint8)  # and lead, and whether that is hot
+# Ranges a task has removed (_GONE) go to a bucket, which sends them home (_REMOVED) with its own.
+_RUNS, _GONE, _REMOVED, _OPENED, _SPANS, _STRINGS, _TEXT = range(7)
 _ROW_SQL = "part int, kind int, blob binary"
 #: A leading token with more unequal runs in a bucket has its strings dealt out singly.
 HOT_RUNS = 4096
@@ -250,6 +252,10 @@ def _removed_rows(ranges: list[np.ndarray], parts: int) -> list[tuple[int, int,
     return _by_part(_home(ranges[0], ranges[1], parts), ranges, _REMOVED)
 
 
+def _gone_row(ranges: list[np.ndarray], parts: int) -> list[tuple[int, int, bytes]]:
+    return [(TaskContext.get().partitionId() % parts, _GONE, _packed(ranges))] if len(ranges[0]) else []
+
+
 def _bucket(keys: list[np.ndarray], splitters: list[np.ndarray]) -> np.ndarray:
     """How many splitters are at most each row, by all keys."""
     n = len(splitters[0])
@@ -292,7 +298,7 @@ def _map_runs(splitters: list[np.ndarray], parts: int, length: int, token: int):
 
     def out(held: list) -> pa.RecordBatch:
         entries, gone = _folded(_joined(held), length)
-        return _batch(_removed_rows(gone, parts) + _by_part(_bucket(entries[:2], splitters), entries, _RUNS))
+        return _batch(_gone_row(gone, parts) + _by_part(_bucket(entries[:2], splitters), entries, _RUNS))
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -319,31 +325,26 @@ def _meet_runs(splitters: list[np.ndarray], parts: int, length: int):
     edges = np.unique(splitters[0])
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+        held, removed = [], []
         for batch in batches:
-            passed = []
-            for part, kind, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if kind == _RUNS:
-                    held.append(_unpacked(blob, _RUN)[0])
-                else:
-                    passed.append((part, kind, blob))
-            yield _batch(passed)
+            for kind, blob in zip(batch.column("kind").to_pylist(), batch.column("blob").to_pylist(), strict=True):
+                (held if kind == _RUNS else removed).append(_unpacked(blob, _RUN if kind == _RUNS else _RANGE)[0])
         if not held:
+            if removed:
+                yield _batch(_removed_rows(_merged(_joined(removed)), parts))
             return
         (lead, _, doc, row, first, count), gone = _folded(_joined(held), length)
         held.clear()
+        gone = _merged(_joined([gone, *removed]))
         starts = np.flatnonzero(_new(lead))
         sizes = np.diff(np.append(starts, len(lead)))
         several = np.repeat(np.maximum.reduceat(doc, starts) != np.minimum.reduceat(doc, starts), sizes)
         # A token that a splitter has may be in the next bucket too, so it stays open.
         edge = np.isin(lead, edges)
         hot = edge | (several & (np.repeat(sizes, sizes) > HOT_RUNS))
-        opened = [doc, row, first, first + count - 1 + length, lead]
-        rows = _removed_rows(gone, parts)
-        for kind, chosen in ((_COLD, several & ~hot), (_HOT, hot)):
-            some = [x[chosen] for x in opened]
-            rows += _by_part(_home(some[0], some[1], parts), some, kind)
-        yield _batch(rows)
+        opened = [doc, row, first, first + count - 1 + length, lead, hot.astype(np.uint8)]
+        some = [x[several | hot] for x in opened]
+        yield _batch(_removed_rows(gone, parts) + _by_part(_home(some[0], some[1], parts), some, _OPENED))
 
     return mapped
 
@@ -374,7 +375,7 @@ def _map_strings(parts: int, length: int):
     """Step 2: the bytes of open runs by leading token, and the strings of hot ones."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, ranges = {_COLD: [], _HOT: []}, None
+        held, ranges = [], None
         spans: list[tuple] = []
         strings: list[list[np.ndarray]] = []
         size = 0
@@ -383,7 +384,7 @@ def _map_strings(parts: int, length: int):
             rows = []
             if strings:
                 entries, gone = _folded(_joined(strings), length)
-                rows += _removed_rows(gone, parts)
+                rows += _gone_row(gone, parts)
                 rows += _by_part((_mixed(entries[0]) % _U(parts)).astype(np.int64), entries, _STRINGS)
             by: dict[int, list] = {}
             for span in sorted(spans, key=lambda x: x[0]):
@@ -396,21 +397,19 @@ def _map_strings(parts: int, length: int):
 
         for batch in batches:
             for kind, blob in zip(batch.column("kind").to_pylist(), batch.column("blob").to_pylist(), strict=True):
-                if kind in held:
-                    held[kind].append(_unpacked(blob, _OPEN)[0])
-                    continue
-                if kind != _TEXT:
+                if kind == _OPENED:
+                    held.append(_unpacked(blob, _OPEN)[0])
                     continue
-                ranges = ranges or {k: _Ranges(v, _OPEN) for k, v in held.items()}
+                ranges = ranges or _Ranges(held, _OPEN)
                 some = _read_batch(blob)
                 for doc, row, text in zip(*(some.column(c).to_pylist() for c in ("i", "r", "t")), strict=True):
                     row &= (1 << 64) - 1
-                    _, _, first, end, lead = ranges[_COLD](doc, row)
-                    for a, b, v in zip(first.tolist(), end.tolist(), lead.tolist(), strict=True):
-                        spans.append((v, doc, row, a, text[a:b]))
-                        size += b - a
-                    _, _, first, end, _ = ranges[_HOT](doc, row)
-                    for a, b in zip(first.tolist(), end.tolist(), strict=True):
+                    _, _, *columns = ranges(doc, row)
+                    for a, b, v, hot in zip(*(c.tolist() for c in columns), strict=True):
+                        if not hot:
+                            spans.append((v, doc, row, a, text[a:b]))
+                            size += b - a
+                            continue
                         data = np.frombuffer(text, np.uint8)[a:b]
                         n = b - a - length + 1
                         strings.append(
@@ -461,19 +460,17 @@ def _meet_strings(parts: int, length: int):
     """Step 2, a bucket: ranges of strings that a smaller id has."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spans, strings = [], []
+        spans, strings, removed = [], [], []
         for batch in batches:
-            passed = []
-            for part, kind, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for kind, blob in zip(batch.column("kind").to_pylist(), batch.column("blob").to_pylist(), strict=True):
                 if kind == _SPANS:
                     spans.append(_unpacked(blob, _SPAN))
                 elif kind == _STRINGS:
                     strings.append(_unpacked(blob, _RUN)[0])
                 else:
-                    passed.append((part, kind, blob))
-            yield _batch(passed)
+                    removed.append(_unpacked(blob, _RANGE)[0])
         if strings:
-            yield _batch(_removed_rows(_folded(_joined(strings), length)[1], parts))
+            removed.append(_folded(_joined(strings), length)[1])
         if spans:
             lead, doc, row, first, size = _joined([s for s, _ in spans])
             data = np.frombuffer(b"".join(d for _, d in spans), np.uint8)
@@ -494,7 +491,9 @@ def _meet_strings(parts: int, length: int):
                 span, inside = equal_strings(doc[some], first[some], size[some], text, length)
                 which = some[span]
                 start = first[which] + inside
-                yield _batch(_removed_rows(_merged([doc[which], row[which], start, start + length]), parts))
+                removed.append(_merged([doc[which], row[which], start, start + length]))
+        if removed:
+            yield _batch(_removed_rows(_merged(_joined(removed)), parts))
 
     return mapped
 
@@ -587,7 +586,7 @@ def suffix_dedup(
     found = staged(met(runs_by_bucket).mapInArrow(_meet_runs(splitters, parts, length), _ROW_SQL), "suffix-runs")
 
     bare = texts.select("i", "r", "t", F.lit(None).cast("int").alias("d")).mapInArrow(_by_home(parts), _ROW_SQL)
-    opened = found.filter(F.col("kind").isin(_COLD, _HOT))
+    opened = found.filter(F.col("kind") == _OPENED)
     strings = met(opened.union(bare)).sortWithinPartitions("kind").mapInArrow(_map_strings(parts, length), _ROW_SQL)
     more = met(strings).mapInArrow(_meet_strings(parts, length), _ROW_SQL)
 
