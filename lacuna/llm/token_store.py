@@ -44,8 +44,8 @@ _BLOCKS_SQL = (
     "part int, block int, dictionary string, id_bytes int, doc_ids array<bigint>, "
     "n_tokens array<bigint>, offsets array<bigint>, frames binary"
 )
-TOKENS = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("block", pa.int32()), ("at", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.large_binary())])
-_TOKENS_SQL = "doc_id bigint, part int, block int, at bigint, n_tokens bigint, ids binary"
+_PLACE = [("doc_id", pa.int64()), ("part", pa.int32()), ("block", pa.int32()), ("at", pa.int64()), ("n_tokens", pa.int64())]
+_PLACE_SQL = "doc_id bigint, part int, block int, at bigint, n_tokens bigint"
 
 
 def _serialised(text: str | None, path: str, end_id: int) -> bytes:
@@ -133,13 +133,9 @@ def _dictionaries(spark: SparkSession, folder: str) -> dict[str, bytes]:
     return {r.hash: bytes(r.dictionary) for r in spark.read.parquet(f"{folder}/dictionary").collect()}
 
 
-def read_tokens(spark: SparkSession, folder: str, doc_ids: list[int] | None = None) -> DataFrame:
-    """The documents of a folder: ``doc_id, part, block, at, n_tokens, ids``.
-
-    ``at`` is the number of ids before the document in its block.  With ``doc_ids`` only
-    the frames of those documents are decompressed.
-    """
-    wanted = set(doc_ids) if doc_ids is not None else None
+def _reader(spark: SparkSession, folder: str, wanted: set | None, finish):
+    """Batch function from blocks to (doc_id, part, block, at, n_tokens, ``finish``(ids)),
+    the ids as little-endian 32-bit integers."""
     known = _dictionaries(spark, folder)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,18 +156,46 @@ def read_tokens(spark: SparkSession, folder: str, doc_ids: list[int] | None = No
                             ids = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
                         if len(ids) != 4 * n:
                             raise ValueError(f"document {i}: {len(ids) // 4} ids, not {n}")
-                        out.append((i, row["part"], row["block"], before, n, ids))
+                        out.append((i, row["part"], row["block"], before, n, finish(ids)))
                         size += len(ids)
                     before += n
                     if size >= 8 << 20:
-                        yield from_rows(out, TOKENS)
+                        yield from_rows(out, finish.schema)
                         out, size = [], 0
-                yield from_rows(out, TOKENS)
+                yield from_rows(out, finish.schema)
+
+    return read
+
+
+class _Ids:
+    """The ids themselves."""
+
+    schema = pa.schema([*_PLACE, ("ids", pa.large_binary())])
+    sql = f"{_PLACE_SQL}, ids binary"
+
+    def __call__(self, ids: bytes) -> bytes:
+        return ids
+
 
+class _Crc32:
+    schema = pa.schema([*_PLACE, ("ids_crc32", pa.int64())])
+    sql = f"{_PLACE_SQL}, ids_crc32 bigint"
+
+    def __call__(self, ids: bytes) -> int:
+        return zlib.crc32(ids)
+
+
+def read_tokens(spark: SparkSession, folder: str, doc_ids: list[int] | None = None) -> DataFrame:
+    """The documents of a folder: ``doc_id, part, block, at, n_tokens, ids``.
+
+    ``at`` is the number of ids before the document in its block.  With ``doc_ids`` only
+    the frames of those documents are decompressed.
+    """
+    wanted = set(doc_ids) if doc_ids is not None else None
     found = spark.read.parquet(f"{folder}/blocks")
     if wanted is not None:
         found = found.filter(F.arrays_overlap("doc_ids", F.array(*map(F.lit, wanted)).cast("array<bigint>")))
-    return found.mapInArrow(read, _TOKENS_SQL)
+    return found.mapInArrow(_reader(spark, folder, wanted, _Ids()), _Ids.sql)
 
 
 def starts(spark: SparkSession, folder: str) -> DataFrame:
@@ -193,18 +217,8 @@ def starts(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored(spark: SparkSession, folder: str) -> DataFrame:
     """What is read back, per document: ``doc_id, start, n_tokens, ids_crc32``."""
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = [zlib.crc32(x) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "part", "block", "at", "n_tokens")), pa.array(crc, pa.int64())],
-                ["doc_id", "part", "block", "at", "n_tokens", "ids_crc32"],
-            )
-
-    rows = read_tokens(spark, folder).mapInArrow(
-        sums, "doc_id bigint, part int, block int, at bigint, n_tokens bigint, ids_crc32 bigint"
-    )
+    blocks = spark.read.parquet(f"{folder}/blocks")
+    rows = blocks.mapInArrow(_reader(spark, folder, None, _Crc32()), _Crc32.sql)
     return rows.join(starts(spark, folder), ["part", "block"]).select(
         "doc_id", (F.col("at") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
     )
