@@ -214,9 +214,9 @@ def templates(pages: DataFrame) -> DataFrame:
     both = facts.union(everywhere.select(F.lit("*").alias("host"), "token", "pages", "one", "two", "place"))
     totals = both.filter(F.col("token") == _PAGE).select("host", F.col("pages").alias("of"))
     frequent = (
-        both.filter(F.col("token") != _PAGE)
+        both.filter((F.col("token") != _PAGE) & (F.col("pages") > 1))  # few are: before rows meet by host
         .join(totals.filter((F.col("of") >= LEAST_PAGES) | (F.col("host") == "*")), "host")
-        .filter(F.col("pages") >= F.greatest(F.lit(2.0), F.lit(SUPPORT) * F.col("of")))
+        .filter(F.col("pages") >= F.lit(SUPPORT) * F.col("of"))
     )
     # A class is ordered by its tokens' mean place, and stands where its first token does.
     place = (F.col("place") / F.col("pages")).alias("at")
