@@ -1,8 +1,8 @@
 """Chat formatting: keep the longest of cumulative snapshots, then render turns.
 
 Logs often hold a conversation again after every turn.  A snapshot is recognised by
-hashes of turn prefixes: the hash of the first k turns is a sum of hashes of (position,
-role, text), so one running sum gives it for every k.
+hashes of turn prefixes, which one running aggregate over hashes of turns gives for every
+prefix.
 """
 
 from __future__ import annotations
@@ -17,38 +17,57 @@ TEMPLATE = ("<|", "|>\n", "\n<|end|>\n")
 SEGMENT_TURNS = 1000
 
 
-def prefixes(conversations: DataFrame) -> DataFrame:
-    """Each turn with its position, the turns of its conversation, and the two hashes of
-    all turns up to it.
+def _turns(conversations: DataFrame) -> DataFrame:
+    """The turns with a key of their conversation and two hashes of role and text."""
+    role, text = F.col("role").cast("string"), F.col("text").cast("string")
+    parts = (role.isNull(), role, text.isNull(), text)
+    return conversations.select(
+        F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")).alias("key"),
+        "conv_id",
+        "turn",
+        role.alias("role"),
+        text.alias("text"),
+        F.xxhash64(*parts).alias("one"),
+        F.xxhash64(F.lit("2"), *parts).alias("two"),
+    )
+
+
+def _at() -> Column:
+    """The position of a turn: by number (null first), equal numbers by their hashes."""
+    return F.row_number().over(W.partitionBy("key").orderBy("turn", "one", "two"))
+
 
-    Turns are ordered by number, then role and text (nulls first), repeated rows included;
-    a null role or text is one of its own, unlike the empty one.  Rows without a
-    ``conv_id`` form one conversation.
+def prefixes(turns: DataFrame) -> DataFrame:
+    """``key, conv_id, at, turns, p1, p2``: for each turn its position, the turns of its
+    conversation, and two hashes of all turns up to it.
+
+    A prefix hash is the exclusive or of hashes of (position, role, text), so one running
+    aggregate over hashes gives it; no text is sorted for it.
     """
-    whole = W.partitionBy("conv_id")
-    turns = conversations.select("conv_id", "turn", F.col("role").cast("string"), F.col("text").cast("string"))
-    at = turns.withColumn("at", F.row_number().over(whole.orderBy("turn", "role", "text")))
-    parts = (F.col("at"), F.col("role").isNull(), F.col("role"), F.col("text").isNull(), F.col("text"))
-    # Half of each hash as a decimal-safe number: sums of longs must not overflow in ANSI mode.
-    one, two = F.xxhash64(*parts), F.xxhash64(F.lit("2"), *parts)
-    low = F.lit((1 << 40) - 1)
-    running = whole.orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow)
-    for name, found in (("p1", one), ("p2", two), ("p3", F.shiftrightunsigned(one, 24))):
-        at = at.withColumn(name, F.sum(found.bitwiseAND(low)).over(running))
-    last = F.max("at").over(whole.orderBy("at").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    return at.withColumn("turns", last)
+    whole = W.partitionBy("key").orderBy("at")
+    running = whole.rowsBetween(W.unboundedPreceding, W.currentRow)
+    at = turns.select("key", "conv_id", "turn", "one", "two").withColumn("at", _at())
+    return at.select(
+        "key",
+        "conv_id",
+        "at",
+        F.max("at").over(whole.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("turns"),
+        F.bit_xor(F.xxhash64("at", "one", "two")).over(running).alias("p1"),
+        F.bit_xor(F.xxhash64("two", "one", "at")).over(running).alias("p2"),
+    )
 
 
-KEY = ["at", "p1", "p2", "p3"]
+PREFIX = ["at", "p1", "p2"]
 
 
 def maximal(turns: DataFrame) -> DataFrame:
-    """The ``conv_id`` of conversations that no other one continues; of equal ones the
+    """``key, n_turns`` of conversations that no other one continues; of equal ones the
     smallest id (a null id only if no other has these turns).  ``turns``: ``prefixes()``."""
-    ends = turns.filter("at = turns").groupBy(*KEY).agg(F.min("conv_id").alias("conv_id"))
+    first = F.struct(F.col("conv_id").isNull(), "conv_id", "key")
+    ends = turns.filter("at = turns").groupBy(*PREFIX).agg(F.min(first)["key"].alias("key"))
     # One row for each prefix however many conversations share it, folded before the shuffle.
-    proper = turns.filter("at < turns").select(*KEY).distinct()
-    return ends.join(proper, KEY, "left_anti").select("conv_id", F.col("at").alias("n_turns"))
+    proper = turns.filter("at < turns").select(*PREFIX).distinct()
+    return ends.join(proper, PREFIX, "left_anti").select("key", F.col("at").alias("n_turns"))
 
 
 def rendered(role: Column, text: Column) -> Column:
@@ -60,22 +79,24 @@ def rendered(role: Column, text: Column) -> Column:
 def chat_format(conversations: DataFrame, segment_turns: int = SEGMENT_TURNS) -> DataFrame:
     """Maximal conversations as text: ``conv_id, n_turns, segment, n_segment_turns, text``.
 
-    Conversations of up to ``segment_turns`` turns are one row with segment 0; the texts
-    of a longer one, in segment order, add up to it, so no row grows without bound.
-    An empty table gives no rows.
+    Turns are ordered by number (null first), equal numbers by a hash of role and text,
+    repeated rows included; a null role or text is one of its own, unlike the empty one.
+    Rows without a ``conv_id`` form one conversation.  Conversations of up to
+    ``segment_turns`` turns are one row with segment 0; the texts of a longer one, in
+    segment order, add up to it, so no row grows without bound.  Other columns are not
+    read; an empty table gives no rows.
     """
-    turns = prefixes(conversations)
-    kept = maximal(turns)
-    chosen = turns.alias("t").join(
-        kept.alias("k"), F.col("t.conv_id").eqNullSafe(F.col("k.conv_id")), "left_semi"
-    )
+    turns = _turns(conversations)
+    # Texts are shuffled once, by conversation, for all that follows.
+    chosen = turns.join(maximal(prefixes(turns)), "key").withColumn("at", _at())
+    each = F.struct("at", rendered(F.col("role"), F.col("text")).alias("s"))
     return (
         chosen.withColumn("segment", F.floor((F.col("at") - 1) / segment_turns).cast("long"))
-        .groupBy("conv_id", "turns", "segment")
-        .agg(F.sort_array(F.collect_list(F.struct("at", rendered(F.col("role"), F.col("text")).alias("s")))).alias("all"))
+        .groupBy("key", "conv_id", "n_turns", "segment")
+        .agg(F.sort_array(F.collect_list(each)).alias("all"))
         .select(
             "conv_id",
-            F.col("turns").cast("long").alias("n_turns"),
+            F.col("n_turns").cast("long").alias("n_turns"),
             "segment",
             F.size("all").cast("long").alias("n_segment_turns"),
             F.array_join("all.s", "").alias("text"),
