@@ -22,7 +22,7 @@ def _cleaner(counters: bool = False):
 
     def clean_batches(batches):
         import json
-        import math
+        import re
         import sys
 
         import pyarrow as pa
@@ -37,8 +37,13 @@ def _cleaner(counters: bool = False):
             return n if -(2**63) <= n < 2**64 and token != "-0" else real(token)
 
         def real(token):
-            x = float(token)
-            return x if math.isfinite(x) else reject(token)
+            return float(token)  # infinity beyond its range, as for the other readers
+
+        # How such a number is written: as one that is again read so.
+        infinite = re.compile(r'"(?:[^"\\]|\\.)*"|Infinity')
+
+        def spelled(text):
+            return infinite.sub(lambda m: "1e999" if m[0] == "Infinity" else m[0], text)
 
         decode = json.JSONDecoder(parse_constant=reject, parse_int=integer, parse_float=real).decode
         encode = json.JSONEncoder(
@@ -80,6 +85,8 @@ def _cleaner(counters: bool = False):
                 try:
                     left, removed = shrink(decode(line), False, 0)
                     text = None if left is None else encode(left)
+                    if text and "Infinity" in text:
+                        text = spelled(text)
                 except (ValueError, RecursionError):
                     continue
                 rows.append(i)

@@ -140,20 +140,8 @@ def _fair_share(spark: SparkSession, paths: list[str], cores: int | None) -> tup
 
 
 def readable(text: Column) -> Column:
-    """Valid UTF-8, no escape that stands for half a character, no number beyond a double."""
-    escapes = ~text.contains("\\u") | text.rlike(WELL_FORMED_ESCAPES)
-    return F.is_valid_utf8(text) & escapes & (~text.rlike(_LARGE) | _within_double(text))
-
-
-# What a number beyond the range of a double has at least.
-_LARGE = r"[0-9](?:[eE]\+?0*[1-9][0-9]{2}|[0-9]{299})"
-
-
-def _within_double(text: Column) -> Column:
-    """Whether every number outside the strings is finite as a double."""
-    bare = F.regexp_replace(text, r'"(?:[^"\\]++|\\.)*+"', '""')
-    numbers = F.regexp_extract_all(bare, F.lit(r"([0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)"), F.lit(1))
-    return ~F.exists(numbers, lambda x: x.try_cast("double") == F.lit(float("inf")))
+    """Valid UTF-8, and no escape that stands for half a character."""
+    return F.is_valid_utf8(text) & (~text.contains("\\u") | text.rlike(WELL_FORMED_ESCAPES))
 
 
 def nonblank(lines: DataFrame) -> DataFrame:
@@ -177,8 +165,9 @@ def parse_values(lines: DataFrame, reader: str = "strict") -> DataFrame:
     """Replace ``value`` by ``record VARIANT``, whatever JSON it is; other columns stay.
 
     Lines that are not one complete JSON value are dropped.  With the ``strict``
-    reader invalid UTF-8, half surrogate pairs and numbers beyond the range of a double
-    void a line, the ``replacing`` one reads them as replacement characters or infinity.
+    reader invalid UTF-8 and half surrogate pairs void a line, the ``replacing``
+    one reads them as replacement characters.  A number beyond the range of a double
+    is infinity, here and in every other operator.
 
     The line is parsed as ``[line, number]`` with a random number: only if the line
     is one complete JSON value does the second element come out as that number, so

@@ -29,7 +29,7 @@ CASES = [
      '{"f":1.5,"n":12345678901234567890,"q":"\\"\\\\","z":0}', 0),
 ]
 NOT_JSON = ["", "   ", '{"a":', '{"a":1} x', '{"a":1}] {}', '{"a":01}', "{'a':1}", '{"a":NaN}',
-            '{"a":1e400}', '{"a":"\\ud800"}']
+            '{"a":"\\ud800"}']
 
 
 def test_cases(lines):
@@ -119,3 +119,8 @@ def test_other_columns_stay(lines):
     ]
     bare = clean_records(frame.select("value"))
     assert bare.columns == ["cleaned", "removed"] and bare.count() == 2
+
+
+def test_numbers_beyond_a_double_stay(lines):
+    rows = clean_records(lines('{"a":-1e400,"b":null,"c":"\\"Infinity 1e400"}')).collect()
+    assert [(r.cleaned, r.removed) for r in rows] == [('{"a":-1e999,"c":"\\"Infinity 1e400"}', 1)]

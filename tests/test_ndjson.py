@@ -163,9 +163,9 @@ def nested(depth):
         ('{"a":0.' + "1" * 1500 + "}", 1),
         (nested(1500), 1),
         (nested(ndjson.MAX_DEPTH + 1), 0),
-        ('{"a":1e400}', 0),
-        ('{"a":[-1e+0400]}', 0),
-        ('{"a":' + "9" * 400 + "}", 0),
+        ('{"a":1e400}', 1),
+        ('{"a":[-1e+0400]}', 1),
+        ('{"a":' + "9" * 400 + "}", 1),
         ('{"a":1e300,"b":"1e400 \\" 1e999"}', 1),
         ('{"a":' + "9" * 308 + "}", 1),
         ('{"a":1e-400}', 1),
