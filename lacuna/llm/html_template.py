@@ -1,13 +1,17 @@
 """HTML extraction: templates deduced from equivalence classes of page tokens.
 
 A page is a sequence of tokens: opening tags, told apart by the path of tags above them,
-and text nodes with their path.  Over the pages of a host each token has an occurrence
-vector, its count on every page; tokens with the same vector form an equivalence class.
-Classes on at least half of the pages, in the order of their tokens, are the template.
-What stands between template tokens are slots.
+and text nodes with their path, told apart by how often they stood before.  Over the pages
+of a host each token has an occurrence vector, the pages it is on; tokens with the same
+vector form an equivalence class.  Those on all pages are the root class.
 
-The vector is kept as a sum of hashes of (page, count), so classes come out of one
-aggregation that is folded before its shuffle, however many pages a host has.
+A class is valid if its tokens stand in one order on all its pages and each nests in one
+slot of the root class; tokens that break this leave it.  Valid tokens on at least half
+of the pages, near copies of a page counted as one, are the template.  What stands between
+template tokens are slots, and the article is what fills them.
+
+The vector is kept as a sum of hashes of its pages, so classes come out of one aggregation
+that is folded before its shuffle, however many pages a host has; so does their test.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ import html
 import re
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +36,8 @@ from lacuna.llm.url_filter import host_of
 LEAST_PAGES = 4
 #: A class is part of the template if its tokens are on this share of the pages.
 SUPPORT = 0.5
+#: A page is a copy if so much of its text is the root class, or if so much of the rest is on most pages.
+SAME, COPIED = 0.9, 0.5
 #: Templates up to this many tokens in total are broadcast, more are joined.
 BROADCAST_TOKENS = 4 << 20
 
@@ -73,14 +79,13 @@ class Node:
     article: bool
 
 
-def parse(page: str) -> tuple[list[str], list[Node]]:
-    """(paths of the opened elements, text blocks), both in page order.
+def parse(page: str) -> list[str | Node]:
+    """The paths of the opened elements and the text blocks, in page order.
 
     Broken markup is read as browsers do, roughly: a block closes an open paragraph,
     an end tag closes what is open inside its element, and one without is ignored.
     """
-    opened: list[str] = []
-    nodes: list[Node] = []
+    items: list[str | Node] = []
     stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
     depth: Counter = Counter()
     held: list[str] = []
@@ -90,7 +95,7 @@ def parse(page: str) -> tuple[list[str], list[Node]]:
         held.clear()
         if text:
             _, path, aside, article = stack[-1]
-            nodes.append(Node(path, text, aside, article))
+            items.append(Node(path, text, aside, article))
 
     def close(name: str) -> None:
         if depth[name]:
@@ -147,83 +152,199 @@ def parse(page: str) -> tuple[list[str], list[Node]]:
         path = f"{path}/{label}" if len(path) < 1000 else path
         stack.append((name, path, aside or name in ASIDE, article or name in ("article", "main")))
         depth[name] += 1
-        opened.append(path)
+        items.append(path)
     flush()
-    return opened, nodes
+    return items
 
 
 def _token(path: str, text: str | None = None) -> int:
     return xxhash.xxh64_intdigest(path if text is None else f"{path}\0{text}") >> 1
 
 
-def page_tokens(page: str) -> dict[int, tuple[int, int]]:
-    """Of each token its count and the place where it is first."""
-    opened, nodes = parse(page)
-    out: dict[int, tuple[int, int]] = {}
-    # Tags and text nodes are numbered apart; classes hold either, mostly.
-    for place, token in enumerate([*map(_token, opened), *(_token(n.path, n.text) for n in nodes)]):
-        count, first = out.get(token, (0, place))
-        out[token] = (count + 1, first)
+def page_tokens(items: list[str | Node]) -> list[int]:
+    """The token of each item; a text block that stood before is another token each time."""
+    seen: Counter = Counter()
+    out = []
+    for item in items:
+        if isinstance(item, str):
+            out.append(_token(item))
+            continue
+        token = _token(item.path, item.text)
+        seen[token] += 1
+        out.append(token if seen[token] == 1 else _token(item.path, f"{item.text}\0{seen[token]}"))
     return out
 
 
-_FACTS = "host string, token bigint, pages bigint, one bigint, two bigint, place bigint"
+_FACTS = "host string, token bigint, pages bigint, total bigint, one bigint, two bigint, place bigint"
 _PAGE = -1  # stands for the page itself
+_EVERY = "*"  # the host that has all pages
 
 
-def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per host and token: pages it is on, two sums of hashes of (page, count), sum of places."""
+def _rows(known: dict, kinds: str) -> pa.RecordBatch:
+    """A batch of the keys and values of a dict, for a schema with a leading host."""
+    names = [x.split()[0] for x in kinds.split(", ")]
+    columns = list(zip(*((*k, *v) for k, v in known.items()), strict=True)) or [()] * len(names)
+    types = [pa.string(), *[pa.int64()] * (len(names) - 1)]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    def out(known: dict) -> pa.RecordBatch:
-        rows = [(h, t, *v) for (h, t), v in known.items()]
-        columns = list(zip(*rows, strict=True)) or [()] * 6
-        kinds = (pa.string(), *[pa.int64()] * 5)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "token", "pages", "one", "two", "place"]
-        )
 
+def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per host and token: pages it is on, how often in all, two sums of hashes of its pages, sum of places."""
     known: dict = {}
     for batch in batches:
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             key = xxhash.xxh64_intdigest(page or "")
-            for token, (count, place) in [*page_tokens(page or "").items(), (_PAGE, (1, 0))]:
+            of_page: dict[int, list[int]] = {_PAGE: [1, 0]}
+            for place, token in enumerate(page_tokens(parse(page or ""))):
+                of_page.setdefault(token, [0, place])[0] += 1
+            for token, (count, place) in of_page.items():
                 # 40 bits each, so that sums of longs stay in range.
                 mixed = (key ^ (count * 0x9E3779B97F4A7C15)) & 0xFFFFFFFFFFFFFFFF
                 mixed = mixed * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF
-                entry = known.setdefault((host, token), [0, 0, 0, 0])
+                entry = known.setdefault((host, token), [0, 0, 0, 0, 0])
                 entry[0] += 1
-                entry[1] += mixed >> 24
-                entry[2] += mixed & 0xFFFFFFFFFF
-                entry[3] += place
+                entry[1] += count
+                entry[2] += mixed >> 24
+                entry[3] += mixed & 0xFFFFFFFFFF
+                entry[4] += place
+        if len(known) > 200_000:
+            yield _rows(known, _FACTS)
+            known = {}
+    if known:
+        yield _rows(known, _FACTS)
+
+
+def _with_host(rows: DataFrame, found: DataFrame, most: int) -> tuple[DataFrame, Callable]:
+    """``rows`` and a function from a batch of them to (tokens of the host, of all pages) of each
+    row, None if there are none.  ``found``: ``host, tokens``, broadcast up to ``most`` tokens, else joined."""
+    size = found.agg(F.sum(F.size("tokens") + 1)).first()[0] or 0
+    small = size <= most
+    known = {r.host: np.array(r.tokens, np.int64) for r in (found if small else found.filter(F.col("host") == _EVERY)).collect()}
+    shared = rows.sparkSession.sparkContext.broadcast(known)
+
+    def lookup(batch: pa.RecordBatch) -> Iterator[tuple]:
+        every = shared.value.get(_EVERY)
+        own = map(shared.value.get, batch.column("host").to_pylist()) if small else batch.column("tokens").to_pylist()
+        return ((tokens, every) for tokens in own)
+
+    return (rows if small else rows.join(found.filter(F.col("host") != _EVERY), "host", "left")), lookup
+
+
+def main_blocks(items: list[str | Node]) -> list[int]:
+    """The places of blocks that can be an article: those in marked articles if there are such."""
+    usable = [k for k, n in enumerate(items) if isinstance(n, Node) and not n.aside]
+    return [k for k in usable if items[k].article] or usable
+
+
+_TESTS = "host string, token bigint, alike bigint, pages bigint, first_slot bigint, last_slot bigint, broken bigint"
+_ALONE, _SAME = -1, -2  # a page like no other; pages that have hardly more than the root class
+
+
+def _tested(batches: Iterator[pa.RecordBatch], lookup: Callable) -> Iterator[pa.RecordBatch]:
+    """Per host, candidate token and group of like pages: pages, least and greatest slot of the
+    root class it stands in, pages on which it is out of its class's order."""
+    known: dict = {}
+    ranks: dict[str, dict[int, tuple[int, int]]] = {}
+
+    def test(host: str, rank: dict[int, tuple[int, int]], items: list[str | Node], tokens: list[int], main: list[int]) -> None:
+        classes: dict[int, list[int]] = {}  # 0 is the root class
+        for place, token in enumerate(tokens):
+            if token in rank:
+                classes.setdefault(rank[token][0], []).append(place)
+        right = set()
+        for places in classes.values():
+            fits = _in_order([tokens[p] for p in places], {tokens[p]: rank[tokens[p]][1] for p in places})
+            right.update(places[k] for k in fits)
+        # Text by class; None has what is on few pages.
+        chars: Counter = Counter()
+        for place in main:
+            chars[rank.get(tokens[place], (None,))[0]] += len(items[place].text)
+        total, root = chars.total(), chars[0]
+        rest = total - root
+        alike = _ALONE
+        if total and root >= SAME * total:
+            alike = _SAME
+        elif rest - chars[None] > COPIED * rest:
+            alike = max((n, part) for part, n in chars.items() if part)[1]
+        found, slot = [(_PAGE, 0, True)], 0
+        for place, token in enumerate(tokens):
+            if token not in rank:
+                continue
+            part, k = rank[token]
+            found.append((token, slot if part else 0, place in right))  # the root class is in no slot
+            if not part and place in right:
+                slot = k + 1
+        for token, at, fits in found:
+            entry = known.setdefault((host, token, alike), [0, at, at, 0])
+            entry[0] += 1
+            entry[1], entry[2] = min(entry[1], at), max(entry[2], at)
+            entry[3] += not fits
+
+    for batch in batches:
+        for host, page, (own, every) in zip(
+            batch.column("host").to_pylist(), batch.column("html").to_pylist(), lookup(batch), strict=True
+        ):
+            items = parse(page or "")
+            tokens, main = page_tokens(items), main_blocks(items)
+            for name, candidates in ((host, own), (_EVERY, every)):
+                if candidates is None:
+                    continue
+                if name not in ranks:
+                    if len(ranks) > 100:
+                        ranks.clear()
+                    numbers = np.asarray(candidates).tolist()
+                    pairs = zip(numbers[1::2], numbers[::2], strict=True)
+                    ranks[name] = {token: (part, k) for k, (token, part) in enumerate(pairs)}
+                test(name, ranks[name], items, tokens, main)
         if len(known) > 200_000:
-            yield out(known)
+            yield _rows(known, _TESTS)
             known = {}
     if known:
-        yield out(known)
+        yield _rows(known, _TESTS)
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """``host, tokens``: the template tokens of a host in order; the host ``*`` has those of all pages.
+def templates(pages: DataFrame, broadcast_tokens: int = BROADCAST_TOKENS) -> DataFrame:
+    """``host, tokens``: the template tokens of a host; the host ``*`` has those of all pages.
 
     ``pages``: ``host, html``.  A host's template has at most pages / SUPPORT tokens for each
     token of a mean page, so the arrays are as long as two pages at most.
     """
-    facts = pages.mapInArrow(_facts, _FACTS).groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("pages", "one", "two", "place")])
-    facts = staged(facts, "html-facts")
-    everywhere = facts.groupBy("token").agg(*[F.sum(c).alias(c) for c in ("pages", "one", "two", "place")])
-    both = facts.union(everywhere.select(F.lit("*").alias("host"), "token", "pages", "one", "two", "place"))
+    sums = [F.sum(c).alias(c) for c in ("pages", "total", "one", "two", "place")]
+    facts = staged(pages.mapInArrow(_facts, _FACTS).groupBy("host", "token").agg(*sums), "html-facts")
+    both = facts.union(facts.groupBy("token").agg(*sums).select(F.lit(_EVERY).alias("host"), "token", *[c for c in facts.columns[2:]]))
     totals = both.filter(F.col("token") == _PAGE).select("host", F.col("pages").alias("of"))
     frequent = (
-        both.filter((F.col("token") != _PAGE) & (F.col("pages") > 1))  # few are: before rows meet by host
-        .join(totals.filter((F.col("of") >= LEAST_PAGES) | (F.col("host") == "*")), "host")
+        # Tokens of a single page are most: they go before rows meet by host.
+        both.filter((F.col("token") != _PAGE) & (F.col("pages") > 1) & (F.col("total") == F.col("pages")))
+        .join(totals.filter((F.col("of") >= LEAST_PAGES) | (F.col("host") == _EVERY)), "host")
         .filter(F.col("pages") >= F.lit(SUPPORT) * F.col("of"))
     )
-    # A class is ordered by its tokens' mean place, and stands where its first token does.
-    place = (F.col("place") / F.col("pages")).alias("at")
-    classes = frequent.groupBy("host", "pages", "one", "two").agg(F.sort_array(F.collect_list(F.struct(place, "token"))).alias("members"))
-    return classes.groupBy("host").agg(
-        F.flatten(F.transform(F.sort_array(F.collect_list("members")), lambda m: m["token"])).alias("tokens")
+    # The number of a class is a hash of its vector; its tokens are in order of their mean place.
+    part = F.when(F.col("pages") == F.col("of"), F.lit(0)).otherwise(F.xxhash64("pages", "one", "two").bitwiseAND((1 << 62) - 1) + 1)
+    member = F.struct((F.col("place") / F.col("pages")).alias("at"), "token", part.cast("bigint").alias("part"))
+    candidates = frequent.groupBy("host").agg(F.sort_array(F.collect_list(member)).alias("members"))
+    pairs = F.flatten(F.transform("members", lambda m: F.array(m["part"], m["token"])))
+    candidates = candidates.select("host", pairs.alias("tokens"))
+    candidates = staged(candidates, "html-candidates")
+    joined, lookup = _with_host(pages, candidates, broadcast_tokens)
+    slots = [F.min("first_slot").alias("first_slot"), F.max("last_slot").alias("last_slot"), F.sum("broken").alias("broken")]
+    groups = F.sum(F.when(F.col("alike") == _ALONE, F.col("pages")).otherwise(F.lit(1))).alias("groups")
+    tests = joined.mapInArrow(lambda batches: _tested(batches, lookup), _TESTS)
+    tests = tests.groupBy("host", "token", "alike").agg(F.sum("pages").alias("pages"), *slots)
+    tests = tests.groupBy("host", "token").agg(groups, *slots)
+    tests = staged(tests, "html-tests")
+    # Of a host with too few that are no copies, as of a small one, nothing can be told.
+    of = tests.filter((F.col("token") == _PAGE) & ((F.col("groups") >= LEAST_PAGES) | (F.col("host") == _EVERY)))
+    of = of.select("host", F.col("groups").alias("of"))
+    one_slot = F.col("first_slot") == F.col("last_slot")
+    valid = (
+        tests.filter((F.col("token") != _PAGE) & (F.col("broken") == 0) & one_slot & (F.col("groups") > 1))
+        .join(of, "host")
+        .filter(F.col("groups") >= F.lit(SUPPORT) * F.col("of"))
     )
+    # Every host has the page itself, so that one without a valid token keeps its own, empty template.
+    every = valid.select("host", "token").union(of.select("host", F.lit(_PAGE).cast("bigint")))
+    return staged(every.groupBy("host").agg(F.collect_list("token").alias("tokens")), "html-templates")
 
 
 def _in_order(tokens: list[int], rank: dict[int, int]) -> set[int]:
@@ -252,16 +373,15 @@ def main_text(page: str, template: list[int] | None = None) -> str:
 
     Blocks in navigation, adverts and the like are left out.  Where the page marks an
     article, all its other blocks are the text.  Where it does not, the text is what fills
-    the template's slots: blocks that are not template tokens; if nothing is left, all.
+    the template's slots; if a page has nothing but its template, that is the text.
     """
-    _, nodes = parse(page)
-    usable = [n for n in nodes if not n.aside]
-    chosen = [n for n in usable if n.article]
-    if not chosen and template:
-        rank = {int(token): k for k, token in enumerate(template)}
-        fixed = _in_order([_token(n.path, n.text) for n in nodes], rank)
-        chosen = [n for k, n in enumerate(nodes) if not n.aside and k not in fixed]
-    return "\n\n".join(n.text for n in chosen or usable)
+    items = parse(page)
+    main = main_blocks(items)
+    marked = any(items[k].article for k in main)
+    fixed = frozenset() if template is None or marked else frozenset(np.asarray(template).tolist())
+    tokens = page_tokens(items) if fixed else ()
+    chosen = [k for k in main if not fixed or tokens[k] not in fixed]
+    return "\n\n".join(items[k].text for k in chosen or main)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html", broadcast_tokens: int = BROADCAST_TOKENS) -> DataFrame:
@@ -277,25 +397,14 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
         host_of(F.col(f"`{url}`")).alias("host"),
         F.col(f"`{page}`").cast("string").alias("html"),
     )
-    found = staged(templates(rows.select("host", "html")), "html-templates")
-    size = found.agg(F.sum(F.size("tokens") + 1)).first()[0] or 0
-    general = found.filter("host = '*'").first()
-    general = list(general.tokens) if general else None
-    if size <= broadcast_tokens:
-        shared = pages.sparkSession.sparkContext.broadcast({r.host: np.array(r.tokens) for r in found.collect()})
-        joined = rows
-    else:
-        shared, joined = None, rows.join(found.filter("host != '*'"), "host", "left")
+    found = templates(rows.select("host", "html"), broadcast_tokens)
+    joined, lookup = _with_host(rows, found, broadcast_tokens)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if shared is not None:
-                own = [shared.value.get(h) for h in batch.column("host").to_pylist()]
-            else:
-                own = batch.column("tokens").to_pylist()
             out = [
-                main_text(p, general if t is None else list(t)) if p else ""
-                for p, t in zip(batch.column("html").to_pylist(), own, strict=True)
+                main_text(p, general if own is None else own) if p else ""
+                for p, (own, general) in zip(batch.column("html").to_pylist(), lookup(batch), strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())],

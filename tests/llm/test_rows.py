@@ -178,6 +178,33 @@ def test_template_marks_slots(spark):
     assert html_template.extract(frame.limit(0)).count() == 0
 
 
+def texts_of(spark, pages, url="http://h.example/p"):
+    rows = [(k, url, p) for k, p in enumerate(pages)]
+    out = html_template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(out, key=lambda r: r.page_id)]
+
+
+def test_near_copies_are_no_template(spark):
+    story = [f"Paragraph {k} of a story that is told again and again." for k in range(5)]
+    stories = [[*story[:2], f"What only copy {k} says.", *story[2:]] for k in range(6)]
+    stories += [[f"Story {k} is another one, part {j}." for j in range(4)] for k in range(4)]
+    pages = [f"<body><div><div>Site name</div><div>{''.join(f'<p>{p}</p>' for p in s)}</div><div>All rights</div></div>" for s in stories]
+    assert texts_of(spark, pages) == ["\n\n".join(s) for s in stories]
+
+
+def test_classes_are_ordered_and_nest(spark):
+    def page(k):
+        ends = ["<div>Stays first</div>", "<div>Or second</div>"][:: 1 if k % 2 else -1]
+        some = "<div>Now and then</div>"  # in one slot of the root class or in another
+        first, last = (some, "") if k % 3 else ("", some)
+        return f"<body><div>Top</div>{first}<section><p>Story {k} of many, of some length</p></section>{last}<div>End</div>{''.join(ends)}"
+
+    for k, text in enumerate(texts_of(spark, [page(k) for k in range(12)])):
+        assert "Top" not in text and "End" not in text
+        assert "Now and then" in text and f"Story {k} of many" in text
+        assert "Stays first" in text or "Or second" in text
+
+
 def test_long_and_odd_pages_end():
     assert html_template.main_text("<a " * 50_000) == ""
     assert html_template.main_text("<p>x" * 20_000).count("x") == 20_000
