@@ -36,7 +36,8 @@ from lacuna.llm.url_filter import host_of
 LEAST_PAGES = 4
 #: A class is part of the template if its tokens are on this share of the pages.
 SUPPORT = 0.5
-#: A page is a copy if so much of its text is the root class, or if so much of the rest is on most pages.
+#: A page is a copy if so much of its text, and so many of its blocks, are the root class, or if
+#: so much of the rest is on most pages.
 SAME, COPIED = 0.9, 0.5
 #: Templates up to this many tokens in total are broadcast, more are joined.
 BROADCAST_TOKENS = 4 << 20
@@ -255,16 +256,18 @@ def _tested(batches: Iterator[pa.RecordBatch], lookup: Callable) -> Iterator[pa.
         for places in classes.values():
             fits = _in_order([tokens[p] for p in places], {tokens[p]: rank[tokens[p]][1] for p in places})
             right.update(places[k] for k in fits)
-        # Text by class; None has what is on few pages.
+        # Text and blocks by class; None has what is on few pages.
         chars: Counter = Counter()
+        blocks: Counter = Counter()
         for place in main:
-            chars[rank.get(tokens[place], (None,))[0]] += len(items[place].text)
-        total, root = chars.total(), chars[0]
-        rest = total - root
+            part = rank.get(tokens[place], (None,))[0]
+            chars[part] += len(items[place].text)
+            blocks[part] += 1
+        both = (chars, blocks)
         alike = _ALONE
-        if total and root >= SAME * total:
+        if main and all(c[0] >= SAME * c.total() for c in both):
             alike = _SAME
-        elif rest - chars[None] > COPIED * rest:
+        elif all(c.total() - c[0] - c[None] > COPIED * (c.total() - c[0]) for c in both):
             alike = max((n, part) for part, n in chars.items() if part)[1]
         found, slot = [(_PAGE, 0, True)], 0
         for place, token in enumerate(tokens):
@@ -371,14 +374,13 @@ def _in_order(tokens: list[int], rank: dict[int, int]) -> set[int]:
 def main_text(page: str, template: list[int] | None = None) -> str:
     """The article of a page: its blocks, joined by blank lines.
 
-    Blocks in navigation, adverts and the like are left out.  Where the page marks an
-    article, all its other blocks are the text.  Where it does not, the text is what fills
-    the template's slots; if a page has nothing but its template, that is the text.
+    Blocks in navigation, adverts and the like are left out, and so are the template's.  What
+    is left are the slots; where the page marks an article, only those in it.  If a page has
+    nothing but its template, that is the text.
     """
     items = parse(page)
     main = main_blocks(items)
-    marked = any(items[k].article for k in main)
-    fixed = frozenset() if template is None or marked else frozenset(np.asarray(template).tolist())
+    fixed = frozenset() if template is None else frozenset(np.asarray(template).tolist())
     tokens = page_tokens(items) if fixed else ()
     chosen = [k for k in main if not fixed or tokens[k] not in fixed]
     return "\n\n".join(items[k].text for k in chosen or main)

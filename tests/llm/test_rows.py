@@ -205,6 +205,15 @@ def test_classes_are_ordered_and_nest(spark):
         assert "Stays first" in text or "Or second" in text
 
 
+def test_template_inside_marked_articles(spark):
+    notice = "<div class=box>Please read our house rules before you write.</div>"
+    pages = [f"<body><article><h1>Story {k}</h1><p>Begins {k}.</p>{notice}<p>Goes on {k * k}.</p></article>" for k in range(8)]
+    pages.append("<body><article><h1>Other</h1><p>Without a word.</p></article>")
+    want = [f"Story {k}\n\nBegins {k}.\n\nGoes on {k * k}." for k in range(8)] + ["Other\n\nWithout a word."]
+    assert texts_of(spark, pages) == want
+    assert texts_of(spark, pages[:8]) == want[:8]
+
+
 def test_long_and_odd_pages_end():
     assert html_template.main_text("<a " * 50_000) == ""
     assert html_template.main_text("<p>x" * 20_000).count("x") == 20_000
