@@ -51,7 +51,8 @@ BLOCK = frozenset(
     "pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 CLOSED_BY = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
-# Elements and class or id words that are never part of an article.
+# Elements and classes, ids or roles that are never part of an article.  A form may be around
+# a whole page, and so may any element of such a class: an article inside counts.
 ASIDE = frozenset("nav header footer aside form head script style template svg button select dialog menu".split())
 ASIDE_WORDS = frozenset(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent "
@@ -68,15 +69,19 @@ _TAG = re.compile(
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _WORDS = re.compile(r"[a-z0-9]+")
 _KEPT_ROLES = frozenset({"main", "article"})
+_NO, _BY_WORD, _BY_ELEMENT = range(3)
 
 
 @dataclass(slots=True)
 class Node:
-    """A block of text: where it stands, and whether that can be an article."""
+    """A block of text: where it stands, and whether that can be an article.
+
+    ``aside``: not (0), by a word of an element above (1), by the element itself (2).
+    """
 
     path: str
     text: str
-    aside: bool
+    aside: int
     article: bool
 
 
@@ -87,7 +92,7 @@ def parse(page: str) -> list[str | Node]:
     an end tag closes what is open inside its element, and one without is ignored.
     """
     items: list[str | Node] = []
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+    stack: list[tuple[str, str, int, bool]] = [("", "", _NO, False)]
     depth: Counter = Counter()
     held: list[str] = []
 
@@ -144,14 +149,23 @@ def parse(page: str) -> list[str | Node]:
         if name not in BLOCK and name not in ASIDE:
             continue  # inline markup does not matter
         _, path, aside, article = stack[-1]
-        label = name
+        label, outer = name, article
         if attributes and (named := _NAMES.findall(attributes)):
             words = _WORDS.findall(" ".join(named).lower())
             label = f"{name}.{'.'.join(words)}"
-            aside = aside or (name not in ("body", "html") and not ASIDE_WORDS.isdisjoint(words))
+            whole = " ".join(x.strip("\"'") for x in named).lower().split()
+            if name not in ("body", "html") and not ASIDE_WORDS.isdisjoint(whole):
+                aside = max(aside, _BY_WORD)
             article = article or not _KEPT_ROLES.isdisjoint(words)
+            begins = not _KEPT_ROLES.isdisjoint(whole)
+        else:
+            begins = False
+        if (begins or name in ("article", "main")) and not outer and aside == _BY_WORD:
+            aside = _NO
         path = f"{path}/{label}" if len(path) < 1000 else path
-        stack.append((name, path, aside or name in ASIDE, article or name in ("article", "main")))
+        if name in ASIDE:
+            aside = max(aside, _BY_WORD if name == "form" else _BY_ELEMENT)
+        stack.append((name, path, aside, article or name in ("article", "main")))
         depth[name] += 1
         items.append(path)
     flush()
@@ -232,8 +246,10 @@ def _with_host(rows: DataFrame, found: DataFrame, most: int) -> tuple[DataFrame,
 
 
 def main_blocks(items: list[str | Node]) -> list[int]:
-    """The places of blocks that can be an article: those in marked articles if there are such."""
-    usable = [k for k, n in enumerate(items) if isinstance(n, Node) and not n.aside]
+    """The places of blocks that can be an article: those in marked articles if there are such.
+    If words leave no block, they are not heeded."""
+    blocks = [k for k, n in enumerate(items) if isinstance(n, Node) and n.aside < _BY_ELEMENT]
+    usable = [k for k in blocks if not items[k].aside] or blocks
     return [k for k in usable if items[k].article] or usable
 
 

@@ -214,6 +214,30 @@ def test_template_inside_marked_articles(spark):
     assert texts_of(spark, pages[:8]) == want[:8]
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        '<div class="no-sidebar"><article>{}</article></div>',
+        '<div id="page" class="has-sidebar">{}</div>',
+        '<main class="with-sidebar">{}</main>',
+        '<article class="post comments-open">{}</article>',
+        '<div class="page sidebar"><div><main>{}</main></div><p>Beside</p></div>',
+        '<form id=f><div class="social">{}</div></form>',
+        '<form><article class="post sponsored">{}</article></form>',
+    ],
+)
+def test_words_of_wrappers_drop_no_article(wrapper):
+    inside = '<p>One</p><div class="share-price"><p>Two</p></div><div class=related-work>Three</div>'
+    page = f"<body>{wrapper.format(inside)}<footer>Foot</footer>"
+    assert html_template.main_text(page) == "One\n\nTwo\n\nThree"
+
+
+def test_asides_of_articles_stay_out():
+    page = "<main><p>Text</p><div class='box related'><article>Another</article></div><aside><article>Third</article></aside></main>"
+    assert html_template.main_text(page) == "Text"
+    assert html_template.main_text("<form>Sign up</form><p>Text") == "Text"
+
+
 def test_long_and_odd_pages_end():
     assert html_template.main_text("<a " * 50_000) == ""
     assert html_template.main_text("<p>x" * 20_000).count("x") == 20_000
