@@ -24,8 +24,10 @@ from lacuna.llm.tokens import encoder
 
 WINDOW, END_ID = 1024, 0
 K1, B = 1.2, 0.75
-#: Terms in more than this part of all documents tell nothing and are not indexed.
-COMMON = 0.05
+#: Terms in more than this part of a shard's documents are held as columns, others as postings.
+DENSE = 0.25
+#: So many neighbours are sorted first; a window seldom takes more.
+HEAD = 64
 #: A shard closes at so many documents or ids; what a task reads makes one or more shards.
 SHARD_DOCUMENTS, SHARD_IDS = 8192, 16 << 20
 
@@ -69,7 +71,7 @@ class Corpus:
     def idf(self) -> np.ndarray:
         n, f = max(self.documents, 1), self.frequency
         weight = np.log1p((n - f + 0.5) / (f + 0.5))
-        return np.where((f > max(COMMON * n, 1)) | (f < 2), 0.0, weight).astype(np.float32)
+        return np.where(f < 2, 0.0, weight).astype(np.float32)  # a term of one document has no neighbours
 
 
 def statistics(ids: DataFrame, vocabulary: int, dtype: str) -> Corpus:
@@ -102,29 +104,46 @@ class Shard:
         term = np.concatenate(terms).astype(np.int64) if docs else np.zeros(0, np.int64)
         owner = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
         tf = np.concatenate(counts).astype(np.float32) if docs else np.zeros(0, np.float32)
-        rare = idf[term] > 0
-        term, owner, tf = term[rare], owner[rare], tf[rare]
+        shared = idf[term] > 0
+        term, owner, tf = term[shared], owner[shared], tf[shared]
         lengths = np.array([len(d) for d in docs], np.float32)
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[owner] / max(mean, 1)))
         self.bounds = np.searchsorted(owner, np.arange(len(docs) + 1))
         self.terms = term
-        order = np.argsort(term, kind="stable")
+        self.known, at, sizes = np.unique(term, return_inverse=True, return_counts=True)
+        dense = sizes > DENSE * len(docs)
+        # The column of a term; -1 if it has postings.
+        self.column = np.where(dense, np.cumsum(dense) - 1, -1)
+        self.alive = np.arange(len(docs))
+        self.columns = np.zeros((len(docs), int(dense.sum())), np.float32)
+        often = dense[at]
+        self.columns[owner[often], self.column[at[often]]] = weight[often]
+        owner, weight, at = owner[~often], weight[~often], at[~often]
+        order = np.argsort(at, kind="stable")
         self.owner, self.weight = owner[order], weight[order].astype(np.float32)
-        self.known, first = np.unique(term[order], return_index=True)
-        self.first = np.append(first, len(term))
+        self.first = np.searchsorted(at[order], np.arange(len(self.known) + 1))
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
+    def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents that share a term with the seed, best BM25 score first."""
         at = np.searchsorted(self.known, self.terms[self.bounds[seed] : self.bounds[seed + 1]])
+        if not len(at):
+            return
         starts, ends = self.first[at], self.first[at + 1]
         sizes = ends - starts
-        if not len(at):
-            return np.zeros(0, np.int64)
         entry = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-        score = np.bincount(self.owner[entry], self.weight[entry], len(self.docs))
+        score = np.bincount(self.owner[entry], self.weight[entry], len(self.docs)).astype(np.float64)
+        if self.columns.shape[1]:
+            left = unused[self.alive]
+            if 2 * np.count_nonzero(left) < len(self.alive):
+                self.alive, self.columns = self.alive[left], self.columns[left]
+            asked = np.zeros(self.columns.shape[1], np.float32)
+            asked[self.column[at][self.column[at] >= 0]] = 1
+            score[self.alive] += self.columns @ asked
         score[~unused] = 0
         found = np.flatnonzero(score)
-        return found[np.lexsort((found, -score[found]))]
+        least = np.partition(score[found], -HEAD)[-HEAD] if len(found) > HEAD else 0
+        for part in (found[score[found] >= least], found[score[found] < least]):
+            yield from part[np.lexsort((part, -score[part]))].tolist()
 
 
 def pack(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WINDOW) -> Iterator[list[tuple[int, int, int]]]:
@@ -168,7 +187,7 @@ def pack(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WIN
     while (seed := next_one()) is not None:
         full = put(seed)
         if not full:
-            for k in shard.neighbours(seed, unused).tolist():
+            for k in shard.neighbours(seed, unused):
                 if unused[k] and k != seed and (full := put(k)):
                     break
         while not full and (k := next_one()) is not None:

@@ -358,6 +358,46 @@ def test_neighbours_share_words():
     assert sorted(sorted(r) for r in rows) == [[0, 3], [1, 4], [2, 5]]
 
 
+def test_frequent_terms_count():
+    # A third of the documents is one group whose terms are all frequent.
+    n, group = 90, 30
+    frequency = np.zeros(200, np.int64)
+    rng = np.random.default_rng(4)
+    docs = [np.array([5] * 3 + [6] * 3 + [7]) if k % 3 == 0 else np.append(rng.integers(20, 200, 6), 10) for k in range(n)]
+    for d in docs:
+        frequency[np.unique(d)] += 1
+    idf = packing.Corpus(n, 7.0, frequency).idf
+    assert (idf[5:8] > 0).all()
+    rows = [{k for k, _, _ in row} for row in packing.pack(docs, idf, 7.0, 14)]
+    assert sum(all(k % 3 == 0 for k in row) for row in rows if any(k % 3 == 0 for k in row)) == group // 2
+
+
+@pytest.mark.parametrize("dense", [0, 0.2, 1])
+def test_neighbours_are_brute_force_bm25(monkeypatch, dense):
+    monkeypatch.setattr(packing, "DENSE", dense)
+    monkeypatch.setattr(packing, "HEAD", 5)
+    rng = np.random.default_rng(7)
+    docs = [(rng.zipf(1.4, rng.integers(1, 60)) % 80).astype(np.uint16) for _ in range(70)]
+    frequency = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=80)
+    mean = sum(map(len, docs)) / len(docs)
+    idf = packing.Corpus(len(docs), mean, frequency).idf
+    shard = packing.Shard(docs, idf, mean)
+    unused = np.ones(len(docs), bool)
+    for seed in range(len(docs)):
+        unused[seed] = False
+        want = {}
+        for k in np.flatnonzero(unused).tolist():
+            score = 0.0
+            for term in np.unique(docs[seed]).tolist():
+                tf = int((docs[k] == term).sum())
+                score += float(idf[term]) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(docs[k]) / mean))
+            if score:
+                want[k] = score
+        found = list(shard.neighbours(seed, unused))
+        assert sorted(found) == sorted(want)
+        assert np.allclose([want[k] for k in found], sorted(want.values(), reverse=True), atol=1e-3)
+
+
 def test_pack_documents(spark):
     rows = [(k, f"word{k % 5} and more " * (k * 13 % 400)) for k in range(40)] + [(None, None), (1, "again"), (1, "again")]
     out = packing.pack_documents(documents(spark, rows)).collect()
