@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import chat, decontam, html_template, langid, packing, quality, simhash, suffix_dedup, token_store, url_filter
+from lacuna.llm import (
+    chat,
+    decontam,
+    html_template,
+    langid,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    suffix_dedup,
+    token_store,
+    url_filter,
+)
 from lacuna.llm.common import table
 from lacuna.scratch import new_folder
 
@@ -92,3 +104,18 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "contaminated", "n_items", "item_ids")
+
+
+@query
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards by the law ``bytes``; ``text_crc32`` is of the texts placed."""
+    found = sharding.shard(table(spark, sf_dir, "documents"), shards=16)
+    return found.select(
+        "document.doc_id",
+        "size",
+        F.crc32(F.coalesce("document.text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
