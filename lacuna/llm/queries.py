@@ -16,6 +16,7 @@ from lacuna.llm import (
     quality,
     sharding,
     simhash,
+    spelling,
     suffix_dedup,
     token_store,
     url_filter,
@@ -106,6 +107,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "contaminated", "n_items", "item_ids")
 
 
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents with their near words, forms and roots."""
+    found = spelling.variants(table(spark, sf_dir, "documents"))
+    return found.select("word", "n", "n_near", "form", "form_n", "root")
+
+
 @query
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards by the law ``bytes``; ``text_crc32`` is of the texts placed."""

@@ -115,24 +115,24 @@ def probe(rows: DataFrame, ranges: list[Range]) -> list[list[Range]]:
     return out
 
 
-def _joined(parts: list[Range], below: int, targets: list[float], most_rows: int) -> list[Range]:
+def _joined(parts: list[Range], below: int, targets: list[float], most_rows: int, most_bytes: int) -> list[Range]:
     """Neighbouring parts as one while they are small and no boundary is wanted in or between them."""
     out: list[Range] = []
     closed = True
     for p in parts:
         # Boundaries wanted within this part, its two ends included.
         wanted = bisect_right(targets, below + p.bytes) > bisect_right(targets, below - 1)
-        if closed or wanted or out[-1].rows + p.rows > most_rows:
+        if closed or wanted or out[-1].rows + p.rows > most_rows or out[-1].bytes + p.bytes > most_bytes:
             out.append(p)
         else:
             out[-1] = Range(out[-1].start, out[-1].rows + p.rows, out[-1].bytes + p.bytes, out[-1].least, p.most)
-        closed = wanted or p.rows > most_rows
+        closed = wanted or p.rows > most_rows or p.bytes > most_bytes
         below += p.bytes
     return out
 
 
 def cut(rows: DataFrame, shards: int, tolerance: float, pieces: int) -> tuple[list[Range], list[int]]:
-    """Ranges in key order, none with many more rows than one of ``pieces``, and for each shard
+    """Ranges in key order, none with more rows or bytes than one of ``pieces``, and for each shard
     the number of its first range."""
     totals = rows.agg(*_counts()).first()
     if not totals["rows"]:
@@ -140,14 +140,14 @@ def cut(rows: DataFrame, shards: int, tolerance: float, pieces: int) -> tuple[li
     whole = _counted(totals, (0, 0, 0))
     share = whole.bytes / shards
     targets = [k * share for k in range(1, shards)]
-    most_rows = -(-whole.rows // pieces)
+    most_rows, most_bytes = -(-whole.rows // pieces), -(-whole.bytes // pieces)
     ranges = [whole]
     while True:
         below, open_ranges = 0, {}
         for i, r in enumerate(ranges):
             inside = targets[bisect_right(targets, below) : bisect_right(targets, below + r.bytes)]
             far = any(min(t - below, below + r.bytes - t) > tolerance * share for t in inside)
-            if r.rows > 1 and (far or r.rows > most_rows):
+            if r.rows > 1 and (far or r.rows > most_rows or r.bytes > most_bytes):
                 open_ranges[i] = below
             below += r.bytes
         if not open_ranges:
@@ -156,7 +156,7 @@ def cut(rows: DataFrame, shards: int, tolerance: float, pieces: int) -> tuple[li
         ranges = [
             part
             for i, r in enumerate(ranges)
-            for part in (_joined(found[i], open_ranges[i], targets, most_rows) if i in found else [r])
+            for part in (_joined(found[i], open_ranges[i], targets, most_rows, most_bytes) if i in found else [r])
         ]
     starts = [0]
     for r in ranges:
@@ -207,12 +207,12 @@ def shard(
     one by one.  An empty table gives no rows.  Other columns, whatever they are called, stay
     in ``document``.
 
-    ``pieces`` (four times the shuffle partitions) bounds the rows that are ordered together,
+    ``pieces`` (sixteen times the shuffle partitions) bounds the rows and bytes that are ordered together,
     and the size of the table of boundaries that goes to every task.
     """
     spark = documents.sparkSession
     rows = keyed(documents, text, order)
-    ranges, first = cut(rows, shards, tolerance, pieces or max(shards, 4 * partitions(spark)))
+    ranges, first = cut(rows, shards, tolerance, pieces or max(shards, 16 * partitions(spark)))
     bits = min(PROBE_BITS, 2 + len(ranges).bit_length())
     bucket = F.shiftrightunsigned(_unsigned("_hash"), 64 - bits)
     key = F.struct(*[F.col(k).alias(n) for k, n in zip(_KEYS, "hdn", strict=True)])
