@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lacuna.llm import (
+    alignment,
     chat,
     decontam,
     html_template,
@@ -107,6 +108,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "contaminated", "n_items", "item_ids")
 
 
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alignment of the two tokenizers in every document; ``groups_sha256`` of its groups."""
+    found = alignment.align(table(spark, sf_dir, "documents"))
+    none = (F.col("n_a") == 0) & (F.col("n_b") == 0)
+    digest = F.when(none, "").otherwise(F.sha2("groups", 256))
+    return found.select("doc_id", *alignment.FIGURES, digest.alias("groups_sha256"))
+
+
 @query
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of all documents with their near words, forms and roots."""
