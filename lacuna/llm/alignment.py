@@ -29,12 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from lacuna.llm.common import pieces as slices
 from lacuna.llm.common import staged
 
 #: Ends of both tokenizers that one piece merges.
 PIECE = 1 << 14
-#: A block closes at so many ends.
-BLOCK = 1 << 23
+#: A block closes at so many ends; so many are handed on at a time.
+BLOCK, HANDED = 1 << 22, 1 << 19
 #: A group of more pairs than this is counted by its distinct tokens.
 WIDE = 1 << 10
 #: Both ids of a pair in one number.
@@ -51,11 +52,9 @@ class ByteLevel:
     """Tokenizer A: ids of a text and the bytes of every id; special tokens are plain text."""
 
     def __init__(self, path: str):
+        self.path, self.library = path, None
         with open(path, encoding="utf-8") as file:
-            content = file.read()
-        setup = json.loads(content)
-        self.library = Tokenizer.from_str(content)
-        self.library.encode_special_tokens = True
+            setup = json.load(file)
         known = setup["model"]["vocab"]
         special = {x["content"]: x["id"] for x in setup["added_tokens"]}
         self.bytes = [b""] * (max([*known.values(), *special.values()], default=-1) + 1)
@@ -84,6 +83,9 @@ class ByteLevel:
             except BaseException as error:  # its pattern gives up on very long white space
                 if isinstance(error, KeyboardInterrupt | SystemExit):
                     raise
+        if self.library is None:
+            self.library = Tokenizer.from_file(self.path)
+            self.library.encode_special_tokens = True
         return self.library.encode(text, add_special_tokens=False).ids
 
 
@@ -113,7 +115,7 @@ def _loaded(kind, path: str):
 
 
 def _lengths(tokenizer) -> np.ndarray:
-    return np.array([len(x) for x in tokenizer.bytes], np.int64)
+    return np.array([len(x) for x in tokenizer.bytes], np.int32)
 
 
 def diagonals(a: np.ndarray, b: np.ndarray, piece: int) -> list[tuple[int, int]]:
@@ -138,7 +140,9 @@ def diagonals(a: np.ndarray, b: np.ndarray, piece: int) -> list[tuple[int, int]]
     return [*cuts, (len(a), len(b))]
 
 
-def _cut_pieces(documents: DataFrame, path_a: str, path_b: str, doc_id: str, text: str, piece: int) -> DataFrame:
+def _cut_pieces(
+    documents: DataFrame, paths: tuple[str, str], lengths: tuple[np.ndarray, np.ndarray], doc_id: str, text: str, piece: int
+) -> DataFrame:
     """Encode each text and cut the merge of its ends: a row per piece.
 
     ``doc`` is the number of the row, ``a`` and ``b`` are ids, ``a_at`` and ``b_at`` the byte
@@ -146,10 +150,10 @@ def _cut_pieces(documents: DataFrame, path_a: str, path_b: str, doc_id: str, tex
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = _loaded(ByteLevel, path_a), _loaded(Pieces, path_b)
-        length_a, length_b = _lengths(first), _lengths(second)
+        first, second = _loaded(ByteLevel, paths[0]), _loaded(Pieces, paths[1])
+        length_a, length_b = lengths
         doc = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in (part for whole_batch in batches for part in slices(whole_batch, "t")):
             rows: list[tuple] = []
             held = 0
             for name, whole in zip(batch.column("doc_id").to_pylist(), batch.column("t").to_pylist(), strict=True):
@@ -166,7 +170,7 @@ def _cut_pieces(documents: DataFrame, path_a: str, path_b: str, doc_id: str, tex
                     a_at, b_at = int(a_end[i0 - 1]) if i0 else 0, int(b_end[j0 - 1]) if j0 else 0
                     rows.append((doc, name, k, len(cuts) - 1, a[i0:i1].tobytes(), b[j0:j1].tobytes(), a_at, b_at))
                 held += len(a) + len(b)
-                if held > BLOCK:
+                if held > HANDED:
                     yield _batch(rows, _PIECE_ROWS)
                     rows, held = [], 0
             yield _batch(rows, _PIECE_ROWS)
@@ -301,11 +305,11 @@ class Block:
             yield kind("pair", len(every), pair=every, n=total)
 
 
-def _merged(pieces: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def _merged(pieces: DataFrame, lengths: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Merge each piece by itself: blocks of its groups, and the loose tokens of pieces of long texts."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        length_a, length_b = _lengths(_loaded(ByteLevel, path_a)), _lengths(_loaded(Pieces, path_b))
+        length_a, length_b = lengths
         number = TaskContext.get().partitionId() << 24
         texts, parts = Block(number, True), Block(number + 1, False)
         for batch in batches:
@@ -313,10 +317,10 @@ def _merged(pieces: DataFrame, path_a: str, path_b: str) -> DataFrame:
             for doc, name, piece, of, a, b, a_at, b_at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 a_end = a_at + np.cumsum(length_a[np.frombuffer(a, "<u4")])
                 b_end = b_at + np.cumsum(length_b[np.frombuffer(b, "<u4")])
-                both = np.intersect1d(a_end, b_end, assume_unique=True)
+                at = np.searchsorted(b_end, a_end)
+                both = np.flatnonzero(np.append(b_end, -1)[at] == a_end)
                 # A group goes up to such an end: in bytes of ``a`` and ``b``, four for an id.
-                cut_a = (4 * (np.searchsorted(a_end, both) + 1)).tolist()
-                cut_b = (4 * (np.searchsorted(b_end, both) + 1)).tolist()
+                cut_a, cut_b = (4 * (both + 1)).tolist(), (4 * (at[both] + 1)).tolist()
                 if of == 1:
                     cut_a, cut_b = [0, *cut_a], [0, *cut_b]
                 else:
@@ -438,10 +442,11 @@ def align(
     """
     path_a = path_a or public_tokenizers.path("byte_bpe_50k.json")
     path_b = path_b or public_tokenizers.path("piece_bpe_32k.model")
-    if max(len(ByteLevel(path_a).bytes), len(Pieces(path_b).bytes)) >= 1 << _ID_BITS:
+    lengths = _lengths(ByteLevel(path_a)), _lengths(Pieces(path_b))
+    if max(map(len, lengths)) >= 1 << _ID_BITS:
         raise ValueError(f"more than 2^{_ID_BITS} ids")
-    cut = _cut_pieces(documents, path_a, path_b, doc_id, text, piece)
-    rows = staged(_merged(cut, path_a, path_b), "alignment-rows")
+    cut = _cut_pieces(documents, (path_a, path_b), lengths, doc_id, text, piece)
+    rows = staged(_merged(cut, lengths), "alignment-rows")
     loose = rows.where("kind = 'loose'")
     # A few thousand loose tokens to a block.
     stitched = staged(_stitched(loose, 1 + loose.count() // 4096), "alignment-stitched")
