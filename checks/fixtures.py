@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lacuna.plans.layouts import WIDE
 from lacuna.scratch import new_folder
 from lacuna.session import prepare
+from lacuna.sinks.files import place
 from lacuna.sources.ndjson import spread_lines
 
 # One sparse line per customer; nine residues of 97 are bad or odd lines.  One file has
@@ -58,6 +59,21 @@ SELECT c_custkey AS line_no, concat('part-0000', CASE c_custkey % 97 WHEN 2 THEN
 FROM customer
 """
 
+# The same lines in inputs of one name in three folders.
+SAME_NAME_LINES = f"""
+SELECT line_no, concat('day=', CAST(line_no % 3 AS STRING), '/', file_name, '.gz') AS file_name, value
+FROM ({PEOPLE_LINES}) AS named
+"""
+
+# The same lines, some of them nested too deep, or as deep as is read.
+DEEP_LINES = f"""
+SELECT line_no, file_name, CASE line_no % 97
+  WHEN 10 THEN concat(repeat('[', 2001), repeat(']', 2001))
+  WHEN 11 THEN concat('{{"a":"]]]","b":', repeat('[', 1999), repeat(']', 1999), '}}')
+  WHEN 12 THEN concat('{{"a":', repeat('[', 3000)) ELSE value END AS value
+FROM ({PEOPLE_LINES}) AS named
+"""
+
 # Members with a shape of their own; n is a number as text, b the number itself.
 _JOB = """concat('[{"company":{"founded":null,"id":"c', n, '","name":"acme, inc","size":""},',
   '"end_date":null,"location_names":[],"title":{"levels":[],"name":"lead","role":null}},',
@@ -118,6 +134,14 @@ def people_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, "customer", PEOPLE_LINES)
 
 
+def same_name_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, "customer", SAME_NAME_LINES)
+
+
+def deep_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, "customer", DEEP_LINES)
+
+
 def full_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Rows of a few bytes become lines of 2,000: a small table would give one task
     # far too much text, so its rows are spread before they grow.
@@ -138,6 +162,15 @@ def _derive(
     return lines.select("line_no", "file_name", F.explode(F.array("value")).alias("value"))
 
 
+def placed_folder(lines: DataFrame) -> str:
+    """The lines as gzip files with the paths that ``file_name`` gives."""
+    folder, run = new_folder(lines.sparkSession, "placed"), new_folder(lines.sparkSession, "gz")
+    lines.select("file_name", "value").write.partitionBy("file_name").option("compression", "gzip").text(run)
+    names = [r.file_name for r in lines.select("file_name").distinct().collect()]
+    place(lines.sparkSession, run, folder, names, ".gz")
+    return folder
+
+
 def gz_folder(lines: DataFrame) -> str:
     """The lines as gzip NDJSON files, a folder per file name, in the shared folder."""
     folder = new_folder(lines.sparkSession, "gz")

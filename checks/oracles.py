@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.fixtures import FULL_LINES, PEOPLE_LINES
+from checks.fixtures import DEEP_LINES, FULL_LINES, PEOPLE_LINES, SAME_NAME_LINES
 from lacuna.operators.profile import VALUE_FIELDS
 from lacuna.plans.layouts import NARROW, NARROW_STRINGS, WIDE
 
@@ -14,6 +14,7 @@ valid AS MATERIALIZED (SELECT *, json_type(value) AS kind FROM (
 objects AS MATERIALIZED (SELECT line_no, file_name, value FROM valid WHERE kind = 'OBJECT')
 """
 _FULL = _PEOPLE.replace(PEOPLE_LINES, FULL_LINES)
+_SAME_NAME = _PEOPLE.replace(PEOPLE_LINES, SAME_NAME_LINES)
 _EVENTS = f"""WITH objects AS (
   SELECT event_type AS file_name, props AS value FROM events WHERE json_type(props) = 'OBJECT')
 """
@@ -200,6 +201,23 @@ _CLEAN_REPORT = """SELECT file_name, count(c.line_no) AS rows_processed,
   CAST(coalesce(sum(removed), 0) AS BIGINT) AS fields_removed
   FROM lines LEFT JOIN counted c USING (line_no, file_name) GROUP BY file_name"""
 
+_JUDGED = f"""WITH lines AS ({DEEP_LINES}), judged AS (
+    SELECT line_no, file_name, CASE line_no % 97 WHEN 10 THEN 'too_deep' WHEN 11 THEN NULL WHEN 12 THEN 'too_deep'
+      ELSE CASE WHEN NOT json_valid(value) THEN 'bad_json'
+        WHEN json_type(CASE WHEN json_valid(value) THEN value END) <> 'OBJECT' THEN 'not_object' END END AS reason
+    FROM lines WHERE length(trim(value)) > 0)
+  """
+_REASONS = ", ".join(
+    f"count(*) FILTER (WHERE reason = '{r}') AS {r}" for r in ("bad_utf8", "bad_json", "too_deep", "not_object")
+)
+
+
+def _totals(report: str, counters: tuple[str, ...]) -> str:
+    sums = ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in counters)
+    return f"""SELECT file_name, grouping(file_name) = 1 AS total, count(*) AS files, {sums}
+      FROM ({report}) GROUP BY ROLLUP (file_name)"""
+
+
 ORACLES: dict[str, str] = {
     "scan_lines": _PEOPLE + "SELECT file_name, value FROM lines",
     "file_rowcount": _PEOPLE + "SELECT file_name, count(*) AS lines FROM lines GROUP BY file_name",
@@ -279,6 +297,38 @@ ORACLES: dict[str, str] = {
     "file_status": _PEOPLE
     + """SELECT DISTINCT file_name, true AS success FROM lines
       UNION ALL SELECT 'missing', false""",
+    "same_name_scan": _SAME_NAME + "SELECT file_name, value FROM lines",
+    "same_name_profile": _by_file(_SAME_NAME),
+    "same_name_overall": f"""SELECT {_AVERAGES} FROM (
+      SELECT count(*) AS files, CAST(sum(objects) AS BIGINT) AS objects,
+        CAST(sum(total_fields) AS BIGINT) AS total_fields,
+        CAST(sum(null_or_empty) AS BIGINT) AS null_or_empty FROM ({_by_file(_SAME_NAME)}))""",
+    "same_name_clean": _cleaned(_SAME_NAME)
+    + "SELECT file_name, cleaned AS value FROM cleaned JOIN lines USING (line_no) WHERE cleaned IS NOT NULL",
+    "same_name_convert": _SAME_NAME
+    + """SELECT replace(file_name, '.gz', '.parquet') AS file_name, count(*) AS rows
+      FROM objects GROUP BY file_name""",
+    "clean_report_totals": _totals(_removed(_PEOPLE) + _CLEAN_REPORT, ("rows_processed", "fields_removed")),
+    "convert_report_totals": _totals(
+        _PEOPLE
+        + """SELECT concat(file_name, '.parquet') AS file_name, count(objects.line_no) AS rows
+          FROM lines LEFT JOIN objects USING (line_no, file_name) GROUP BY file_name""",
+        ("rows",),
+    ),
+    "file_status_totals": _PEOPLE
+    + "SELECT count(DISTINCT file_name) AS successful, CAST(1 AS BIGINT) AS failed FROM lines",
+    "rejected_lines": _JUDGED + "SELECT line_no, reason FROM judged WHERE reason IS NOT NULL",
+    "rejected_values": _JUDGED
+    + "SELECT line_no, reason FROM judged WHERE reason IS NOT NULL AND reason <> 'not_object'",
+    "reject_report": _JUDGED
+    + f"""SELECT file_name, count(*) AS lines, count(*) FILTER (WHERE reason IS NULL) AS kept,
+      count(reason) AS rejected, {_REASONS} FROM judged GROUP BY file_name""",
+    "clean_job_rejects": _JUDGED
+    + """SELECT file_name, count(j.line_no) FILTER (WHERE coalesce(reason, 'not_object') = 'not_object') AS rows_processed,
+        count(j.line_no) FILTER (WHERE reason <> 'not_object') AS rejected
+      FROM lines LEFT JOIN judged j USING (line_no, file_name) GROUP BY file_name""",
+    "convert_job_rejects": _JUDGED
+    + "SELECT file_name, reason, count(*) AS count FROM judged WHERE reason IS NOT NULL GROUP BY file_name, reason",
     "incremental_ingest": _PEOPLE + f"SELECT {_columns(NARROW_STRINGS)} FROM objects",
     "incremental_profile": _by_field(_PEOPLE),
 }

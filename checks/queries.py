@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import full_lines, gz_folder, people_lines, table
+from checks.fixtures import (
+    deep_lines,
+    full_lines,
+    gz_folder,
+    people_lines,
+    placed_folder,
+    same_name_lines,
+    table,
+)
 from lacuna.functions.values import int32_or_null, json_text, lenient_date, text_or_null
 from lacuna.operators.clean import clean_records, clean_report, drop_empty
 from lacuna.operators.filters import (
@@ -28,10 +36,12 @@ from lacuna.operators.profile import (
     status_counts,
     value_counts,
 )
+from lacuna.operators.reports import outcome, with_total
 from lacuna.plans.jobs import (
     clean_job,
     convert_job,
-    convert_report,
+    converted_rows,
+    profile_job,
     profile_reports,
     run_by_file,
 )
@@ -39,10 +49,13 @@ from lacuna.plans.layouts import project
 from lacuna.scratch import new_folder
 from lacuna.sinks.files import write_clean_lines, write_lines, write_parquet
 from lacuna.sources.ndjson import (
+    judge_lines,
     nonblank,
     parse_fields,
     parse_objects,
     parse_values,
+    reject_report,
+    rejected,
     scan_lines,
     stream_lines,
 )
@@ -311,6 +324,90 @@ def q_file_status(spark, sf_dir):
     return status.select(F.replace("file_name", F.lit("file_name=")).alias("file_name"), "success")
 
 
+# --- inputs of one name in several folders
+
+
+def q_same_name_scan(spark, sf_dir):
+    return scan_lines(spark, f"{placed_folder(same_name_lines(spark, sf_dir))}/*/*.gz*")
+
+
+def q_same_name_profile(spark, sf_dir):
+    source = placed_folder(same_name_lines(spark, sf_dir))
+    return profile_job(spark, f"{source}/*/*.gz*", new_folder(spark, "profile"))["by_file"]
+
+
+def q_same_name_overall(spark, sf_dir):
+    source = placed_folder(same_name_lines(spark, sf_dir))
+    return profile_job(spark, f"{source}/*/*.gz*", new_folder(spark, "profile"))["overall"]
+
+
+def q_same_name_clean(spark, sf_dir):
+    """Cleaned, placed under the inputs' own paths, and read back."""
+    source, target = placed_folder(same_name_lines(spark, sf_dir)), new_folder(spark, "cleaned")
+    clean_job(spark, f"{source}/*/*.gz*", target)
+    return scan_lines(spark, f"{target}/*/*.gz*")
+
+
+def q_same_name_convert(spark, sf_dir):
+    """Converted twice, in groups that each see a part of the folders; rows per output."""
+    source, target = placed_folder(same_name_lines(spark, sf_dir)), new_folder(spark, "wide")
+    paths = [f"{source}/day={i}/*.gz*" for i in range(3)]
+    for size in (1, 2):
+        run_by_file(spark, paths, lambda group: convert_job(spark, group, target), group_size=size)
+    return converted_rows(spark, target)
+
+
+# --- totals and rejected lines
+
+
+def q_clean_report_totals(spark, sf_dir):
+    """Counters per file and their sums."""
+    lines = people_lines(spark, sf_dir)
+    return with_total(clean_report(clean_records(lines), lines.select("file_name")))
+
+
+def q_convert_report_totals(spark, sf_dir):
+    source = placed_folder(people_lines(spark, sf_dir))
+    return with_total(convert_job(spark, source, new_folder(spark, "wide")))
+
+
+def q_file_status_totals(spark, sf_dir):
+    """How many files were converted, and how many could not be read."""
+    source = placed_folder(people_lines(spark, sf_dir))
+    names = people_lines(spark, sf_dir).select("file_name").distinct()
+    paths = [f"{source}/{row.file_name}.gz*" for row in names.toLocalIterator()]
+    target = new_folder(spark, "wide")
+    return outcome(run_by_file(spark, [*paths, f"{source}/none.gz"], lambda group: convert_job(spark, group, target)))
+
+
+def q_rejected_lines(spark, sf_dir):
+    return rejected(judge_lines(deep_lines(spark, sf_dir))).select("line_no", "reason")
+
+
+def q_rejected_values(spark, sf_dir):
+    return rejected(judge_lines(deep_lines(spark, sf_dir), "clean")).select("line_no", "reason")
+
+
+def q_reject_report(spark, sf_dir):
+    return reject_report(judge_lines(deep_lines(spark, sf_dir)))
+
+
+def q_clean_job_rejects(spark, sf_dir):
+    """Records read and lines rejected, per file: together all lines that are not blank."""
+    source = placed_folder(deep_lines(spark, sf_dir))
+    report = clean_job(spark, f"{source}/*.gz*", new_folder(spark, "cleaned"), rejects=True)
+    return report.select(F.replace("file_name", F.lit(".gz")).alias("file_name"), "rows_processed", "rejected")
+
+
+def q_convert_job_rejects(spark, sf_dir):
+    """The rejected lines that a conversion keeps, read back."""
+    source, target = placed_folder(deep_lines(spark, sf_dir)), new_folder(spark, "wide")
+    convert_job(spark, f"{source}/*.gz*", target, rejects=True)
+    kept = scan_lines(spark, f"{target}/_rejects/*.gz*")
+    reason = F.substring_index("value", " ", 1).alias("reason")
+    return kept.select(F.replace("file_name", F.lit(".gz")).alias("file_name"), reason).groupBy("file_name", "reason").count()
+
+
 # --- new files as they arrive
 
 

@@ -10,14 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.sources.ndjson import MAX_DEPTH, readable
+from lacuna.sources.ndjson import MAX_DEPTH, nonblank, readable
 
 
 def _cleaner(counters: bool = False):
     """Batch function; nested so that it ships to executors by value.
 
-    With ``counters`` rows are (file_name, kind, value): the cleaned lines, and for each
-    file of a batch one line with its counts.
+    With ``counters`` rows are (file_name, kind, value): the cleaned lines, for each file
+    of a batch one line with its counts, and, if the lines come with a ``reason``, those
+    that are not read after their reason.
     """
 
     def clean_batches(batches):
@@ -55,10 +56,10 @@ def _cleaner(counters: bool = False):
             kind = type(value)
             if kind is not dict and kind is not list:
                 return (None, 1) if value is None or value == "" else (value, 0)
-            if not value:
-                return None, int(in_object or kind is list)
             if depth >= MAX_DEPTH:
                 reject("too deep")
+            if not value:
+                return None, int(in_object or kind is list)
             removed = 0
             if kind is dict:
                 left = {}
@@ -80,14 +81,22 @@ def _cleaner(counters: bool = False):
             return left or None, removed
 
         for batch in batches:
-            rows, cleaned, counts = [], [], []
+            rows, cleaned, counts, refused = [], [], [], []
+            with_rejects = "reason" in batch.schema.names
+            known = batch.column("reason").to_pylist() if with_rejects else None
             for i, line in enumerate(batch.column("value").to_pylist()):
+                if with_rejects and known[i]:
+                    refused.append((i, known[i], line))
+                    continue
                 try:
                     left, removed = shrink(decode(line), False, 0)
                     text = None if left is None else encode(left)
                     if text and "Infinity" in text:
                         text = spelled(text)
-                except (ValueError, RecursionError):
+                except (ValueError, RecursionError) as error:
+                    if with_rejects:
+                        deep = isinstance(error, RecursionError) or error.args == ("too deep",)
+                        refused.append((i, "too_deep" if deep else "bad_json", line))
                     continue
                 rows.append(i)
                 cleaned.append(text)
@@ -98,11 +107,15 @@ def _cleaner(counters: bool = False):
                 names = batch.column("file_name").take(at).to_pylist()
                 found = {}
                 for name, n in zip(names, counts):
-                    entry = found.setdefault(name, [0, 0])
+                    entry = found.setdefault(name, [0, 0, 0])
                     entry[0] += 1
                     entry[1] += n
                 left = [(name, "lines", x) for name, x in zip(names, cleaned) if x is not None]
-                left += [(name, "counts", f"{n} {removed}") for name, (n, removed) in found.items()]
+                every = batch.column("file_name").to_pylist() if refused else []
+                for i, reason, line in refused:
+                    found.setdefault(every[i], [0, 0, 0])[2] += 1
+                    left.append((every[i], "rejects", f"{reason} {line}"))
+                left += [(name, "counts", " ".join(map(str, n))) for name, n in found.items()]
                 columns = [pa.array(c, pa.string()) for c in (zip(*left) if left else ([], [], []))]
                 yield pa.RecordBatch.from_arrays(columns, ["file_name", "kind", "value"])
                 continue
@@ -130,10 +143,18 @@ def clean_records(lines: DataFrame) -> DataFrame:
     return lines.where(readable(F.col("value"))).mapInArrow(_cleaner(), schema)
 
 
-def clean_with_counts(lines: DataFrame) -> DataFrame:
+def clean_with_counts(lines: DataFrame, rejects: bool = False) -> DataFrame:
     """``file_name, kind, value``: what is left of each record as a row of kind ``lines``,
-    and rows of kind ``counts`` with records read and members removed, to be added up."""
-    named = lines.where(readable(F.col("value"))).select("file_name", "value")
+    and rows of kind ``counts`` with records read, members removed and lines rejected, to be
+    added up.  With ``rejects`` also the lines that are not blank and not read, of kind
+    ``rejects``, after their reason (as in ``judge_lines``, policy ``clean``) and a space.
+    """
+    text = F.col("value")
+    if rejects:
+        reason = F.when(~F.is_valid_utf8(text), "bad_utf8").when(~readable(text), "bad_json")
+        named = nonblank(lines).select("file_name", F.make_valid_utf8(text).alias("value"), reason.alias("reason"))
+    else:
+        named = lines.where(readable(text)).select("file_name", "value")
     return named.mapInArrow(_cleaner(True), "file_name string, kind string, value string")
 
 

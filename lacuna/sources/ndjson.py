@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
+import re
 import secrets
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lacuna.functions.values import name
 from lacuna.session import TASKS_PER_CORE, require
+from lacuna.sources.inputs import Listing, files, key_column, listing, qualified
 
 # A gzip file up to this size is a second or two of work; not worth a shuffle.
 SMALL_FILE = 4 << 20
@@ -28,7 +30,7 @@ WELL_FORMED_ESCAPES = (
 
 def scan_lines(
     spark: SparkSession,
-    paths: str | Sequence[str],
+    paths: str | Iterable[str] | Listing,
     spread: bool = True,
     tolerate_corrupt: bool = False,
     cores: int | None = None,
@@ -38,6 +40,8 @@ def scan_lines(
 
     Only a line feed ends a line (one carriage return before it is dropped).
     gzip is chosen by the file extension; all members of a file are read.
+    ``file_name`` is the key of the input (``lacuna.sources.inputs``): its name, or the path
+    below the root of ``paths`` where inputs lie in several folders.
 
     A gzip file is one task.  Files that would keep their task busy long after the
     others are done have their lines dealt out to more tasks before the expensive
@@ -46,21 +50,22 @@ def scan_lines(
     Give ``cores`` where executors come and go: the default is what there is now.
     Rows are the same either way.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
+    found = paths if isinstance(paths, Listing) else listing(spark, paths)
     reader = spark.read.option("lineSep", "\n")
     if tolerate_corrupt:
         reader = reader.option("ignoreCorruptFiles", "true")
-    raw = reader.text(paths)
-    share, largest = _fair_share(spark, paths, cores) if spread else (0, 0)
-    if largest <= 2 * share or largest < (SMALL_FILE if small_file is None else small_file):
-        return _name_and_text(raw)
+    raw = reader.text(found.inputs)
+    share = max(1, found.total // (cores or spark.sparkContext.defaultParallelism))
+    least = SMALL_FILE if small_file is None else small_file
+    if not spread or found.largest <= 2 * share or found.largest < least:
+        return _name_and_text(raw, found.root)
     # Filters on the file size choose files, not rows.
     is_large = F.col("_metadata.file_name").endswith(".gz") & (
         F.col("_metadata.file_size") > 2 * share
     )
-    pieces = TASKS_PER_CORE * math.ceil(largest / share)
-    large = spread_lines(_name_and_text(raw.where(is_large)), pieces)
-    return _name_and_text(raw.where(~is_large)).unionAll(large)
+    pieces = TASKS_PER_CORE * math.ceil(found.largest / share)
+    large = spread_lines(_name_and_text(raw.where(is_large), found.root), pieces)
+    return _name_and_text(raw.where(~is_large), found.root).unionAll(large)
 
 
 def stream_lines(
@@ -68,42 +73,31 @@ def stream_lines(
 ) -> DataFrame:
     """The same rows from a folder that keeps receiving files, each read once.
 
-    Where single files may hold most of a batch, ``pieces`` deals the lines of every
-    batch out to so many tasks before they are parsed.
+    Keys start at the folder, or at the part of it before a pattern, so they are the same
+    in every batch.  Where single files may hold most of a batch, ``pieces`` deals the lines
+    of every batch out to so many tasks before they are parsed.
     """
     reader = spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", files_per_batch)
-    lines = _name_and_text(reader.text(folder))
+    fixed = re.split(r"/[^/]*[*?\[{]", folder, maxsplit=1)[0]
+    lines = _name_and_text(reader.text(folder), qualified(spark, fixed))
     return lines.repartition(pieces) if pieces else lines
 
 
-def list_inputs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def list_inputs(spark: SparkSession, paths: str | Iterable[str] | Listing) -> DataFrame:
     """The files to read, as ``file_name, path, length``: empty ones too.
 
     Only the listing is read.  Its tasks are bounded, whatever the number and size of
     the files.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    listing = spark.read.format("binaryFile").load(paths)
-    if "file_name" in listing.columns:
-        name = F.col("file_name").cast("string")
-    else:
-        name = F.element_at(F.split("path", "/"), -1)
-    files = listing.select(name.alias("file_name"), "path", "length")
-    return files.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    found = paths if isinstance(paths, Listing) else listing(spark, paths)
+    name = key_column(F.col("path"), found.root, encoded=False)
+    rows = files(spark, found.inputs).select(name.alias("file_name"), "path", "length")
+    return rows.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
 
 
-def input_names(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
-    """The names under which results are kept, one for each input.
-
-    Two inputs in different folders with one base name would take each other's place,
-    so they are refused.  Parts of an input written per name (``file_name=x/``) are one.
-    """
-    folder = F.regexp_replace("path", "/[^/]*$", "")
-    names = list_inputs(spark, paths).groupBy("file_name").agg(F.count_distinct(folder).alias("folders"))
-    rows = names.orderBy("file_name").collect()
-    if twice := [r.file_name for r in rows if r.folders > 1]:
-        raise ValueError(f"inputs of the same name: {', '.join(twice[:5])}")
-    return [r.file_name for r in rows]
+def input_names(spark: SparkSession, paths: str | Iterable[str]) -> list[str]:
+    """The keys under which results are kept, one for each input."""
+    return listing(spark, paths, names=True).names
 
 
 def spread_lines(lines: DataFrame, pieces: int | None = None) -> DataFrame:
@@ -122,23 +116,13 @@ def spread_lines(lines: DataFrame, pieces: int | None = None) -> DataFrame:
     )
 
 
-def _name_and_text(raw: DataFrame) -> DataFrame:
-    if "file_name" in raw.columns:  # folder written with partitionBy("file_name")
-        name = F.col("file_name")
-    else:
-        name = F.col("_metadata.file_name")
+def _name_and_text(raw: DataFrame, root: str) -> DataFrame:
+    name = key_column(F.col("_metadata.file_path"), root)
     text = F.col("value")
     without_cr = F.when(text.endswith("\r"), F.expr("left(value, length(value) - 1)")).otherwise(text)
     return raw.select(name.alias("file_name"), without_cr.alias("value"))
 
 
-def _fair_share(spark: SparkSession, paths: list[str], cores: int | None) -> tuple[int, int]:
-    """Compressed bytes each core would get, and the size of the largest gzip file."""
-    files = list_inputs(spark, paths).where(F.col("path").endswith(".gz"))
-    total, largest = files.agg(F.sum("length"), F.max("length")).first()
-    return max(1, (total or 0) // (cores or spark.sparkContext.defaultParallelism)), largest or 0
-
-
 def readable(text: Column) -> Column:
     """Valid UTF-8, and no escape that stands for half a character."""
     return F.is_valid_utf8(text) & (~text.contains("\\u") | text.rlike(WELL_FORMED_ESCAPES))
@@ -161,6 +145,77 @@ def mentioning(lines: DataFrame, *texts: str) -> DataFrame:
     return lines.where(test)
 
 
+#: Why a line is not read.
+REASONS = ("bad_utf8", "bad_json", "too_deep", "not_object")
+
+# What each program keeps of the lines that are not blank.
+POLICIES = {
+    "clean": "values",
+    "convert": "objects",
+    "profile": "objects",
+    "filter": "objects",
+    "status": "objects",
+}
+
+
+def judge_lines(lines: DataFrame, policy: str = "objects") -> DataFrame:
+    """The lines that are not blank, with ``reason``: NULL for those that are read.
+
+    ``policy`` is what is read: ``values`` any JSON value, ``objects`` only objects, ``all``
+    as ``objects`` but the job ends at the first line that is not one; or the name of a
+    program (``POLICIES``).  A line is rejected as ``bad_utf8``, ``bad_json`` (half of a
+    surrogate pair included), ``too_deep`` (containers nested beyond ``MAX_DEPTH``, whatever
+    else is wrong) or ``not_object``.  All other columns stay.
+    """
+    require(lines.sparkSession)
+    kept = POLICIES.get(policy, policy)
+    if kept not in ("values", "objects", "all"):
+        raise ValueError(f"unknown policy: {policy}")
+    text = F.col("value")
+    wrapped = F.when(readable(text), F.concat(F.lit("["), text, F.lit(f",{_NUMBER}]")))
+    others = [name(c) for c in lines.columns]
+    parsed = nonblank(lines).select(*others, F.from_json(wrapped, "array<variant>", _PLAIN_JSON).alias("_parsed"))
+    complete = f"coalesce(size(_parsed) = 2 AND try_cast(get(_parsed, 1) AS bigint) = {_NUMBER}, false)"
+    other = F.lit(kept != "values") & ~F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
+    reason = (
+        F.when(~F.is_valid_utf8(text), "bad_utf8")
+        .when(F.expr(complete), F.when(other, "not_object"))
+        .when(_too_deep(text), "too_deep")
+        .otherwise("bad_json")
+    )
+    judged = parsed.select(*others, F.explode(F.array(reason)).alias("reason"))
+    if kept == "all":
+        refused = F.raise_error(F.concat(F.lit("line rejected as "), F.col("reason"))).cast("string")
+        judged = judged.withColumn("reason", F.when(F.col("reason").isNotNull(), refused))
+    return judged
+
+
+def _too_deep(text: Column) -> Column:
+    """Brackets outside strings are nested beyond ``MAX_DEPTH``.  Few lines have that many."""
+    brackets = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\]++|\\.)*+"', ""), r"[^\[\]{}]++", "")
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("most"))
+
+    def step(state: Column, bracket: Column) -> Column:
+        at = state.at + F.when(bracket.isin("[", "{"), 1).otherwise(-1)
+        return F.struct(at.alias("at"), F.greatest(state.most, at).alias("most"))
+
+    depth = F.aggregate(F.split(brackets, "(?!^)"), zero, step, lambda state: state.most)
+    opened = F.length(text) - F.length(F.translate(text, "[{", ""))
+    return F.when(opened > MAX_DEPTH, depth > MAX_DEPTH).otherwise(False)
+
+
+def rejected(judged: DataFrame) -> DataFrame:
+    """The lines that were not read, with their ``reason``."""
+    return judged.where(F.col("reason").isNotNull())
+
+
+def reject_report(judged: DataFrame) -> DataFrame:
+    """Per file: lines that are not blank, those read, and those rejected, by reason."""
+    reasons = [F.count_if(F.col("reason") == r).alias(r) for r in REASONS]
+    kept = F.count_if(F.col("reason").isNull()).alias("kept")
+    return judged.groupBy("file_name").agg(F.count("*").alias("lines"), kept, F.count("reason").alias("rejected"), *reasons)
+
+
 def parse_values(lines: DataFrame, reader: str = "strict") -> DataFrame:
     """Replace ``value`` by ``record VARIANT``, whatever JSON it is; other columns stay.
 

@@ -2,20 +2,25 @@
 
 import gzip
 
+import pyarrow.parquet as pq
 import pytest
 
+from lacuna.operators.clean import clean_records
 from lacuna.operators.profile import by_field, profile_facts, profile_fields
 from lacuna.plans.jobs import (
     clean_job,
     clean_with_totals,
     convert_job,
+    converted_rows,
     phone_job,
     profile_job,
     run_by_file,
 )
 from lacuna.plans.layouts import WIDE, project
 from lacuna.scratch import new_folder, shared_root
-from lacuna.sources.ndjson import parse_objects, scan_lines, stream_lines
+from lacuna.sinks.files import place, remove, staging, write_clean_lines
+from lacuna.sources.inputs import listing
+from lacuna.sources.ndjson import parse_objects, scan_lines, spread_lines, stream_lines
 from lacuna.streaming.incremental import ingest, ingest_profile, read_profile
 
 FILES = {
@@ -33,6 +38,12 @@ def source(tmp_path):
     return folder
 
 
+def names(folder):
+    """Files a run has left, below the folder, but for the checksums of the local file system."""
+    found = (str(p.relative_to(folder)) for p in folder.rglob("*") if p.is_file())
+    return sorted(x for x in found if not x.rsplit("/", 1)[-1].startswith("."))
+
+
 def as_rows(frame):
     return sorted(tuple(r) for r in frame.collect())
 
@@ -40,10 +51,9 @@ def as_rows(frame):
 def test_clean(spark, source, tmp_path):
     out = tmp_path / "out"
     assert as_rows(clean_job(spark, str(source), str(out))) == [("a.gz", 2, 2), ("b.gz", 3, 2)]
-    lines = out / "kind=lines"
-    assert sorted(p.name for p in lines.iterdir() if p.is_dir()) == ["file_name=a.gz", "file_name=b.gz"]
-    assert all(p.name.endswith(".gz") for p in lines.glob("*/part-*"))
-    assert as_rows(scan_lines(spark, str(lines))) == [
+    assert names(out) == ["a.gz", "b.gz"]
+    assert gzip.decompress((out / "b.gz").read_bytes()).count(b"\n") == 3
+    assert as_rows(scan_lines(spark, str(out))) == [
         ("a.gz", '{"gender":"m","id":"1","mobile_phone":"+1"}'),
         ("b.gz", "[1]"),
         ("b.gz", '{"birth_year":1980,"id":"3"}'),
@@ -54,6 +64,7 @@ def test_clean(spark, source, tmp_path):
 def test_clean_with_totals(spark, source, tmp_path):
     totals = clean_with_totals(spark, str(source), str(tmp_path / "out"))
     assert totals == {"rows_processed": 5, "fields_removed": 4}
+    assert names(tmp_path / "out") == ["a.gz", "b.gz"]
 
 
 def test_convert_wide(spark, source, tmp_path):
@@ -62,9 +73,12 @@ def test_convert_wide(spark, source, tmp_path):
     assert as_rows(convert_job(spark, str(source), out)) == want
     assert as_rows(convert_job(spark, str(source), out)) == want  # replaces, does not append
     table = spark.read.parquet(out)
-    assert table.columns == [c.partition(":")[0] for c in WIDE] + ["file_name"]
+    assert table.columns == [c.partition(":")[0] for c in WIDE]
     assert table.where("birth_year = 1980").first().id == "3"
-    assert any("zstd" in p.name for p in (tmp_path / "out").glob("*/*.parquet"))
+    assert names(tmp_path / "out") == ["a.parquet", "b.parquet"]
+    footer = pq.ParquetFile(tmp_path / "out" / "a.parquet").metadata
+    assert footer.row_group(0).column(0).compression == "ZSTD"
+    assert as_rows(converted_rows(spark, out)) == want
 
 
 def test_convert_narrow(spark, source, tmp_path):
@@ -135,7 +149,7 @@ def test_outputs_are_replaced_and_only_those(spark, source, tmp_path):
         assert report == [("a.gz", 2, 2), ("b.gz", 3, 2), ("bad.gz", 0, 0), ("empty.gz", 0, 0)]
         (source / "a.gz").write_bytes(gzip.compress(b'{"id":null}\n'))
         assert as_rows(clean_job(spark, str(source / "a.gz"), f"{out}/clean")) == [("a.gz", 1, 1)]
-        assert {r[0] for r in as_rows(scan_lines(spark, f"{out}/clean/kind=lines"))} == {"b.gz"}
+        assert {r[0] for r in as_rows(scan_lines(spark, f"{out}/clean"))} == {"b.gz"}
         want = [("a.parquet", 1), ("b.parquet", 2), ("bad.parquet", 0), ("empty.parquet", 0)]
         assert as_rows(convert_job(spark, str(source), f"{out}/wide")) == want
         (source / "a.gz").write_bytes(gzip.compress(b"[]\n"))
@@ -147,12 +161,87 @@ def test_outputs_are_replaced_and_only_those(spark, source, tmp_path):
     spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
 
-def test_inputs_of_one_name_are_refused(spark, source, tmp_path):
-    for day in ("d1", "d2"):
-        (tmp_path / day).mkdir()
-        (tmp_path / day / "part-0.gz").write_bytes(gzip.compress(b'{"id":"1"}\n'))
-    with pytest.raises(ValueError, match="part-0.gz"):
-        convert_job(spark, [str(tmp_path / "d1"), str(tmp_path / "d2")], str(tmp_path / "out"))
+@pytest.fixture()
+def days(tmp_path):
+    """Inputs of one name in three folders: 1, 2 and 0 objects; a name that needs escapes."""
+    rows = {"day=1/part-0.gz": 1, "day=2/part-0.gz": 2, "x y%20+é/part-0.gz": 0}
+    for name, n in rows.items():
+        path = tmp_path / "days" / name
+        path.parent.mkdir(parents=True)
+        path.write_bytes(gzip.compress(b'{"id":"1","gender":"m","none":null}\n' * n))
+    return tmp_path / "days"
+
+
+KEYS = ["day=1/part-0.gz", "day=2/part-0.gz", "x y%20+é/part-0.gz"]
+
+
+def test_inputs_of_one_name_are_kept_apart(spark, days, tmp_path):
+    paths = f"{days}/*/*.gz"
+    assert as_rows(scan_lines(spark, paths).select("file_name")) == [(KEYS[0],), (KEYS[1],), (KEYS[1],)]
+    out = tmp_path / "out"
+    for _ in range(2):  # a second run replaces the outputs of the first
+        report = as_rows(clean_job(spark, paths, str(out / "clean")))
+        assert report == [(KEYS[0], 1, 1), (KEYS[1], 2, 2), (KEYS[2], 0, 0)]
+        assert names(out / "clean") == KEYS[:2]
+        parquet = [key.replace(".gz", ".parquet") for key in KEYS]
+        converted = as_rows(convert_job(spark, paths, str(out / "wide")))
+        assert converted == [(parquet[0], 1), (parquet[1], 2), (parquet[2], 0)]
+        assert names(out / "wide") == parquet[:2]
+        assert as_rows(converted_rows(spark, str(out / "wide"))) == [(parquet[0], 1), (parquet[1], 2)]
+    assert as_rows(scan_lines(spark, f"{out}/clean/*/*.gz").groupBy("file_name").count()) == [(KEYS[0], 1), (KEYS[1], 2)]
+
+
+def test_profile_of_inputs_of_one_name(spark, days, tmp_path):
+    reports = profile_job(spark, f"{days}/*/*.gz", str(tmp_path / "out"))
+    assert as_rows(reports["by_file"].select("file_name", "objects")) == [(KEYS[0], 1), (KEYS[1], 2), (KEYS[2], 0)]
+    assert reports["overall"].first().files == 3
+
+
+def test_groups_of_inputs_of_one_name(spark, days, tmp_path):
+    """Each file alone in its group still has the key it has among all."""
+    out = str(tmp_path / "out")
+    paths = [f"{days}/{key}" for key in KEYS] + [f"{days}/day=3/part-0.gz"]
+    for size in (1, 4):
+        status = run_by_file(spark, paths, lambda group: convert_job(spark, group, out), group_size=size)
+        want = [(key, True) for key in KEYS]
+        assert as_rows(status.select("file_name", "success")) == sorted([*want, ("day=3/part-0.gz", False)])
+        assert sum(r.rows for r in converted_rows(spark, out).collect()) == 3
+
+
+def test_keys_from_a_given_root(spark, days, tmp_path):
+    """A later run over one folder only does not take the place of another's outputs."""
+    out = tmp_path / "out"
+    clean_job(spark, f"{days}/day=1", str(out), root=str(days))
+    clean_job(spark, f"{days}/day=2", str(out), root=str(days))
+    assert names(out) == KEYS[:2]
+
+
+def test_parts_of_an_input_are_one_input(spark, tmp_path):
+    """What several tasks wrote lies side by side, is replaced together and read as one."""
+    source = tmp_path / "in"
+    source.mkdir()
+    lines = [f'{{"id":"{i}"}}' for i in range(3000)]
+    (source / "big.gz").write_bytes(gzip.compress("\n".join(lines).encode()))
+    (source / "small.gz").write_bytes(gzip.compress(b'{"id":"x"}\n'))
+    found = listing(spark, str(source), names=True)
+    out = tmp_path / "out"
+    for pieces in (6, 2):
+        run = staging(str(out))
+        spread = spread_lines(scan_lines(spark, found), pieces)
+        write_clean_lines(clean_records(spread), run)
+        place(spark, run, str(out), found.names, ".gz")
+        remove(spark, run)
+        left = [x for x in names(out) if x.startswith("big.gz")]
+        assert left[0] == "big.gz" and 1 < len(left) <= 2 * pieces
+        assert as_rows(scan_lines(spark, str(out)).groupBy("file_name").count()) == [("big.gz", 3000), ("small.gz", 1)]
+    assert listing(spark, str(out), names=True).names == ["big.gz", "small.gz"]
+    assert as_rows(convert_job(spark, str(out), str(tmp_path / "wide"))) == [("big.parquet", 3000), ("small.parquet", 1)]
+
+
+def test_stream_keys_start_at_the_folder(spark, days):
+    table = stream_lines(spark, f"{days}/*").writeStream.format("memory").queryName("stream_keys")
+    table.trigger(availableNow=True).start().awaitTermination()
+    assert {r.file_name for r in spark.table("stream_keys").collect()} == set(KEYS[:2])
 
 
 def test_files_without_records_are_profiled(spark, source, tmp_path):
