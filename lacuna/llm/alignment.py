@@ -15,7 +15,7 @@ holds with their document counts once, and gets the corpus-wide counts of those
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -140,9 +140,10 @@ def diagonals(a: np.ndarray, b: np.ndarray, piece: int) -> list[tuple[int, int]]
     return [*cuts, (len(a), len(b))]
 
 
-def _cut_pieces(
-    documents: DataFrame, paths: tuple[str, str], lengths: tuple[np.ndarray, np.ndarray], doc_id: str, text: str, piece: int
-) -> DataFrame:
+Batches = Iterator[pa.RecordBatch]
+
+
+def _cut_pieces(paths: tuple[str, str], lengths: tuple[np.ndarray, np.ndarray], piece: int) -> Callable[[Batches], Batches]:
     """Encode each text and cut the merge of its ends: a row per piece.
 
     ``doc`` is the number of the row, ``a`` and ``b`` are ids, ``a_at`` and ``b_at`` the byte
@@ -175,8 +176,7 @@ def _cut_pieces(
                     rows, held = [], 0
             yield _batch(rows, _PIECE_ROWS)
 
-    rows = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("t"))
-    return rows.mapInArrow(encode, _sql(_PIECE_ROWS))
+    return encode
 
 
 _PIECE_ROWS = pa.schema(
@@ -262,14 +262,23 @@ class Block:
 
     number: int
     whole: bool
-    known: dict[tuple[bytes, bytes], int] = field(default_factory=dict)
+    # A group of one token each is the number of its pair, any other the bytes of its ids.
+    known: dict[int | tuple[bytes, bytes], int] = field(default_factory=dict)
     parts: list[tuple] = field(default_factory=list)
     ends: int = 0
 
-    def add(self, doc: int, name: int | None, at: int, groups: Iterable[tuple[bytes, bytes]]) -> None:
+    def add(self, doc: int, name: int | None, at: int, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> None:
+        """Append the groups between neighbouring cuts of both lists of ids."""
         known = self.known
-        numbers = [known.setdefault(g, len(known)) for g in groups]
-        self.parts.append((doc, name, at, np.array(numbers, "<u4")))
+        numbers = np.empty(len(cut_a) - 1, "<u4")
+        single = (np.diff(cut_a) == 1) & (np.diff(cut_b) == 1)
+        pairs = a[cut_a[:-1][single]].astype(np.int64) << _ID_BITS | b[cut_b[:-1][single]]
+        pairs, place = np.unique(pairs, return_inverse=True)
+        numbers[single] = np.array([known.setdefault(p, len(known)) for p in pairs.tolist()], "<u4")[place]
+        for k in np.flatnonzero(~single).tolist():
+            group = (a[cut_a[k] : cut_a[k + 1]].tobytes(), b[cut_b[k] : cut_b[k + 1]].tobytes())
+            numbers[k] = known.setdefault(group, len(known))
+        self.parts.append((doc, name, at, numbers))
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         def kind(name: str, rows: int, **columns) -> pa.RecordBatch:
@@ -279,9 +288,13 @@ class Block:
             return
         docs, names, ats, numbers = (list(x) for x in zip(*self.parts, strict=True))
         yield kind("part", len(docs), doc=docs, doc_id=names, at=ats, a=[x.tobytes() for x in numbers])
-        keys = list(self.known)
-        if not keys:
+        if not self.known:
             return
+        one = (1 << _ID_BITS) - 1
+        keys = [
+            k if isinstance(k, tuple) else ((k >> _ID_BITS).to_bytes(4, "little"), (k & one).to_bytes(4, "little"))
+            for k in self.known
+        ]
         yield kind("group", len(keys), at=np.arange(len(keys)), a=[k[0] for k in keys], b=[k[1] for k in keys])
         group, pair, _ = _expanded([(np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")) for a, b in keys])
         first = np.searchsorted(group, np.arange(len(keys) + 1))
@@ -305,7 +318,7 @@ class Block:
             yield kind("pair", len(every), pair=every, n=total)
 
 
-def _merged(pieces: DataFrame, lengths: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def _merged(lengths: tuple[np.ndarray, np.ndarray]) -> Callable[[Batches], Batches]:
     """Merge each piece by itself: blocks of its groups, and the loose tokens of pieces of long texts."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,24 +328,23 @@ def _merged(pieces: DataFrame, lengths: tuple[np.ndarray, np.ndarray]) -> DataFr
         for batch in batches:
             loose: list[tuple] = []
             for doc, name, piece, of, a, b, a_at, b_at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                a_end = a_at + np.cumsum(length_a[np.frombuffer(a, "<u4")])
-                b_end = b_at + np.cumsum(length_b[np.frombuffer(b, "<u4")])
+                a, b = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+                a_end, b_end = a_at + np.cumsum(length_a[a]), b_at + np.cumsum(length_b[b])
                 at = np.searchsorted(b_end, a_end)
                 both = np.flatnonzero(np.append(b_end, -1)[at] == a_end)
-                # A group goes up to such an end: in bytes of ``a`` and ``b``, four for an id.
-                cut_a, cut_b = (4 * (both + 1)).tolist(), (4 * (at[both] + 1)).tolist()
+                cut_a, cut_b = both + 1, at[both] + 1  # a group goes up to such an end
                 if of == 1:
-                    cut_a, cut_b = [0, *cut_a], [0, *cut_b]
+                    cut_a, cut_b = np.append(0, cut_a), np.append(0, cut_b)
                 else:
-                    head_a, head_b = (cut_a[0], cut_b[0]) if cut_a else (len(a), len(b))
-                    tail_a, tail_b = (cut_a[-1], cut_b[-1]) if cut_a else (len(a), len(b))
-                    loose.append((doc, name, 2 * piece, bool(cut_a), a[:head_a], b[:head_b]))
+                    closed = len(cut_a) > 0
+                    head_a, head_b = (cut_a[0], cut_b[0]) if closed else (len(a), len(b))
+                    tail_a, tail_b = (cut_a[-1], cut_b[-1]) if closed else (len(a), len(b))
+                    loose.append((doc, name, 2 * piece, closed, a[:head_a].tobytes(), b[:head_b].tobytes()))
                     if len(a) > tail_a or len(b) > tail_b:
-                        loose.append((doc, name, 2 * piece + 1, False, a[tail_a:], b[tail_b:]))
+                        loose.append((doc, name, 2 * piece + 1, False, a[tail_a:].tobytes(), b[tail_b:].tobytes()))
                 block = texts if of == 1 else parts
-                if of == 1 or len(cut_a) > 1:
-                    spans = zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False)
-                    block.add(doc, name, 2 * piece + 1, [(a[i:k], b[j:m]) for i, k, j, m in spans])
+                if len(cut_a) > 1 or of == 1:
+                    block.add(doc, name, 2 * piece + 1, a, b, cut_a, cut_b)
                 block.ends += len(a_end) + len(b_end) + 1
                 if block.ends > BLOCK:
                     yield from block.rows()
@@ -344,7 +356,7 @@ def _merged(pieces: DataFrame, lengths: tuple[np.ndarray, np.ndarray]) -> DataFr
         yield from texts.rows()
         yield from parts.rows()
 
-    return pieces.mapInArrow(merge, _sql(_ROWS))
+    return merge
 
 
 def _stitched(loose: DataFrame, blocks: int) -> DataFrame:
@@ -361,7 +373,8 @@ def _stitched(loose: DataFrame, blocks: int) -> DataFrame:
             a.append(some_a)
             b.append(some_b)
             if closed:
-                block.add(doc, name, at, [(b"".join(a), b"".join(b))])
+                ids = [np.frombuffer(b"".join(x), "<u4") for x in (a, b)]
+                block.add(doc, name, at, *ids, *[np.array([0, len(x)]) for x in ids])
                 a, b = [], []
         return pa.Table.from_batches(block.rows(), _ROWS)
 
@@ -445,8 +458,9 @@ def align(
     lengths = _lengths(ByteLevel(path_a)), _lengths(Pieces(path_b))
     if max(map(len, lengths)) >= 1 << _ID_BITS:
         raise ValueError(f"more than 2^{_ID_BITS} ids")
-    cut = _cut_pieces(documents, (path_a, path_b), lengths, doc_id, text, piece)
-    rows = staged(_merged(cut, lengths), "alignment-rows")
+    cut, merged = _cut_pieces((path_a, path_b), lengths, piece), _merged(lengths)
+    texts = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("t"))
+    rows = staged(texts.mapInArrow(lambda batches: merged(cut(batches)), _sql(_ROWS)), "alignment-rows")
     loose = rows.where("kind = 'loose'")
     # A few thousand loose tokens to a block.
     stitched = staged(_stitched(loose, 1 + loose.count() // 4096), "alignment-stitched")
