@@ -74,6 +74,22 @@ SELECT line_no, file_name, CASE line_no % 97
 FROM ({PEOPLE_LINES}) AS named
 """
 
+# A line per order, all of one shape; about a third of the members are null or empty.
+ITEM_LINES = """
+SELECT o_orderkey AS line_no, concat('part-0000', CAST(o_orderkey % 5 AS STRING)) AS file_name,
+ concat('{"key":', CAST(o_orderkey AS STRING),
+  ',"flag":', CASE WHEN o_custkey % 5 = 0 THEN 'null' ELSE concat('"', o_orderpriority, '"') END,
+  ',"mode":', CASE WHEN o_orderkey % 3 = 0 THEN '""' ELSE '"m"' END,
+  ',"part":{"id":', CAST(o_custkey AS STRING), ',"note":', CASE WHEN o_orderkey % 4 = 0 THEN 'null' ELSE '"n"' END, '}',
+  ',"supplier":', CASE o_custkey % 4 WHEN 0 THEN 'null' WHEN 1 THEN '{}' WHEN 2 THEN '{"id":null,"tags":["",null]}'
+    ELSE concat('{"id":', CAST(o_custkey AS STRING), ',"tags":["a","","b"]}') END,
+  ',"steps":', CASE o_orderkey % 7 WHEN 0 THEN '[]' WHEN 1 THEN '[{"at":1,"by":""},{},null]'
+    ELSE '[{"at":null,"by":""},{"by":"x"}]' END, '}') AS value
+FROM orders
+"""
+ITEM_SHAPE = """key bigint, flag string, mode string, part struct<id: bigint, note: string>,
+ supplier struct<id: bigint, tags: array<string>>, steps array<struct<at: int, by: string>>"""
+
 # Members with a shape of their own; n is a number as text, b the number itself.
 _JOB = """concat('[{"company":{"founded":null,"id":"c', n, '","name":"acme, inc","size":""},',
   '"end_date":null,"location_names":[],"title":{"levels":[],"name":"lead","role":null}},',
@@ -134,6 +150,10 @@ def people_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, "customer", PEOPLE_LINES)
 
 
+def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, "orders", ITEM_LINES)
+
+
 def same_name_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, "customer", SAME_NAME_LINES)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.fixtures import DEEP_LINES, FULL_LINES, PEOPLE_LINES, SAME_NAME_LINES
+from checks.fixtures import DEEP_LINES, FULL_LINES, ITEM_LINES, PEOPLE_LINES, SAME_NAME_LINES
 from lacuna.operators.profile import VALUE_FIELDS
 from lacuna.plans.layouts import NARROW, NARROW_STRINGS, WIDE
 
@@ -14,6 +14,7 @@ valid AS MATERIALIZED (SELECT *, json_type(value) AS kind FROM (
 objects AS MATERIALIZED (SELECT line_no, file_name, value FROM valid WHERE kind = 'OBJECT')
 """
 _FULL = _PEOPLE.replace(PEOPLE_LINES, FULL_LINES)
+_ITEMS = _PEOPLE.replace(PEOPLE_LINES, ITEM_LINES)
 _SAME_NAME = _PEOPLE.replace(PEOPLE_LINES, SAME_NAME_LINES)
 _EVENTS = f"""WITH objects AS (
   SELECT event_type AS file_name, props AS value FROM events WHERE json_type(props) = 'OBJECT')
@@ -245,6 +246,10 @@ ORACLES: dict[str, str] = {
       TRY_CAST({_string("gender")} AS DATE) AS gender FROM objects""",
     "clean_records": _cleaned(_PEOPLE) + "SELECT line_no, cleaned FROM cleaned",
     "clean_records_full": _cleaned(_FULL) + "SELECT line_no, cleaned FROM cleaned",
+    "clean_known": _cleaned(_PEOPLE) + "SELECT line_no, cleaned FROM cleaned",
+    "count_removed_known": _removed(_PEOPLE) + "SELECT line_no, removed FROM counted",
+    "clean_known_items": _removed(_cleaned(_ITEMS))
+    + "SELECT line_no, cleaned, removed FROM cleaned JOIN counted USING (line_no)",
     "drop_empty_records": _cleaned(_PEOPLE) + "SELECT line_no FROM cleaned WHERE cleaned IS NOT NULL",
     "clean_gz_roundtrip": _cleaned(_PEOPLE)
     + "SELECT file_name, cleaned AS value FROM cleaned JOIN lines USING (line_no) WHERE cleaned IS NOT NULL",
@@ -331,4 +336,7 @@ ORACLES: dict[str, str] = {
     + "SELECT file_name, reason, count(*) AS count FROM judged WHERE reason IS NOT NULL GROUP BY file_name, reason",
     "incremental_ingest": _PEOPLE + f"SELECT {_columns(NARROW_STRINGS)} FROM objects",
     "incremental_profile": _by_field(_PEOPLE),
+    "incremental_compacted": _by_field(_PEOPLE),
+    "incremental_files": _SAME_NAME
+    + f"SELECT replace(file_name, '.gz', '.parquet') AS file_name, {_columns(NARROW_STRINGS)} FROM objects",
 }

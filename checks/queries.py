@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import (
+    ITEM_SHAPE,
     deep_lines,
     full_lines,
     gz_folder,
+    item_lines,
     people_lines,
     placed_folder,
     same_name_lines,
@@ -18,6 +20,7 @@ from checks.fixtures import (
 )
 from lacuna.functions.values import int32_or_null, json_text, lenient_date, text_or_null
 from lacuna.operators.clean import clean_records, clean_report, drop_empty
+from lacuna.operators.clean_known import clean_known
 from lacuna.operators.filters import (
     extract_emails,
     lines_with_email_domain,
@@ -47,7 +50,7 @@ from lacuna.plans.jobs import (
 )
 from lacuna.plans.layouts import project
 from lacuna.scratch import new_folder
-from lacuna.sinks.files import write_clean_lines, write_lines, write_parquet
+from lacuna.sinks.files import read_outputs, write_clean_lines, write_lines, write_parquet
 from lacuna.sources.ndjson import (
     judge_lines,
     nonblank,
@@ -59,7 +62,7 @@ from lacuna.sources.ndjson import (
     scan_lines,
     stream_lines,
 )
-from lacuna.streaming.incremental import ingest, ingest_profile, read_profile
+from lacuna.streaming.incremental import ingest, ingest_profile, read_profile, stream_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -151,6 +154,30 @@ def q_count_removed_full(spark, sf_dir):
     return clean_records(full_lines(spark, sf_dir)).select("line_no", "removed")
 
 
+# The members of the customer lines; not all lines are of this shape.
+PEOPLE_SHAPE = """id string, full_name string, gender string, birth_year bigint, job_title string,
+ location_country string, mobile_phone string, phone_numbers array<string>,
+ emails array<struct<address: string, type: string>>, skills array<string>, job_last_updated string,
+ experience array<struct<company: struct<name: string, size: string>, title: string>>,
+ version_status struct<contains: array<string>, previous_version: string, status: string>,
+ `version_status.status` string, status string"""
+
+
+def q_clean_known(spark, sf_dir):
+    """Cleaned by the expression made from a schema; other lines are found out."""
+    return clean_known(people_lines(spark, sf_dir), PEOPLE_SHAPE).select("line_no", "cleaned")
+
+
+def q_count_removed_known(spark, sf_dir):
+    return clean_known(people_lines(spark, sf_dir), PEOPLE_SHAPE).select("line_no", "removed")
+
+
+def q_clean_known_items(spark, sf_dir):
+    """Lines all of which have the shape: orders with their items, some members empty."""
+    lines = item_lines(spark, sf_dir)
+    return clean_known(lines, ITEM_SHAPE).select("line_no", "cleaned", "removed")
+
+
 def q_drop_empty_records(spark, sf_dir):
     return drop_empty(clean_records(people_lines(spark, sf_dir))).select("line_no")
 
@@ -421,6 +448,24 @@ def q_incremental_ingest(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+def q_incremental_files(spark, sf_dir):
+    """Inputs of one name in three folders, one batch each, large ones dealt out."""
+    source = placed_folder(same_name_lines(spark, sf_dir))
+    target, checkpoint = new_folder(spark, "ingested"), new_folder(spark, "checkpoint")
+    files = stream_files(spark, f"{source}/*", files_per_batch=3)
+    ingest(files, lambda batch: project(batch, "narrow_strings", keep=["file_name"]), target, checkpoint).awaitTermination()
+    return read_outputs(spark, target)
+
+
+def q_incremental_compacted(spark, sf_dir):
+    """The field profile of batches of one file, merged whenever two lie beside one another."""
+    source = gz_folder(people_lines(spark, sf_dir))
+    target, checkpoint = new_folder(spark, "facts"), new_folder(spark, "checkpoint")
+    files = stream_files(spark, source, files_per_batch=2)
+    ingest_profile(files, target, checkpoint, compact_every=2).awaitTermination()
+    return profile_reports(read_profile(spark, target))["by_field"]
+
+
 def q_incremental_profile(spark, sf_dir):
     source = gz_folder(people_lines(spark, sf_dir))
     target, checkpoint = new_folder(spark, "facts"), new_folder(spark, "checkpoint")

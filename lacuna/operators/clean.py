@@ -16,6 +16,8 @@ from lacuna.sources.ndjson import MAX_DEPTH, nonblank, readable
 def _cleaner(counters: bool = False):
     """Batch function; nested so that it ships to executors by value.
 
+    Rows that come with ``cleaned`` and ``removed`` and without a ``value`` pass.
+
     With ``counters`` rows are (file_name, kind, value): the cleaned lines, for each file
     of a batch one line with its counts, and, if the lines come with a ``reason``, those
     that are not read after their reason.
@@ -80,11 +82,26 @@ def _cleaner(counters: bool = False):
                         left.append(inner)
             return left or None, removed
 
+        strings = re.compile(r'"(?:[^"\\]++|\\.)*+"?', re.DOTALL)
+
+        def nested_too_deep(line):
+            """Whether brackets outside strings are, in a line that could not be read."""
+            if line.count("[") + line.count("{") <= MAX_DEPTH:
+                return False
+            depth = 0
+            for bracket in re.findall(r"[\[\]{}]", strings.sub("", line)):
+                depth += 1 if bracket in "[{" else -1
+                if depth > MAX_DEPTH:
+                    return True
+            return False
+
         for batch in batches:
             rows, cleaned, counts, refused = [], [], [], []
             with_rejects = "reason" in batch.schema.names
             known = batch.column("reason").to_pylist() if with_rejects else None
             for i, line in enumerate(batch.column("value").to_pylist()):
+                if line is None:
+                    continue
                 if with_rejects and known[i]:
                     refused.append((i, known[i], line))
                     continue
@@ -95,13 +112,20 @@ def _cleaner(counters: bool = False):
                         text = spelled(text)
                 except (ValueError, RecursionError) as error:
                     if with_rejects:
-                        deep = isinstance(error, RecursionError) or error.args == ("too deep",)
+                        deep = error.args == ("too deep",) or nested_too_deep(line)
                         refused.append((i, "too_deep" if deep else "bad_json", line))
                     continue
                 rows.append(i)
                 cleaned.append(text)
                 counts.append(removed)
-            others = [n for n in batch.schema.names if n != "value"]
+            done = "removed" in batch.schema.names
+            if done:  # the JVM has cleaned the lines that have no text here
+                ready = batch.filter(batch.column("removed").is_valid())
+                if ready.num_rows:
+                    yield ready.select([n for n in batch.schema.names if n != "value"])
+                if not rows:
+                    continue
+            others = [n for n in batch.schema.names if n not in (("value", "cleaned", "removed") if done else ("value",))]
             at = pa.array(rows, pa.int64())
             if counters:
                 names = batch.column("file_name").take(at).to_pylist()
@@ -135,12 +159,18 @@ def clean_records(lines: DataFrame) -> DataFrame:
     arrays, and the empty objects that are members of an object.  Lines that are
     not JSON give no row.
     """
-    others = [f for f in lines.schema.fields if f.name != "value"]
+    return clean_texts(lines.where(readable(F.col("value"))))
+
+
+def clean_texts(lines: DataFrame) -> DataFrame:
+    """``clean_records`` of lines that are readable.  Lines that are cleaned already have
+    ``cleaned`` and ``removed`` instead of a ``value``; lines with neither give no row."""
+    others = [f for f in lines.schema.fields if f.name not in ("value", "cleaned", "removed")]
     schema = ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in others]
         + ["cleaned string", "removed bigint"]
     )
-    return lines.where(readable(F.col("value"))).mapInArrow(_cleaner(), schema)
+    return lines.mapInArrow(_cleaner(), schema)
 
 
 def clean_with_counts(lines: DataFrame, rejects: bool = False) -> DataFrame:

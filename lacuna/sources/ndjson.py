@@ -172,10 +172,10 @@ def judge_lines(lines: DataFrame, policy: str = "objects") -> DataFrame:
     if kept not in ("values", "objects", "all"):
         raise ValueError(f"unknown policy: {policy}")
     text = F.col("value")
-    wrapped = F.when(readable(text), F.concat(F.lit("["), text, F.lit(f",{_NUMBER}]")))
+    wrapped = F.when(readable(text), F.concat(F.lit("["), text, F.lit(f",{NUMBER}]")))
     others = [name(c) for c in lines.columns]
-    parsed = nonblank(lines).select(*others, F.from_json(wrapped, "array<variant>", _PLAIN_JSON).alias("_parsed"))
-    complete = f"coalesce(size(_parsed) = 2 AND try_cast(get(_parsed, 1) AS bigint) = {_NUMBER}, false)"
+    parsed = nonblank(lines).select(*others, F.from_json(wrapped, "array<variant>", PLAIN_JSON).alias("_parsed"))
+    complete = f"coalesce(size(_parsed) = 2 AND try_cast(get(_parsed, 1) AS bigint) = {NUMBER}, false)"
     other = F.lit(kept != "values") & ~F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
     reason = (
         F.when(~F.is_valid_utf8(text), "bad_utf8")
@@ -192,7 +192,7 @@ def judge_lines(lines: DataFrame, policy: str = "objects") -> DataFrame:
 
 def _too_deep(text: Column) -> Column:
     """Brackets outside strings are nested beyond ``MAX_DEPTH``.  Few lines have that many."""
-    brackets = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\]++|\\.)*+"', ""), r"[^\[\]{}]++", "")
+    brackets = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\]++|\\.)*+"?', ""), r"[^\[\]{}]++", "")
     zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("most"))
 
     def step(state: Column, bracket: Column) -> Column:
@@ -229,10 +229,10 @@ def parse_values(lines: DataFrame, reader: str = "strict") -> DataFrame:
     text after the value cannot pass unseen.
     """
     lines, text = _readable_text(lines, "objects", reader)
-    wrapped = F.concat(F.lit("["), text, F.lit(f",{_NUMBER}]"))
-    complete = f"size(_parsed) = 2 AND try_cast(get(_parsed, 1) AS bigint) = {_NUMBER}"
+    wrapped = F.concat(F.lit("["), text, F.lit(f",{NUMBER}]"))
+    complete = f"size(_parsed) = 2 AND try_cast(get(_parsed, 1) AS bigint) = {NUMBER}"
     record = f"CASE WHEN {complete} THEN get(_parsed, 0) END"
-    parsed = F.from_json(wrapped, "array<variant>", _PLAIN_JSON)
+    parsed = F.from_json(wrapped, "array<variant>", PLAIN_JSON)
     return _pin(lines, parsed, record).where("record IS NOT NULL")
 
 
@@ -245,12 +245,12 @@ def parse_objects(lines: DataFrame, keep: str = "objects", reader: str = "strict
     lines, text = _readable_text(lines, keep, reader)
     members = "get(_parsed, 0)"
     repeated = f"size(array_distinct(map_keys({members}))) < size({members})"
-    complete = f"try_cast(try_element_at(get(_parsed, 1), '{_MARK}') AS bigint) = {_NUMBER}"
+    complete = f"try_cast(try_element_at(get(_parsed, 1), '{MARK}') AS bigint) = {NUMBER}"
     record = (
         f"CASE WHEN size(_parsed) = 2 AND {complete} THEN "
         f"CASE WHEN {repeated} THEN map_from_entries(map_entries({members})) ELSE {members} END END"
     )
-    parsed = F.from_json(_marked(text), "array<map<string, variant>>", _PLAIN_JSON)
+    parsed = F.from_json(marked(text), "array<map<string, variant>>", PLAIN_JSON)
     records = _pin(lines, parsed, record)
     return records.where("record IS NOT NULL") if keep == "objects" else records
 
@@ -265,19 +265,19 @@ def parse_fields(
     """
     lines, text = _readable_text(lines, keep, reader)
     members = "".join(f"{name(field)}: variant, " for field in dict.fromkeys(fields))
-    schema = f"array<struct<{members}{_MARK}: bigint>>"
-    record = f"CASE WHEN size(_parsed) = 2 AND get(_parsed, 1).{_MARK} = {_NUMBER} THEN get(_parsed, 0) END"
-    records = _pin(lines, F.from_json(_marked(text), schema, _PLAIN_JSON), record)
+    schema = f"array<struct<{members}{MARK}: bigint>>"
+    record = f"CASE WHEN size(_parsed) = 2 AND get(_parsed, 1).{MARK} = {NUMBER} THEN get(_parsed, 0) END"
+    records = _pin(lines, F.from_json(marked(text), schema, PLAIN_JSON), record)
     return records.where("record IS NOT NULL") if keep == "objects" else records
 
 
 # The member that closes a line and its value, drawn anew by every process: no line
 # can foresee it.
-_MARK = "__line_end__"
-_NUMBER = secrets.randbits(62)
+MARK = "__line_end__"
+NUMBER = secrets.randbits(62)
 
 # JSON as the standard has it, however long a string or number is.
-_PLAIN_JSON = {
+PLAIN_JSON = {
     "allowSingleQuotes": "false",
     "allowNonNumericNumbers": "false",
     "maxStringLen": str(2**31 - 1),
@@ -286,9 +286,9 @@ _PLAIN_JSON = {
 }
 
 
-def _marked(text: Column) -> Column:
+def marked(text: Column) -> Column:
     """``[line, {number}]``, for readers of objects."""
-    return F.concat(F.lit("["), text, F.lit(f',{{"{_MARK}":{_NUMBER}}}]'))
+    return F.concat(F.lit("["), text, F.lit(f',{{"{MARK}":{NUMBER}}}]'))
 
 
 def _readable_text(lines: DataFrame, keep: str, reader: str) -> tuple[DataFrame, Column]:
