@@ -18,7 +18,7 @@ import json
 from bisect import bisect_right
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lacuna.llm.common import partitions, staged
@@ -84,34 +84,56 @@ def _counted(row, start: Key | None) -> Range:
     return Range(start or least, row["rows"], row["bytes"], least, most)
 
 
-def probe(rows: DataFrame, ranges: list[Range]) -> list[list[Range]]:
-    """Each range cut at its probes: the parts that hold rows, in order."""
-    which, part = F.lit(None).cast("int"), F.lit(None).cast("long")
-    shapes = []
+def _located(rows: DataFrame, ranges: list[Range], fields: list[dict], types: str) -> DataFrame:
+    """The rows with ``_place``: the fields of the range that holds their key.
+
+    The leading bits of the hash name the ranges that begin there and the one before, of which
+    the last whose start is not beyond the key is taken.  The table has a few entries for each
+    range.
+    """
+    bits = min(20, 2 + len(ranges).bit_length())
+    places = [dict(zip("hdn", map(_signed, r.start), strict=True), **f) for r, f in zip(ranges, fields, strict=True)]
+    heads = [r.start[0] >> (64 - bits) for r in ranges]
+    table = []
+    for bucket in range(1 << bits):
+        begin, last = bisect_right(heads, bucket - 1), bisect_right(heads, bucket)
+        table.append({"bucket": bucket, "places": places[max(begin - 1, 0) : last]})
+    schema = f"array<struct<bucket: bigint, places: array<struct<h: bigint, d: bigint, n: bigint, {types}>>>>"
+    spark = rows.sparkSession
+    found = spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(table)), schema)).alias("x"))
+    found = staged(found.select("x.bucket", "x.places"), "shard-places")
+    key = F.struct(*[F.col(k).alias(n) for k, n in zip(_KEYS, "hdn", strict=True)])
+    own = F.element_at(F.filter("places", lambda p: F.struct(p.h.alias("h"), p.d.alias("d"), p.n.alias("n")) <= key), -1)
+    kept = [c for c in rows.columns if c != "bucket"]
+    joined = rows.withColumn("bucket", F.shiftrightunsigned(_unsigned("_hash"), 64 - bits)).join(F.broadcast(found), "bucket")
+    return joined.select(*kept, own.alias("_place"))
+
+
+def probe(rows: DataFrame, ranges: list[Range], bits: dict[int, int]) -> dict[int, list[Range]]:
+    """Some ranges, by number, cut at 2 to the ``bits`` probes each: the parts that hold rows."""
+    shapes, fields = {}, []
     for i, r in enumerate(ranges):
+        if i not in bits:
+            fields.append({"range": None})
+            continue
         level, common = r.probes()
-        end = min(common + PROBE_BITS, 64)
-        shapes.append((level, common, end))
-        inside = F.lit(True)
-        for k, value in zip(_KEYS[:level], r.least, strict=False):
-            inside &= F.col(k) == _signed(value)
-        key = _unsigned(_KEYS[level])
-        if common:
-            inside &= F.shiftrightunsigned(key, 64 - common) == r.least[level] >> (64 - common)
-        cut = F.shiftrightunsigned(key, 64 - end) if end < 64 else key
-        which = F.when(inside, F.lit(i)).otherwise(which)
-        part = F.when(inside, cut.bitwiseAND(F.lit((1 << (end - common)) - 1))).otherwise(part)
-    found = rows.select(which.alias("which"), part.alias("part"), "size", *_KEYS).where("which IS NOT NULL")
-    out: list[list[Range]] = [[] for _ in ranges]
+        end = min(common + bits[i], 64)
+        shapes[i] = (level, common, end)
+        fields.append({"range": i, "level": level, "low": 64 - end, "mask": (1 << (end - common)) - 1})
+    located = _located(rows.select("size", *_KEYS), ranges, fields, "range: int, level: int, low: int, mask: bigint")
+    keys = " ".join(f"WHEN {level} THEN {k}" for level, k in enumerate(_KEYS))
+    part = f"shiftrightunsigned((CASE _place.level {keys} END) ^ {-_BIAS + 1}L ^ 1L, _place.low) & _place.mask"
+    found = located.where("_place.range IS NOT NULL").selectExpr("_place.range AS range", f"{part} AS part", "size", *_KEYS)
+    out: dict[int, list[Range]] = {i: [] for i in shapes}
     # At most as many rows as there are probes.
-    for row in found.groupBy("which", "part").agg(*_counts()).orderBy("which", "part").collect():
-        level, common, end = shapes[row["which"]]
-        of = ranges[row["which"]]
+    for row in found.groupBy("range", "part").agg(*_counts()).orderBy("range", "part").collect():
+        level, common, end = shapes[row["range"]]
+        of = ranges[row["range"]]
         lead = of.least[level] >> (64 - common) << (end - common) if common else 0
         start = (*of.least[:level], (lead | row["part"]) << (64 - end), *([0] * (len(_KEYS) - level - 1)))
-        out[row["which"]].append(_counted(row, start))
-    for r, parts in zip(ranges, out, strict=True):
-        parts[0].start = min(parts[0].start, r.start)
+        out[row["range"]].append(_counted(row, start))
+    for i, parts in out.items():
+        parts[0].start = min(parts[0].start, ranges[i].start)
     return out
 
 
@@ -143,16 +165,20 @@ def cut(rows: DataFrame, shards: int, tolerance: float, pieces: int) -> tuple[li
     most_rows, most_bytes = -(-whole.rows // pieces), -(-whole.bytes // pieces)
     ranges = [whole]
     while True:
-        below, open_ranges = 0, {}
+        below, open_ranges, bits = 0, {}, {}
         for i, r in enumerate(ranges):
             inside = targets[bisect_right(targets, below) : bisect_right(targets, below + r.bytes)]
             far = any(min(t - below, below + r.bytes - t) > tolerance * share for t in inside)
             if r.rows > 1 and (far or r.rows > most_rows or r.bytes > most_bytes):
                 open_ranges[i] = below
+                # As many probes as make parts of the size wanted, so that all rounds together
+                # count a few times as many parts as there are pieces.
+                wanted = max(r.rows // most_rows, r.bytes // most_bytes).bit_length() + 2
+                bits[i] = PROBE_BITS if far else min(PROBE_BITS, wanted)
             below += r.bytes
         if not open_ranges:
             break
-        found = dict(zip(open_ranges, probe(rows, [ranges[i] for i in open_ranges]), strict=True))
+        found = probe(rows, ranges, bits)
         ranges = [
             part
             for i, r in enumerate(ranges)
@@ -169,25 +195,6 @@ def cut(rows: DataFrame, shards: int, tolerance: float, pieces: int) -> tuple[li
     return ranges, first
 
 
-def _places(spark: SparkSession, ranges: list[Range], first: list[int], bits: int) -> DataFrame:
-    """``bucket, places``: for the leading bits of a hash, the pieces that begin there and the one before."""
-    places, base, shard = [], 0, 0
-    for i, r in enumerate(ranges):
-        while shard + 1 < len(first) and first[shard + 1] <= i:
-            shard, base = shard + 1, 0
-        places.append(dict(zip("hdn", map(_signed, r.start), strict=True), piece=i, shard=shard, base=base))
-        base += r.rows
-    heads = [r.start[0] >> (64 - bits) for r in ranges]
-    table = []
-    for bucket in range(1 << bits):
-        last = bisect_right(heads, bucket)
-        begin = bisect_right(heads, bucket - 1)
-        table.append({"bucket": bucket, "places": places[max(begin - 1, 0) : last]})
-    schema = "array<struct<bucket: bigint, places: array<struct<h: bigint, d: bigint, n: bigint, piece: bigint, shard: int, base: bigint>>>>"
-    rows = spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(table)), schema)).alias("x"))
-    return staged(rows.select("x.bucket", "x.places"), "shard-places")
-
-
 def shard(
     documents: DataFrame,
     shards: int = SHARDS,
@@ -207,19 +214,18 @@ def shard(
     one by one.  An empty table gives no rows.  Other columns, whatever they are called, stay
     in ``document``.
 
-    ``pieces`` (sixteen times the shuffle partitions) bounds the rows and bytes that are ordered together,
+    ``pieces`` (eight times the shuffle partitions) bounds the rows and bytes that are ordered together,
     and the size of the table of boundaries that goes to every task.
     """
-    spark = documents.sparkSession
     rows = keyed(documents, text, order)
-    ranges, first = cut(rows, shards, tolerance, pieces or max(shards, 16 * partitions(spark)))
-    bits = min(PROBE_BITS, 2 + len(ranges).bit_length())
-    bucket = F.shiftrightunsigned(_unsigned("_hash"), 64 - bits)
-    key = F.struct(*[F.col(k).alias(n) for k, n in zip(_KEYS, "hdn", strict=True)])
-    own = F.element_at(F.filter("places", lambda p: F.struct(p.h.alias("h"), p.d.alias("d"), p.n.alias("n")) <= key), -1)
-    # A few entries for each piece.
-    placed = rows.withColumn("bucket", bucket).join(F.broadcast(_places(spark, ranges, first, bits)), "bucket")
-    placed = placed.select("document", "size", *_KEYS, own.alias("_place"))
+    ranges, first = cut(rows, shards, tolerance, pieces or max(shards, 8 * partitions(documents.sparkSession)))
+    fields, base, at = [], 0, 0
+    for i, r in enumerate(ranges):
+        while at + 1 < len(first) and first[at + 1] <= i:
+            at, base = at + 1, 0
+        fields.append({"piece": i, "shard": at, "base": base})
+        base += r.rows
+    placed = _located(rows, ranges, fields, "piece: bigint, shard: int, base: bigint")
     within = Window.partitionBy("_place.piece").orderBy(*_KEYS)
     slot = F.col("_place.base") + F.row_number().over(within) - 1
     return placed.select("document", "size", F.col("_place.shard").alias("shard"), slot.alias("slot"))
