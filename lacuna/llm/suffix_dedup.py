@@ -531,7 +531,18 @@ def _by_home(parts: int):
     return mapped
 
 
-def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _widened(text: bytes, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges, each with all bytes of the characters at its two ends."""
+    first, end = first.copy(), end.copy()
+    for k in range(len(first)):
+        while first[k] > 0 and text[first[k]] & 0xC0 == 0x80:
+            first[k] -= 1
+        while end[k] < len(text) and text[end[k]] & 0xC0 == 0x80:
+            end[k] += 1
+    return first, end
+
+
+def _apply(batches: Iterator[pa.RecordBatch], whole_characters: bool) -> Iterator[pa.RecordBatch]:
     """Step 3: documents without their removed ranges."""
     held, ranges = [], None
     for batch in batches:
@@ -544,10 +555,12 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kept, removed, count = [], [], []
                 for doc, row, text in zip(*(some.column(c).to_pylist() for c in ("i", "r", "t")), strict=True):
                     _, _, first, end = ranges(doc, row & ((1 << 64) - 1))
-                    starts, stops = [0, *end.tolist()], [*first.tolist(), len(text)]
-                    kept.append(b"".join([text[a:b] for a, b in zip(starts, stops, strict=True)]))
                     removed.append(int((end - first).sum()))
                     count.append(len(first))
+                    if whole_characters:
+                        first, end = _widened(text, first, end)
+                    starts, stops = [0, *end.tolist()], [*first.tolist(), len(text)]
+                    kept.append(b"".join([text[a:b] for a, b in zip(starts, stops, strict=True)]))
                 figures = [pa.array([len(x) for x in some.column("t").to_pylist()], pa.int64())]
                 figures += [pa.array(x, pa.int64()) for x in (removed, count)]
                 yield pa.RecordBatch.from_arrays(
@@ -556,7 +569,12 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def suffix_dedup(
-    documents: DataFrame, length: int = LENGTH, token: int = TOKEN, doc_id: str = "doc_id", text: str = "text"
+    documents: DataFrame,
+    length: int = LENGTH,
+    token: int = TOKEN,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    whole_characters: bool = False,
 ) -> DataFrame:
     """Every row of ``documents`` as ``document`` with ``n_bytes``, ``n_removed``, ``n_spans`` and
     ``kept``, the remaining bytes.
@@ -565,7 +583,9 @@ def suffix_dedup(
     id.  Strings do not cross rows; a null text is empty.  Rows that share an id, repeated
     rows included, do not remove from each other, and each is treated alike; a row without
     an id neither loses nor removes anything.  Texts of any length are handled in slices.
-    ``token`` is at most ``length`` and changes no result.
+    ``token`` is at most ``length`` and changes no result.  With ``whole_characters`` a character
+    of which a byte goes is left out of ``kept`` wholly, so that it is valid UTF-8; the figures
+    count the bytes as ever.
     """
     spark = documents.sparkSession
     parts = partitions(spark)
@@ -598,7 +618,7 @@ def suffix_dedup(
     return (
         met(ranges.union(whole_rows))
         .sortWithinPartitions("kind")
-        .mapInArrow(_apply, f"d {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+        .mapInArrow(lambda batches: _apply(batches, whole_characters), f"d {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
         .withColumnRenamed("d", "document")
     )
 
