@@ -31,12 +31,9 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     A character of which a byte goes, goes; ``n_chars`` is counted anew.  Documents of which
     nothing but white space is left go; those nothing was cut from stay as they are.
     """
-    found = suffix_dedup.suffix_dedup(docs.select(*COLUMNS))
-    # Bytes of characters that were cut in two do not decode.
-    left = F.try_validate_utf8(F.col("kept").cast("string"))
-    text = F.coalesce(left, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", ""))
+    found = suffix_dedup.suffix_dedup(docs.select(*COLUMNS), whole_characters=True)
     return (
-        found.withColumn("text", text)
+        found.withColumn("text", F.col("kept").cast("string"))
         .filter((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
         .select("document.doc_id", "text", "document.lang", "document.source", F.length("text").cast("long").alias("n_chars"))
     )
@@ -62,7 +59,7 @@ STAGES = [
 ]
 
 #: SQL cannot express majority bits over a text's shingles, components or retrieval;
-#: tests/llm/test_pipeline.py compares the stages with brute force.
+#: tests/llm/test_dedup.py compares the stages with brute force.
 ORACLE_SQL = None
 
 
