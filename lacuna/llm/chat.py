@@ -32,9 +32,26 @@ def _turns(conversations: DataFrame) -> DataFrame:
     )
 
 
+def _ranked(turns: DataFrame) -> DataFrame:
+    """The turns with ``tie``, their order by role and text among those of one number.
+
+    Only turns whose number repeats are sorted by their texts; all others are 0.
+    """
+    number = ["key", "turn"]
+    again = turns.groupBy(*number).agg(F.count("*").alias("n")).filter("n > 1")
+    again = again.select(F.col("key").alias("k"), F.col("turn").alias("t"))
+    one_number = (F.col("key") == F.col("k")) & F.col("turn").eqNullSafe(F.col("t"))
+    tied = turns.join(again, one_number, "left_semi")
+    order = F.dense_rank().over(W.partitionBy(*number).orderBy("role", "text")).alias("tie")
+    ranks = tied.select(F.col("key").alias("k"), F.col("turn").alias("t"), F.col("one").alias("o"), F.col("two").alias("w"), order)
+    same = one_number & (F.col("one") == F.col("o")) & (F.col("two") == F.col("w"))
+    found = turns.join(ranks.distinct(), same, "left").drop("k", "t", "o", "w")
+    return found.withColumn("tie", F.coalesce("tie", F.lit(0)))
+
+
 def _at() -> Column:
-    """The position of a turn: by number (null first), equal numbers by their hashes."""
-    return F.row_number().over(W.partitionBy("key").orderBy("turn", "one", "two"))
+    """The position of a turn: by number (null first), equal numbers by role and text."""
+    return F.row_number().over(W.partitionBy("key").orderBy("turn", "tie"))
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
@@ -46,7 +63,7 @@ def prefixes(turns: DataFrame) -> DataFrame:
     """
     whole = W.partitionBy("key").orderBy("at")
     running = whole.rowsBetween(W.unboundedPreceding, W.currentRow)
-    at = turns.select("key", "conv_id", "turn", "one", "two").withColumn("at", _at())
+    at = turns.select("key", "conv_id", "turn", "tie", "one", "two").withColumn("at", _at())
     return at.select(
         "key",
         "conv_id",
@@ -79,14 +96,14 @@ def rendered(role: Column, text: Column) -> Column:
 def chat_format(conversations: DataFrame, segment_turns: int = SEGMENT_TURNS) -> DataFrame:
     """Maximal conversations as text: ``conv_id, n_turns, segment, n_segment_turns, text``.
 
-    Turns are ordered by number (null first), equal numbers by a hash of role and text,
+    Turns are ordered by number (null first), equal numbers by role and text (null first),
     repeated rows included; a null role or text is one of its own, unlike the empty one.
     Rows without a ``conv_id`` form one conversation.  Conversations of up to
     ``segment_turns`` turns are one row with segment 0; the texts of a longer one, in
     segment order, add up to it, so no row grows without bound.  Other columns are not
     read; an empty table gives no rows.
     """
-    turns = _turns(conversations)
+    turns = _ranked(_turns(conversations))
     # Texts are shuffled once, by conversation, for all that follows.
     chosen = turns.join(maximal(prefixes(turns)), "key").withColumn("at", _at())
     each = F.struct("at", rendered(F.col("role"), F.col("text")).alias("s"))
