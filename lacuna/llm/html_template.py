@@ -26,13 +26,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.llm.common import staged
 from lacuna.llm.url_filter import host_of
 
-#: A host with fewer pages has no template of its own, but that of all pages.
+#: A host with fewer pages has no template of its own, but that of all pages; a token on fewer
+#: is in no template.
 LEAST_PAGES = 4
 #: A class is part of the template if its tokens are on this share of the pages.
 SUPPORT = 0.5
@@ -192,7 +193,7 @@ def page_tokens(items: list[str | Node]) -> list[int]:
 
 _FACTS = "host string, token bigint, pages bigint, total bigint, one bigint, two bigint, place bigint"
 _PAGE = -1  # stands for the page itself
-_EVERY = "*"  # the host that has all pages
+_EVERY = "/all"  # stands for a host that has all pages; no host holds a slash
 
 
 def _rows(known: dict, kinds: str) -> pa.RecordBatch:
@@ -322,8 +323,13 @@ def _tested(batches: Iterator[pa.RecordBatch], lookup: Callable) -> Iterator[pa.
         yield _rows(known, _TESTS)
 
 
+def _least() -> Column:
+    """On so many of a host's ``of`` pages a token must be: few that share a sentence are no template."""
+    return F.greatest(F.lit(SUPPORT) * F.col("of"), F.lit(float(LEAST_PAGES)))
+
+
 def templates(pages: DataFrame, broadcast_tokens: int = BROADCAST_TOKENS) -> DataFrame:
-    """``host, tokens``: the template tokens of a host; the host ``*`` has those of all pages.
+    """``host, tokens``: the template tokens of a host; the host ``/all`` has those of all pages.
 
     ``pages``: ``host, html``.  A host's template has at most pages / SUPPORT tokens for each
     token of a mean page, so the arrays are as long as two pages at most.
@@ -336,7 +342,7 @@ def templates(pages: DataFrame, broadcast_tokens: int = BROADCAST_TOKENS) -> Dat
         # Tokens of a single page are most: they go before rows meet by host.
         both.filter((F.col("token") != _PAGE) & (F.col("pages") > 1) & (F.col("total") == F.col("pages")))
         .join(totals.filter((F.col("of") >= LEAST_PAGES) | (F.col("host") == _EVERY)), "host")
-        .filter(F.col("pages") >= F.lit(SUPPORT) * F.col("of"))
+        .filter(F.col("pages") >= _least())
     )
     # The number of a class is a hash of its vector; its tokens are in order of their mean place.
     part = F.when(F.col("pages") == F.col("of"), F.lit(0)).otherwise(F.xxhash64("pages", "one", "two").bitwiseAND((1 << 62) - 1) + 1)
@@ -359,7 +365,7 @@ def templates(pages: DataFrame, broadcast_tokens: int = BROADCAST_TOKENS) -> Dat
     valid = (
         tests.filter((F.col("token") != _PAGE) & (F.col("broken") == 0) & one_slot & (F.col("groups") > 1))
         .join(of, "host")
-        .filter(F.col("groups") >= F.lit(SUPPORT) * F.col("of"))
+        .filter(F.col("groups") >= _least())
     )
     # Every host has the page itself, so that one without a valid token keeps its own, empty template.
     every = valid.select("host", "token").union(of.select("host", F.lit(_PAGE).cast("bigint")))

@@ -184,6 +184,27 @@ def texts_of(spark, pages, url="http://h.example/p"):
     return [r.text for r in sorted(out, key=lambda r: r.page_id)]
 
 
+def test_a_sentence_that_few_pages_share_stays(spark):
+    shared = "A sentence that two articles of a small host have in common, word for word."
+
+    def page(k, n):
+        return f"<body><main><article><p>Story {k} begins.</p>{f'<p>{shared}</p>' if k < n else ''}<p>It ends {k * k}.</p></article></main>"
+
+    for n in (2, 3):
+        texts = texts_of(spark, [page(k, n) for k in range(4)])
+        assert [shared in t for t in texts] == [k < n for k in range(4)]
+
+
+def test_a_notice_without_a_class_on_all_pages_goes(spark):
+    notice = "<p>All our articles may be read by all who like to read.</p>"
+
+    def page(k):
+        return f"<body><article><p>Story {k} begins.</p>{notice}<p>It ends {k * k}.</p></article>"
+
+    for url in ("http://h.example/p", "http://*/p"):  # the second host was the name of all pages
+        assert texts_of(spark, [page(k) for k in range(4)], url) == [f"Story {k} begins.\n\nIt ends {k * k}." for k in range(4)]
+
+
 def test_near_copies_are_no_template(spark):
     story = [f"Paragraph {k} of a story that is told again and again." for k in range(5)]
     stories = [[*story[:2], f"What only copy {k} says.", *story[2:]] for k in range(6)]
