@@ -29,6 +29,27 @@ class Inputs(list):
         self.root = root if root is not None else getattr(paths, "root", None)
 
 
+@dataclass(frozen=True)
+class Forms:
+    """What paths of a run look like, so that keys are worked out line by line as simply as can be."""
+
+    escaped: bool = True  # some characters may be escaped
+    named: bool = True  # some are in file_name= folders
+    unnamed: bool = True  # some are not
+    further: bool = True  # some may be further parts of an output
+
+
+def _forms() -> tuple[Column, ...]:
+    """The four properties over a listing."""
+    path, named = F.col("path"), F.col("path").contains("/file_name=")
+    return (
+        F.coalesce(F.bool_or(path.rlike("[^A-Za-z0-9_./:=~-]")), F.lit(True)),
+        F.coalesce(F.bool_or(named), F.lit(True)),
+        F.coalesce(F.bool_or(~named), F.lit(True)),
+        F.coalesce(F.bool_or(path.contains("~")), F.lit(True)),
+    )
+
+
 @dataclass
 class Listing:
     """What a run needs to know of its inputs, from one listing."""
@@ -37,6 +58,7 @@ class Listing:
     total: int  # bytes of gzip files
     largest: int
     names: list[str] | None
+    forms: Forms | None = None
 
     @property
     def root(self) -> str:
@@ -81,12 +103,19 @@ def listing(spark: SparkSession, paths: str | Iterable[str], names: bool = False
         ends = [r.path for r in rows]
         first, last = min(ends, default=""), max(ends, default="")
         total, largest = sum(r.gz or 0 for r in rows), max((r.gz or 0 for r in rows), default=0)
+        forms = Forms(
+            any(re.search("[^A-Za-z0-9_./:=~-]", path) for path in ends),
+            any("/file_name=" in path for path in ends),
+            any("/file_name=" not in path for path in ends),
+            any("~" in path for path in ends),
+        )
     else:
-        first, last, total, largest = found.agg(F.min("path"), F.max("path"), F.sum(gz), F.max(gz)).first()
+        found = found.agg(F.min("path"), F.max("path"), F.sum(gz), F.max(gz), F.struct(*_forms())).first()
+        (first, last, total, largest), forms = found[:4], Forms(*found[4])
     if root is None:
         root = above(first or "", last or "")
     keys = sorted({key_of(path, root) for path in ends}) if names else None
-    return Listing(Inputs(inputs, root), total or 0, largest or 0, keys)
+    return Listing(Inputs(inputs, root), total or 0, largest or 0, keys, forms)
 
 
 def key_of(path: str, root: str) -> str:
@@ -101,20 +130,25 @@ def _unescaped(text: Column) -> Column:
     return F.when(text.contains("%"), F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))).otherwise(text)
 
 
-def key_column(path: Column, root: str, encoded: bool = True) -> Column:
+def key_column(path: Column, root: str, encoded: bool = True, forms: Forms | None = None) -> Column:
     """The key of the file a row comes from.
 
     ``path`` is ``_metadata.file_path``, in which characters are escaped (``encoded``), or the
-    path of a listing.
+    path of a listing.  ``forms`` are those of all paths that can come, where they are known.
     """
-    if encoded:
+    forms = forms or Forms()
+    if encoded and forms.escaped:
         path = _unescaped(path)
-    named = _unescaped(F.regexp_extract(path, "^.*/file_name=([^/]*)/", 1))
+    # Worked out for every line, so by plain string functions where they do.
+    named = _unescaped(F.substring_index(F.substring_index(path, "/file_name=", -1), "/", 1))
     rest = path
     if root:
         rest = F.when(path.startswith(f"{root}/"), F.substr(path, F.lit(len(root) + 2))).otherwise(path)
-    rest = F.when(rest.contains("~"), F.regexp_replace(rest, _FURTHER, "$1")).otherwise(rest)
-    return F.when(path.contains("/file_name="), named).otherwise(rest)
+    if forms.further:
+        rest = F.when(rest.contains("~"), F.regexp_replace(rest, _FURTHER, "$1")).otherwise(rest)
+    if not forms.named:
+        return rest
+    return F.when(path.contains("/file_name="), named).otherwise(rest) if forms.unnamed else named
 
 
 def relative(spark: SparkSession, paths: Sequence[str], root: str | None = None) -> Inputs:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions.values import name
 from lacuna.session import TASKS_PER_CORE, require
-from lacuna.sources.inputs import Listing, files, key_column, listing, qualified
+from lacuna.sources.inputs import Forms, Listing, files, key_column, listing, qualified
 
 # A gzip file up to this size is a second or two of work; not worth a shuffle.
 SMALL_FILE = 4 << 20
@@ -58,14 +58,14 @@ def scan_lines(
     share = max(1, found.total // (cores or spark.sparkContext.defaultParallelism))
     least = SMALL_FILE if small_file is None else small_file
     if not spread or found.largest <= 2 * share or found.largest < least:
-        return _name_and_text(raw, found.root)
+        return _name_and_text(raw, found.root, found.forms)
     # Filters on the file size choose files, not rows.
     is_large = F.col("_metadata.file_name").endswith(".gz") & (
         F.col("_metadata.file_size") > 2 * share
     )
     pieces = TASKS_PER_CORE * math.ceil(found.largest / share)
-    large = spread_lines(_name_and_text(raw.where(is_large), found.root), pieces)
-    return _name_and_text(raw.where(~is_large), found.root).unionAll(large)
+    large = spread_lines(_name_and_text(raw.where(is_large), found.root, found.forms), pieces)
+    return _name_and_text(raw.where(~is_large), found.root, found.forms).unionAll(large)
 
 
 def stream_lines(
@@ -116,8 +116,8 @@ def spread_lines(lines: DataFrame, pieces: int | None = None) -> DataFrame:
     )
 
 
-def _name_and_text(raw: DataFrame, root: str) -> DataFrame:
-    name = key_column(F.col("_metadata.file_path"), root)
+def _name_and_text(raw: DataFrame, root: str, forms: Forms | None = None) -> DataFrame:
+    name = key_column(F.col("_metadata.file_path"), root, forms=forms)
     text = F.col("value")
     without_cr = F.when(text.endswith("\r"), F.expr("left(value, length(value) - 1)")).otherwise(text)
     return raw.select(name.alias("file_name"), without_cr.alias("value"))
