@@ -2,8 +2,8 @@
 
 Documents are ordered by ``(hash of the text, order column, number)``, so equal texts are
 neighbours.  Where the shards end is found by counting alone: every round takes the key
-ranges in which a boundary still lies, sets 4096 probes in each at equal distances of the
-key, and counts the rows and bytes between them, exactly and over all partitions.  A range
+ranges in which a boundary still lies, sets up to 4096 probes in each at equal distances of
+the key, and counts the rows and bytes between them, exactly and over all partitions.  A range
 is probed again until the bytes below a probe are within the tolerance of the bytes wanted,
 or a single row is left.  Then the rows move once, to their places.
 
