@@ -31,6 +31,17 @@ _PART = 1 << 20
 _LEADING_SPACE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 
 
+class _NotBetweenWords(Exception):
+    """A space of the text does not stand between two words."""
+
+
+def _byte_chars(piece: str) -> str:
+    """The piece as a byte-level model writes it."""
+    if piece.isascii() and piece.removeprefix(" ").isalpha():
+        return piece.replace(" ", "\u0120")
+    return piece.encode().decode("latin-1").translate(_BYTE_CHARS)
+
+
 class CachedEncoder:
     """``ids(text)``: what ``Tokenizer.encode(text, add_special_tokens=False).ids`` gives."""
 
@@ -58,7 +69,22 @@ class CachedEncoder:
                     self[chunk] = found
                 return found
 
+        class Spaced(dict):
+            """The ids of what follows a space, that space included."""
+
+            def __missing__(self, rest: str) -> bytes:
+                runs = rest.split()
+                if not runs or rest[0].isspace() or rest[-1].isspace():
+                    raise _NotBetweenWords
+                if len(runs) > 1:  # other white space inside: seldom met again
+                    return b"".join([outer._chunks[x] for x in _LEADING_SPACE.findall(" " + rest)])
+                found = outer._chunk(" " + rest)
+                if len(self) < outer._room:
+                    self[rest] = found
+                return found
+
         self._chunks = Chunks()
+        self._spaced = Spaced()
         self._cut = self._cutter(setup)
 
     def _cutter(self, setup: dict):
@@ -88,9 +114,11 @@ class CachedEncoder:
 
     def _chunk(self, chunk: str) -> bytes:
         core = chunk.rstrip(_MARKS)
-        if max(chunk) < "\u0250":  # composed already; letters have one lower case each
+        if chunk.isascii() or max(chunk) < "\u0250":  # composed already; letters have one lower case each
             word = core.lower() if self._normal else core
             if word.removeprefix(self._space).isalpha():
+                if word == chunk:  # the caller remembers it
+                    return self._pieces.get(word) or self._mapped(_byte_chars(word))
                 found = self._piece(word)
                 return found + self._piece(chunk[len(core) :]) if len(core) < len(chunk) else found
         if any(x in chunk for x in self._added):
@@ -102,7 +130,10 @@ class CachedEncoder:
     def _piece(self, piece: str) -> bytes:
         found = self._pieces.get(piece)
         if found is None:
-            found = self._mapped(piece.encode().decode("latin-1").translate(_BYTE_CHARS))
+            known = self._spaced.get(piece[1:]) if piece[:1] == " " else self._chunks.get(piece)
+            if known is not None:
+                return known
+            found = self._mapped(_byte_chars(piece))
             if len(self._pieces) < self._room:
                 self._pieces[piece] = found
         return found
@@ -114,6 +145,14 @@ class CachedEncoder:
         """The ids as little-endian integers of ``dtype``."""
         if self._cut is None or _ODD.search(text):
             return self._whole(text)
+        if self._space and len(text) <= _PART:
+            first, *rest = text.split(" ")
+            try:
+                if first and not first[-1].isspace():
+                    begin = [self._chunks[x] for x in self._cut(first)]
+                    return b"".join([*begin, *map(self._spaced.__getitem__, rest)])
+            except _NotBetweenWords:
+                pass
         out, at = [], 0
         while len(text) - at > _PART and (space := _BETWEEN.search(text, at + _PART)):
             out += [self._chunks[x] for x in self._cut(text[at : space.start()])]

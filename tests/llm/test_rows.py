@@ -330,6 +330,23 @@ def test_special_tokens_in_texts():
     assert known.ids(text).tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["one two", "one  two", " one", "one ", "one\n two", "one \ntwo", "one.\n\ntwo x", "one a\u00a0b", "", " "])
+def test_words_after_a_space_are_looked_up_without_it(text):
+    known = CachedEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for _ in range(2):
+        assert known.ids(text).tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids
+    if text == "one two":
+        assert set(known._spaced) == {"two"} and set(known._chunks) == {"one"}
+
+
+def test_a_word_is_remembered_once():
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        known = CachedEncoder(public_tokenizers.path(name))
+        for text in ("one two", "one, two, two."):
+            assert known.ids(text).tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids
+        assert not {"one", "two", " one", " two"} & set(known._pieces)
+
+
 def test_token_store_round_trip(spark):
     rows = [(k * 7 % 50, f"Some text {k} of words, " * (k % 9)) for k in range(50)]
     rows += [(None, "no id"), (60, None), (61, "a"), (61, "b"), (61, "b"), (62, "long text " * 50_000)]
