@@ -28,6 +28,8 @@ K1, B = 1.2, 0.75
 DENSE = 0.25
 #: So many neighbours are sorted first; a window seldom takes more.
 HEAD = 64
+#: Columns and postings are thinned when fewer documents than this part of the last time's are unused.
+THIN = 0.8
 #: A shard closes at so many documents or ids; what a task reads makes one or more shards.
 SHARD_DOCUMENTS, SHARD_IDS = 8192, 16 << 20
 
@@ -120,21 +122,31 @@ class Shard:
         self.columns[owner[often], self.column[at[often]]] = weight[often]
         owner, weight, at = owner[~often], weight[~often], at[~often]
         order = np.argsort(at, kind="stable")
-        self.owner, self.weight = owner[order], weight[order].astype(np.float32)
-        self.first = np.searchsorted(at[order], np.arange(len(self.known) + 1))
+        self.owner, self.weight, self.at = owner[order], weight[order].astype(np.float32), at[order].astype(np.int32)
+        self.first = np.searchsorted(self.at, np.arange(len(self.known) + 1))
+        self.posted = len(docs)  # documents unused when the postings were last thinned
+
+    def thin(self, unused: np.ndarray) -> None:
+        """Drop the postings of used documents, once enough are used; the order of the others stays."""
+        if np.count_nonzero(unused) < THIN * self.posted:
+            left = unused[self.owner]
+            self.owner, self.weight, self.at = self.owner[left], self.weight[left], self.at[left]
+            self.first = np.searchsorted(self.at, np.arange(len(self.known) + 1))
+            self.posted = np.count_nonzero(unused)
 
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents that share a term with the seed, best BM25 score first."""
         at = np.searchsorted(self.known, self.terms[self.bounds[seed] : self.bounds[seed + 1]])
         if not len(at):
             return
-        starts, ends = self.first[at], self.first[at + 1]
-        sizes = ends - starts
-        entry = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-        score = np.bincount(self.owner[entry], self.weight[entry], len(self.docs)).astype(np.float64)
+        self.thin(unused)
+        runs = [slice(a, b) for a, b in zip(self.first[at].tolist(), self.first[at + 1].tolist(), strict=True) if a < b] or [slice(0)]
+        owner = np.concatenate([self.owner[x] for x in runs])
+        weight = np.concatenate([self.weight[x] for x in runs])
+        score = np.bincount(owner, weight, len(self.docs)).astype(np.float64)
         if self.columns.shape[1]:
             left = unused[self.alive]
-            if 2 * np.count_nonzero(left) < len(self.alive):
+            if np.count_nonzero(left) < THIN * len(self.alive):
                 self.alive, self.columns = self.alive[left], self.columns[left]
             asked = np.zeros(self.columns.shape[1], np.float32)
             asked[self.column[at][self.column[at] >= 0]] = 1

@@ -445,6 +445,19 @@ def test_pack_documents(spark):
     assert packing.pack_documents(documents(spark, [])).count() == 0
 
 
+def test_postings_of_used_documents_are_dropped():
+    draw = np.random.default_rng(3)
+    docs = [draw.integers(0, 400, 30) for _ in range(200)]
+    idf = packing.Corpus(200, 30.0, np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=400)).idf
+    shard, unused = packing.Shard(docs, idf, 30.0), np.ones(200, bool)
+    before = len(shard.owner)
+    for used in np.array_split(draw.permutation(199) + 1, 9):
+        assert list(shard.neighbours(0, unused)) == list(packing.Shard(docs, idf, 30.0).neighbours(0, unused))
+        assert np.count_nonzero(unused) >= packing.THIN * len(np.unique(shard.owner))
+        unused[used[:20]] = False
+    assert len(shard.owner) < before / 3
+
+
 # --- decontamination
 
 
