@@ -105,13 +105,15 @@ def spread_lines(lines: DataFrame, pieces: int | None = None) -> DataFrame:
 
     A row's position in its input partition decides: it is the same when a lost
     task is run again, and equal lines do not end up together.  A piece holds
-    lines of one file, so output written per file has few parts.
+    lines of one file, so output written per file has few parts.  The pieces of a
+    file go to tasks of their own: dealt by hash, several would meet in one task.
     """
     pieces = pieces or TASKS_PER_CORE * lines.sparkSession.sparkContext.defaultParallelism
     files = [c for c in lines.columns if c == "file_name"]
+    first = F.pmod(F.xxhash64(*files), F.lit(2 * pieces)) if files else F.lit(0)
     return (
-        lines.withColumn("_piece", F.monotonically_increasing_id() % pieces)
-        .repartition(2 * pieces, *files, "_piece")
+        lines.withColumn("_piece", (first + F.monotonically_increasing_id() % pieces).cast("int"))
+        .repartitionById(2 * pieces, "_piece")
         .drop("_piece")
     )
 

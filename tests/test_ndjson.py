@@ -114,6 +114,14 @@ def test_spread_keeps_rows_and_evens_out(spark):
     assert spread.columns == ["file_name", "value"]
 
 
+def test_pieces_of_a_file_do_not_meet(spark):
+    rows = spark.range(0, 3600, 1, 1).selectExpr("'{}' AS value")
+    named = rows.withColumn("file_name", F.lit("f")).unionAll(rows.withColumn("file_name", F.lit("g")))
+    for lines, keys in ((rows, []), (named, ["file_name"])):
+        pieces = spread_lines(lines, 36).groupBy(F.spark_partition_id(), *keys).count().collect()
+        assert [r["count"] for r in pieces] == [100] * 36 * (1 + len(keys))
+
+
 def test_only_a_dominating_file_is_spread(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ndjson, "SMALL_FILE", 1)
     for i in range(20):
