@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.llm.common import staged
+from lacuna.llm.common import pieces, staged
 from lacuna.llm.tokens import encoder
 
 WINDOW, END_ID = 1024, 0
@@ -30,6 +30,10 @@ DENSE = 0.25
 HEAD = 64
 #: Columns and postings are thinned when fewer documents than this part of the last time's are unused.
 THIN = 0.8
+#: Ids are sorted so many at a time, whole documents.
+SORTED_IDS = 1 << 20
+#: Texts of so many bytes are encoded together.
+TEXTS_BYTES = 8 << 20
 #: A shard closes at so many documents or ids; what a task reads makes one or more shards.
 SHARD_DOCUMENTS, SHARD_IDS = 8192, 16 << 20
 
@@ -54,8 +58,9 @@ def encoded(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str =
         known = encoder(path)
         end = np.array([END_ID], known.dtype).tobytes()
         for batch in batches:
-            ids = [known.bytes(t or "") + end for t in batch.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for some in pieces(batch, "t", TEXTS_BYTES):
+                ids = pa.array([x + end for x in known.many(some.column("t"))], pa.binary())
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), ids], ["doc_id", "ids"])
 
     rows = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("t"))
     return rows.mapInArrow(encode, "doc_id bigint, ids binary")
@@ -82,10 +87,10 @@ def statistics(ids: DataFrame, vocabulary: int, dtype: str) -> Corpus:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(vocabulary + 2, np.int64)
         for batch in batches:
-            for raw in batch.column("ids"):
-                doc = np.frombuffer(raw.as_buffer(), dtype)
-                found[np.unique(doc)] += 1
-                found[-2:] += (1, len(doc))
+            docs = [np.frombuffer(raw.as_buffer(), dtype) for raw in batch.column("ids")]
+            for _, term, _ in terms_of(docs):
+                found[:-2] += np.bincount(term, minlength=vocabulary)
+            found[-2:] += (len(docs), sum(map(len, docs)))
         some = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[some])], ["term", "n"])
 
@@ -96,16 +101,36 @@ def statistics(ids: DataFrame, vocabulary: int, dtype: str) -> Corpus:
     return Corpus(int(every[-2]), float(every[-1]) / max(int(every[-2]), 1), every[:-2])
 
 
+def terms_of(docs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Arrays of documents' numbers, their different terms in order, and how often each stands
+    there; documents of some ``SORTED_IDS`` ids at a time."""
+    ends = np.cumsum([len(d) for d in docs])
+    start = 0
+    while start < len(docs):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + SORTED_IDS, side="right")))
+        some = docs[start:end]
+        ids = np.concatenate(some)
+        # A key is the document's number, then the term.
+        kind, bits = (np.uint32, 16) if ids.dtype.itemsize <= 2 and len(some) <= 1 << 16 else (np.uint64, 32)
+        keys = ids.astype(kind)
+        keys |= np.repeat(np.arange(len(some), dtype=kind) << kind(bits), [len(d) for d in some])
+        keys.sort()
+        first = np.flatnonzero(np.append([True] * len(keys[:1]), keys[1:] != keys[:-1]))
+        counts = np.diff(np.append(first, len(keys)))
+        keys = keys[first]
+        yield (keys >> kind(bits)).astype(np.int32) + np.int32(start), (keys & kind((1 << bits) - 1)).astype(np.int64), counts
+        start = end
+
+
 class Shard:
     """The ends of documents that do not fill a window, and a BM25 index of the documents."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
         self.docs = docs
-        terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs), strict=True) if docs else ((), ())
-        sizes = np.array([len(t) for t in terms], np.int64)
-        term = np.concatenate(terms).astype(np.int64) if docs else np.zeros(0, np.int64)
-        owner = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
-        tf = np.concatenate(counts).astype(np.float32) if docs else np.zeros(0, np.float32)
+        none = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        owner, term, tf = map(np.concatenate, zip(none, *terms_of(docs), strict=True))
+        tf = tf.astype(np.float32)
         shared = idf[term] > 0
         term, owner, tf = term[shared], owner[shared], tf[shared]
         lengths = np.array([len(d) for d in docs], np.float32)
@@ -116,6 +141,7 @@ class Shard:
         dense = sizes > DENSE * len(docs)
         # The column of a term; -1 if it has postings.
         self.column = np.where(dense, np.cumsum(dense) - 1, -1)
+        # Documents that were unused when the index was last thinned; rows of columns and owners of postings.
         self.alive = np.arange(len(docs))
         self.columns = np.zeros((len(docs), int(dense.sum())), np.float32)
         often = dense[at]
@@ -124,15 +150,16 @@ class Shard:
         order = np.argsort(at, kind="stable")
         self.owner, self.weight, self.at = owner[order], weight[order].astype(np.float32), at[order].astype(np.int32)
         self.first = np.searchsorted(self.at, np.arange(len(self.known) + 1))
-        self.posted = len(docs)  # documents unused when the postings were last thinned
 
     def thin(self, unused: np.ndarray) -> None:
-        """Drop the postings of used documents, once enough are used; the order of the others stays."""
-        if np.count_nonzero(unused) < THIN * self.posted:
-            left = unused[self.owner]
-            self.owner, self.weight, self.at = self.owner[left], self.weight[left], self.at[left]
+        """Drop columns and postings of used documents, once enough are used; the order of the others stays."""
+        if np.count_nonzero(unused) < THIN * len(self.alive):
+            kept = unused[self.alive]
+            left = kept[self.owner]
+            self.owner = (np.cumsum(kept, dtype=np.int32) - 1)[self.owner[left]]
+            self.weight, self.at = self.weight[left], self.at[left]
             self.first = np.searchsorted(self.at, np.arange(len(self.known) + 1))
-            self.posted = np.count_nonzero(unused)
+            self.alive, self.columns = self.alive[kept], self.columns[kept]
 
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents that share a term with the seed, best BM25 score first."""
@@ -143,19 +170,16 @@ class Shard:
         runs = [slice(a, b) for a, b in zip(self.first[at].tolist(), self.first[at + 1].tolist(), strict=True) if a < b] or [slice(0)]
         owner = np.concatenate([self.owner[x] for x in runs])
         weight = np.concatenate([self.weight[x] for x in runs])
-        score = np.bincount(owner, weight, len(self.docs)).astype(np.float64)
+        score = np.bincount(owner, weight, len(self.alive)).astype(np.float64, copy=False)
         if self.columns.shape[1]:
-            left = unused[self.alive]
-            if np.count_nonzero(left) < THIN * len(self.alive):
-                self.alive, self.columns = self.alive[left], self.columns[left]
             asked = np.zeros(self.columns.shape[1], np.float32)
             asked[self.column[at][self.column[at] >= 0]] = 1
-            score[self.alive] += self.columns @ asked
-        score[~unused] = 0
-        found = np.flatnonzero(score)
-        least = np.partition(score[found], -HEAD)[-HEAD] if len(found) > HEAD else 0
-        for part in (found[score[found] >= least], found[score[found] < least]):
-            yield from part[np.lexsort((part, -score[part]))].tolist()
+            score += self.columns @ asked
+        found = np.flatnonzero((score > 0) & unused[self.alive])
+        score, found = score[found], self.alive[found]
+        least = np.partition(score, -HEAD)[-HEAD] if len(found) > HEAD else 0
+        for part in (score >= least, score < least):
+            yield from found[part][np.lexsort((found[part], -score[part]))].tolist()
 
 
 def pack(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WINDOW) -> Iterator[list[tuple[int, int, int]]]:

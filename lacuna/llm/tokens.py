@@ -3,7 +3,8 @@
 A byte-pair tokenizer treats each pre-token by itself, and none of those known here
 reaches over white space.  So a text is cut at white space, the ids of chunks and of
 pre-tokens met before are looked up, and only new pre-tokens go to the library's model.
-Texts the cut does not suit go through the library whole.
+Texts the cut does not suit go through the library whole.  Many texts at once are cut
+and looked up by different word, and their new words go to the model together.
 """
 
 from __future__ import annotations
@@ -11,9 +12,13 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from contextlib import suppress
+from itertools import pairwise
 
 import numpy as np
-from tokenizers import Tokenizer
+import pyarrow as pa
+import pyarrow.compute as pc
+from tokenizers import Tokenizer, pre_tokenizers
 
 #: Chunks, and pre-tokens, remembered by one Python worker.
 REMEMBERED = 400_000
@@ -25,9 +30,14 @@ _MARKS = ".,;:!?*#$%&|<>()[]{}+-=/"
 # Byte-level models write bytes as characters: printable ones as they are, the others from 256 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARS = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
+_BYTE_TABLE = np.array([_BYTE_CHARS.get(b, b) for b in range(256)], "<u2")
+# Letters below U+0250: composed already.
+_PLAIN = "^[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$"
 # Where a long text may be cut: a space between two words begins a chunk.
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _PART = 1 << 20
+# So many new words go to the model in one call.
+_TOGETHER = 20_000
 _LEADING_SPACE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 
 
@@ -42,6 +52,36 @@ def _byte_chars(piece: str) -> str:
     return piece.encode().decode("latin-1").translate(_BYTE_CHARS)
 
 
+class _Entries:
+    """Numbered runs of ids, of which texts are put together; entry 0 is empty."""
+
+    def __init__(self, dtype: np.dtype):
+        self.dtype, self.n = dtype, 0
+        self.parts: list[bytes] = []
+        self.sizes: list[np.ndarray] = []
+        self.add([b""])
+
+    def add(self, ids: list[bytes]) -> np.ndarray:
+        """The numbers of these entries."""
+        return self.add_sized(b"".join(ids), np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize)
+
+    def add_sized(self, raw: bytes, sizes: np.ndarray) -> np.ndarray:
+        """The numbers of entries that stand back to back."""
+        self.parts.append(raw)
+        self.sizes.append(sizes)
+        self.n += len(sizes)
+        return np.arange(self.n - len(sizes), self.n)
+
+    def joined(self, numbers: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The ids of these entries back to back, and where each ends in bytes."""
+        sizes = np.concatenate(self.sizes)
+        counts = sizes[numbers]
+        ends = np.cumsum(counts)
+        source = np.repeat((np.cumsum(sizes) - sizes)[numbers] - (ends - counts), counts)
+        source += np.arange(len(source))
+        return np.frombuffer(b"".join(self.parts), self.dtype)[source].tobytes(), ends * self.dtype.itemsize
+
+
 class CachedEncoder:
     """``ids(text)``: what ``Tokenizer.encode(text, add_special_tokens=False).ids`` gives."""
 
@@ -86,6 +126,12 @@ class CachedEncoder:
         self._chunks = Chunks()
         self._spaced = Spaced()
         self._cut = self._cutter(setup)
+        self._words: Tokenizer | None = None
+        if self._space:  # no id but a word's first begins with a space
+            self._words = Tokenizer(self._model)
+            self._words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            self._begins = np.zeros(self.size, bool)
+            self._begins[[i for piece, i in self.tokenizer.get_vocab().items() if piece[0] == "\u0120"]] = True
 
     def _cutter(self, setup: dict):
         """How to cut texts for this tokenizer; None if no cut is known to be safe."""
@@ -159,6 +205,88 @@ class CachedEncoder:
             at = space.start()
         return b"".join([*out, *map(self._chunks.__getitem__, self._cut(text[at:] if at else text))])
 
+    def many(self, texts: pa.Array) -> list[bytes]:
+        """``bytes`` of each text; a null text is empty."""
+        texts = pc.fill_null(texts, "")
+        if not self._words or not len(texts):
+            return [self.bytes(t) for t in texts.to_pylist()]
+        cut = pc.split_pattern(pc.if_else(pc.greater(pc.binary_length(texts), _PART), "", texts), " ")
+        words, bounds = cut.flatten(), np.cumsum([0, *pc.list_value_length(cut).to_numpy()])
+        coded, first = words.dictionary_encode(), bounds[:-1]
+        entries = _Entries(self.dtype)
+        word, marks = self._after_space(coded.dictionary, entries)
+        at = coded.indices.to_numpy()
+        runs = np.stack([word[at], marks[at]], axis=1)
+        # A text with other white space beside a space, and an empty or long one, goes by itself.
+        heads = words.take(pa.array(first)).to_pylist()
+        runs[first, 0] = [-(not x or x[-1].isspace()) for x in heads]
+        apart = np.minimum.reduceat(runs[:, 0], first) < 0
+        begin = [b"" if x else b"".join([self._chunks[c] for c in self._cut(h)]) for x, h in zip(apart, heads, strict=True)]
+        runs[first] = np.stack([entries.add(begin), np.zeros(len(begin), np.int64)], axis=1)
+        raw, ends = entries.joined(np.maximum(runs, 0).ravel())
+        stops = ends[2 * bounds[1:] - 1].tolist()
+        return [
+            self.bytes(texts[k].as_py()) if x else raw[a:b]
+            for k, (x, (a, b)) in enumerate(zip(apart.tolist(), pairwise([0, *stops]), strict=True))
+        ]
+
+    def _after_space(self, words: pa.Array, entries: _Entries) -> tuple[np.ndarray, np.ndarray]:
+        """For each of these different words with the space before it, the entry of its ids
+        and that of the marks at its end; -1 if white space begins or ends it, or it is
+        empty or odd."""
+        cores = pc.ascii_rtrim(words, _MARKS)
+        plain = pc.match_substring_regex(cores, _PLAIN).to_numpy(zero_copy_only=False)
+        word, marks = np.full(len(words), -1), np.zeros(len(words), np.int64)
+
+        coded = cores.filter(pa.array(plain)).dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self._spaced.get, different))
+        new = np.array([x is None for x in found], bool)
+        number = np.zeros(len(different), np.int64)
+        number[~new] = entries.add([x for x in found if x is not None])
+        number[new] = self._modelled([w for w, x in zip(different, found, strict=True) if x is None], entries)
+        word[plain] = number[coded.indices.to_numpy()]
+
+        n_marks = pc.subtract(pc.binary_length(words), pc.binary_length(cores)).to_numpy()
+        marked = np.flatnonzero(plain & (n_marks > 0))
+        ends = [w[-n:] for w, n in zip(words.take(pa.array(marked)).to_numpy(zero_copy_only=False), n_marks[marked].tolist(), strict=True)]
+        known = sorted(set(ends))
+        of = dict(zip(known, entries.add([self._piece(x) for x in known]).tolist(), strict=True))
+        marks[marked] = [of[x] for x in ends]
+
+        rest = np.flatnonzero(~plain)
+        ids = [self._other(x) for x in words.take(pa.array(rest)).to_pylist()]
+        fit = np.array([x is not None for x in ids], bool)
+        word[rest[fit]] = entries.add([x for x in ids if x is not None])
+        return word, marks
+
+    def _other(self, word: str) -> bytes | None:
+        """The ids of what follows a space and of that space; None if its text is to go by itself."""
+        if not _ODD.search(word):
+            with suppress(_NotBetweenWords):
+                return self._spaced[word]
+        return None
+
+    def _modelled(self, words: list[str], entries: _Entries) -> np.ndarray:
+        """Entries of the ids of new plain words and the space before each, by the model."""
+        numbers = [np.zeros(0, np.int64)]
+        for some in (words[k : k + _TOGETHER] for k in range(0, len(words), _TOGETHER)):
+            written = _BYTE_TABLE[np.frombuffer(f" {' '.join(some)}".encode(), np.uint8)].tobytes().decode("utf-16-le")
+            found = self._words.encode_batch_fast([written.replace("\u0120", " \u0120")], add_special_tokens=False)[0]
+            ids = np.array(found.ids, self.dtype)
+            at = np.flatnonzero(self._begins[ids])
+            if len(at) != len(some):  # the model leaves out or joins what it does not know
+                ids = [self._mapped(_byte_chars(" " + w)) for w in some]
+                numbers.append(entries.add(ids))
+                continue
+            at = np.append(at, len(ids))
+            raw = ids.tobytes()
+            numbers.append(entries.add_sized(raw, np.diff(at)))
+            room = max(self._room - len(self._spaced), 0)
+            cuts = (at[: room + 1] * self.dtype.itemsize).tolist()
+            self._spaced.update((w, raw[a:b]) for w, (a, b) in zip(some, pairwise(cuts), strict=False))
+        return np.concatenate(numbers)
+
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.bytes(text), self.dtype)
 

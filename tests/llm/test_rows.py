@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -347,6 +348,34 @@ def test_a_word_is_remembered_once():
         assert not {"one", "two", " one", " two"} & set(known._pieces)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.none() | st.text(st.sampled_from("   \n\t\r\x1c\u00a0\u0301aBzéÉßİΣ漢\u02b0\u0120ª12'*.<|>$"), max_size=40), max_size=6))
+def test_ids_of_many_texts_are_the_tokenizers(texts):
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        known = ENCODERS.setdefault(name, CachedEncoder(public_tokenizers.path(name), 50))
+        found = known.many(pa.array([None, *texts], pa.string()).slice(1))
+        want = [known.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(x, known.dtype).tolist() for x in found] == want
+
+
+def test_new_words_of_many_texts_go_to_the_model_together(monkeypatch):
+    monkeypatch.setattr("lacuna.llm.tokens._TOGETHER", 7)
+    monkeypatch.setattr("lacuna.llm.tokens._PART", 2000)
+    known = CachedEncoder(public_tokenizers.path("byte_bpe_50k.json"), 60)
+    names = ["".join(chr(97 + (k * j) % 26) for j in range(1, 9)) + "éß"[: k % 3] for k in range(1, 90)]
+    texts = [" ".join(["a", *names[k : k + 30], names[k] + ").", "b\nc", "it's"]) for k in range(60)]
+    texts += ["", None, " x", "<|endoftext|> a<|endoftext|>", "a  b", "long text " * 300]
+    one_by_one = []
+    monkeypatch.setattr(known, "_mapped", lambda piece, f=known._mapped: one_by_one.append(piece) or f(piece))
+    for _ in range(2):
+        found = known.many(pa.array(texts))
+        assert [np.frombuffer(x, known.dtype).tolist() for x in found] == [
+            known.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts
+        ]
+    assert not {x.lstrip("\u0120") for x in one_by_one} & set(names)
+    assert len(known._spaced) <= 60
+
+
 def test_token_store_round_trip(spark):
     rows = [(k * 7 % 50, f"Some text {k} of words, " * (k % 9)) for k in range(50)]
     rows += [(None, "no id"), (60, None), (61, "a"), (61, "b"), (61, "b"), (62, "long text " * 50_000)]
@@ -436,6 +465,31 @@ def test_neighbours_are_brute_force_bm25(monkeypatch, dense):
         assert np.allclose([want[k] for k in found], sorted(want.values(), reverse=True), atol=1e-3)
 
 
+@pytest.mark.parametrize("most", [1, 40, 1 << 20])
+def test_terms_of_documents(monkeypatch, most):
+    monkeypatch.setattr(packing, "SORTED_IDS", most)
+    draw = np.random.default_rng(5)
+    for kind, top in ((np.uint16, 1 << 16), (np.uint32, 1 << 20), (np.int64, 9)):
+        docs = [draw.integers(top - 9, top, n).astype(kind) for n in (0, 30, 0, 5, 41, 1, 0)]
+        found = [tuple(x) for part in packing.terms_of(docs) for x in zip(*(y.tolist() for y in part), strict=True)]
+        assert found == [(k, t, n) for k, d in enumerate(docs) for t, n in zip(*(x.tolist() for x in np.unique(d, return_counts=True)), strict=True)]
+    assert list(packing.terms_of([])) == []
+
+
+def test_columns_and_postings_are_thinned_together():
+    draw = np.random.default_rng(11)
+    docs = [np.append(draw.integers(10, 400, 30), draw.integers(0, 10, 20)) for _ in range(200)]
+    idf = packing.Corpus(300, 50.0, np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=400)).idf
+    shard, unused = packing.Shard(docs, idf, 50.0), np.ones(200, bool)
+    assert shard.columns.shape[1]
+    for used in np.array_split(draw.permutation(199) + 1, 9):
+        found = list(shard.neighbours(0, unused))
+        assert sorted(found) == sorted(packing.Shard(docs, idf, 50.0).neighbours(0, unused))
+        assert unused[found].all() and len(shard.columns) == len(shard.alive) > shard.owner.max()
+        assert np.count_nonzero(unused) >= packing.THIN * len(shard.alive)
+        unused[used[:20]] = False
+
+
 def test_pack_documents(spark):
     rows = [(k, f"word{k % 5} and more " * (k * 13 % 400)) for k in range(40)] + [(None, None), (1, "again"), (1, "again")]
     out = packing.pack_documents(documents(spark, rows)).collect()
