@@ -11,6 +11,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -136,8 +137,11 @@ class Shard:
         lengths = np.array([len(d) for d in docs], np.float32)
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[owner] / max(mean, 1)))
         self.bounds = np.searchsorted(owner, np.arange(len(docs) + 1))
-        self.terms = term
-        self.known, at, sizes = np.unique(term, return_inverse=True, return_counts=True)
+        # Terms are numbered in their order; the numbers of the documents' terms, by document.
+        sizes = np.bincount(term, minlength=len(idf))
+        at = (np.cumsum(sizes > 0, dtype=np.int32) - 1)[term]
+        self.asked = at
+        sizes = sizes[sizes > 0]
         dense = sizes > DENSE * len(docs)
         # The column of a term; -1 if it has postings.
         self.column = np.where(dense, np.cumsum(dense) - 1, -1)
@@ -147,9 +151,14 @@ class Shard:
         often = dense[at]
         self.columns[owner[often], self.column[at[often]]] = weight[often]
         owner, weight, at = owner[~often], weight[~often], at[~often]
-        order = np.argsort(at, kind="stable")
-        self.owner, self.weight, self.at = owner[order], weight[order].astype(np.float32), at[order].astype(np.int32)
-        self.first = np.searchsorted(self.at, np.arange(len(self.known) + 1))
+        order = np.argsort(at.astype(np.uint16) if len(sizes) <= 1 << 16 else at, kind="stable")  # a radix sort, if short
+        self.owner, self.weight, self.at = owner[order], weight[order].astype(np.float32), at[order]
+        self.runs = self._runs()
+
+    def _runs(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Owners and weights of the postings of each term."""
+        first = np.searchsorted(self.at, np.arange(len(self.column) + 1)).tolist()
+        return [(self.owner[a:b], self.weight[a:b]) for a, b in pairwise(first)]
 
     def thin(self, unused: np.ndarray) -> None:
         """Drop columns and postings of used documents, once enough are used; the order of the others stays."""
@@ -158,22 +167,23 @@ class Shard:
             left = kept[self.owner]
             self.owner = (np.cumsum(kept, dtype=np.int32) - 1)[self.owner[left]]
             self.weight, self.at = self.weight[left], self.at[left]
-            self.first = np.searchsorted(self.at, np.arange(len(self.known) + 1))
+            self.runs = self._runs()
             self.alive, self.columns = self.alive[kept], self.columns[kept]
 
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents that share a term with the seed, best BM25 score first."""
-        at = np.searchsorted(self.known, self.terms[self.bounds[seed] : self.bounds[seed + 1]])
+        at = self.asked[self.bounds[seed] : self.bounds[seed + 1]]
         if not len(at):
             return
         self.thin(unused)
-        runs = [slice(a, b) for a, b in zip(self.first[at].tolist(), self.first[at + 1].tolist(), strict=True) if a < b] or [slice(0)]
-        owner = np.concatenate([self.owner[x] for x in runs])
-        weight = np.concatenate([self.weight[x] for x in runs])
-        score = np.bincount(owner, weight, len(self.alive)).astype(np.float64, copy=False)
+        column = self.column[at]
+        score = np.zeros(len(self.alive))
+        if runs := [self.runs[k] for k in at[column < 0].tolist()]:
+            owners, weights = zip(*runs, strict=True)
+            score += np.bincount(np.concatenate(owners), np.concatenate(weights), len(self.alive))
         if self.columns.shape[1]:
             asked = np.zeros(self.columns.shape[1], np.float32)
-            asked[self.column[at][self.column[at] >= 0]] = 1
+            asked[column[column >= 0]] = 1
             score += self.columns @ asked
         found = np.flatnonzero((score > 0) & unused[self.alive])
         score, found = score[found], self.alive[found]

@@ -63,23 +63,23 @@ class _Entries:
 
     def add(self, ids: list[bytes]) -> np.ndarray:
         """The numbers of these entries."""
-        return self.add_sized(b"".join(ids), np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize)
+        return self.add_sized(b"".join(ids), np.fromiter(map(len, ids), np.int32, len(ids)) // self.dtype.itemsize)
 
     def add_sized(self, raw: bytes, sizes: np.ndarray) -> np.ndarray:
         """The numbers of entries that stand back to back."""
         self.parts.append(raw)
-        self.sizes.append(sizes)
+        self.sizes.append(sizes.astype(np.int32, copy=False))
         self.n += len(sizes)
-        return np.arange(self.n - len(sizes), self.n)
+        return np.arange(self.n - len(sizes), self.n, dtype=np.int32)
 
     def joined(self, numbers: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The ids of these entries back to back, and where each ends in bytes."""
         sizes = np.concatenate(self.sizes)
         counts = sizes[numbers]
-        ends = np.cumsum(counts)
-        source = np.repeat((np.cumsum(sizes) - sizes)[numbers] - (ends - counts), counts)
-        source += np.arange(len(source))
-        return np.frombuffer(b"".join(self.parts), self.dtype)[source].tobytes(), ends * self.dtype.itemsize
+        ends = np.cumsum(counts, dtype=np.int32)  # an Arrow array of strings has fewer bytes, and ids
+        source = np.repeat((np.cumsum(sizes, dtype=np.int32) - sizes)[numbers] - (ends - counts), counts)
+        source += np.arange(len(source), dtype=np.int32)
+        return np.frombuffer(b"".join(self.parts), self.dtype)[source].tobytes(), ends.astype(np.int64) * self.dtype.itemsize
 
 
 class CachedEncoder:
@@ -214,15 +214,15 @@ class CachedEncoder:
         words, bounds = cut.flatten(), np.cumsum([0, *pc.list_value_length(cut).to_numpy()])
         coded, first = words.dictionary_encode(), bounds[:-1]
         entries = _Entries(self.dtype)
-        word, marks = self._after_space(coded.dictionary, entries)
         at = coded.indices.to_numpy()
+        word, marks = self._after_space(coded.dictionary, np.bincount(at, minlength=len(coded.dictionary)), entries)
         runs = np.stack([word[at], marks[at]], axis=1)
         # A text with other white space beside a space, and an empty or long one, goes by itself.
         heads = words.take(pa.array(first)).to_pylist()
         runs[first, 0] = [-(not x or x[-1].isspace()) for x in heads]
         apart = np.minimum.reduceat(runs[:, 0], first) < 0
         begin = [b"" if x else b"".join([self._chunks[c] for c in self._cut(h)]) for x, h in zip(apart, heads, strict=True)]
-        runs[first] = np.stack([entries.add(begin), np.zeros(len(begin), np.int64)], axis=1)
+        runs[first] = np.stack([entries.add(begin), np.zeros(len(begin), np.int32)], axis=1)
         raw, ends = entries.joined(np.maximum(runs, 0).ravel())
         stops = ends[2 * bounds[1:] - 1].tolist()
         return [
@@ -230,22 +230,24 @@ class CachedEncoder:
             for k, (x, (a, b)) in enumerate(zip(apart.tolist(), pairwise([0, *stops]), strict=True))
         ]
 
-    def _after_space(self, words: pa.Array, entries: _Entries) -> tuple[np.ndarray, np.ndarray]:
+    def _after_space(self, words: pa.Array, times: np.ndarray, entries: _Entries) -> tuple[np.ndarray, np.ndarray]:
         """For each of these different words with the space before it, the entry of its ids
         and that of the marks at its end; -1 if white space begins or ends it, or it is
         empty or odd."""
         cores = pc.ascii_rtrim(words, _MARKS)
         plain = pc.match_substring_regex(cores, _PLAIN).to_numpy(zero_copy_only=False)
-        word, marks = np.full(len(words), -1), np.zeros(len(words), np.int64)
+        word, marks = np.full(len(words), -1, np.int32), np.zeros(len(words), np.int32)
 
         coded = cores.filter(pa.array(plain)).dictionary_encode()
         different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = list(map(self._spaced.get, different))
         new = np.array([x is None for x in found], bool)
-        number = np.zeros(len(different), np.int64)
+        at = coded.indices.to_numpy()
+        again = np.bincount(at, times[plain], len(different))[new] > 1
+        number = np.zeros(len(different), np.int32)
         number[~new] = entries.add([x for x in found if x is not None])
-        number[new] = self._modelled([w for w, x in zip(different, found, strict=True) if x is None], entries)
-        word[plain] = number[coded.indices.to_numpy()]
+        number[new] = self._modelled([w for w, x in zip(different, found, strict=True) if x is None], again, entries)
+        word[plain] = number[at]
 
         n_marks = pc.subtract(pc.binary_length(words), pc.binary_length(cores)).to_numpy()
         marked = np.flatnonzero(plain & (n_marks > 0))
@@ -262,29 +264,35 @@ class CachedEncoder:
 
     def _other(self, word: str) -> bytes | None:
         """The ids of what follows a space and of that space; None if its text is to go by itself."""
+        head, _, tail = word.partition("\n")
+        if tail and word.split() == [head, tail] and not _ODD.search(word):  # a word that begins a line is a chunk
+            return b"".join([self._spaced[head], self._chunks["\n"], self._chunks[tail]])
         if not _ODD.search(word):
             with suppress(_NotBetweenWords):
                 return self._spaced[word]
         return None
 
-    def _modelled(self, words: list[str], entries: _Entries) -> np.ndarray:
-        """Entries of the ids of new plain words and the space before each, by the model."""
-        numbers = [np.zeros(0, np.int64)]
-        for some in (words[k : k + _TOGETHER] for k in range(0, len(words), _TOGETHER)):
+    def _modelled(self, words: list[str], again: np.ndarray, entries: _Entries) -> np.ndarray:
+        """Entries of the ids of new plain words and the space before each, by the model; half
+        of the room is for any, all of it for those met ``again``."""
+        numbers = [np.zeros(0, np.int32)]
+        for start in range(0, len(words), _TOGETHER):
+            some = words[start : start + _TOGETHER]
             written = _BYTE_TABLE[np.frombuffer(f" {' '.join(some)}".encode(), np.uint8)].tobytes().decode("utf-16-le")
             found = self._words.encode_batch_fast([written.replace("\u0120", " \u0120")], add_special_tokens=False)[0]
             ids = np.array(found.ids, self.dtype)
             at = np.flatnonzero(self._begins[ids])
             if len(at) != len(some):  # the model leaves out or joins what it does not know
-                ids = [self._mapped(_byte_chars(" " + w)) for w in some]
-                numbers.append(entries.add(ids))
+                numbers.append(entries.add([self._mapped(_byte_chars(" " + w)) for w in some]))
                 continue
             at = np.append(at, len(ids))
             raw = ids.tobytes()
             numbers.append(entries.add_sized(raw, np.diff(at)))
-            room = max(self._room - len(self._spaced), 0)
-            cuts = (at[: room + 1] * self.dtype.itemsize).tolist()
-            self._spaced.update((w, raw[a:b]) for w, (a, b) in zip(some, pairwise(cuts), strict=False))
+            repeated = again[start : start + _TOGETHER] | (len(self._spaced) < self._room // 2)
+            kept = np.flatnonzero(repeated)[: max(self._room - len(self._spaced), 0)]
+            cuts = at * self.dtype.itemsize
+            for k, a, b in zip(kept.tolist(), cuts[kept].tolist(), cuts[kept + 1].tolist(), strict=True):
+                self._spaced[some[k]] = raw[a:b]
         return np.concatenate(numbers)
 
     def ids(self, text: str) -> np.ndarray:
